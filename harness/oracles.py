@@ -290,7 +290,17 @@ def embedded(source: str, key: str, text: str) -> str:
     """Signed word counts per bucket, scaled to length 1, from ``source``."""
     return f"""words AS (
   SELECT {key} AS k, unnest(regexp_extract_all(lower({text}), '[\\p{{L}}\\p{{N}}]+')) AS w FROM {source}),
-hashed AS (SELECT k, CAST('0x' || substr(md5(w), 1, 8) AS BIGINT) AS h FROM words),
+crc_table AS (
+  SELECT list(crc ORDER BY n) AS steps FROM (
+    SELECT n, list_reduce(range(8), lambda c, i: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END, n) AS crc
+    FROM range(256) t(n))),
+word_bytes AS (
+  SELECT w, list_transform(range(1, strlen(w) + 1), lambda i: CAST('0x' || substr(hex(w), 2 * i - 1, 2) AS BIGINT)) AS bs
+  FROM (SELECT DISTINCT w FROM words)),
+word_crcs AS (
+  SELECT w, xor(list_reduce(bs, lambda c, b: xor(c // 256, steps[xor(c % 256, b) + 1]), 4294967295), 4294967295) AS h
+  FROM word_bytes, crc_table),
+hashed AS (SELECT k, h FROM words JOIN word_crcs USING (w)),
 counts AS (SELECT k, (h // 2) % {DIM} AS bucket, CAST(sum(1 - 2 * (h % 2)) AS DOUBLE) AS c FROM hashed GROUP BY ALL),
 weights AS (
   SELECT k, bucket, CAST(CAST(c / sqrt(sum(c * c) OVER (PARTITION BY k)) AS FLOAT) AS DOUBLE) AS weight
@@ -406,7 +416,7 @@ SELECT doc_id, source_name, CAST(CASE WHEN source_name IN ('France Travail', 'JS
     "ranking_view": PRELUDE + "SELECT * FROM shown ORDER BY matching_score DESC, ingestion_date DESC",
     "top_n": PRELUDE + f"SELECT * FROM shown {BEST_FIRST} LIMIT 200",
     "search_filter": PRELUDE + """SELECT title, platform, original_url, matching_score FROM ranked
-        WHERE matching_score >= 60""",
+        WHERE matching_score >= 45""",
     "fresh_only": PRELUDE + f"""SELECT title, platform, original_url,
         strftime(published_at, '%Y-%m-%d %H:%M:%S') AS published_at FROM ranked
         WHERE published_at >= {NOW} - INTERVAL 24 HOURS""",

@@ -35,7 +35,7 @@ SOURCE_NAMES = (ADZUNA, FRANCE_TRAVAIL, JOOBLE, JSEARCH)
 SKILLS = (
     Skill("python", r"\bpython\b", ("python",)),
     Skill("sql", r"\bsql\b", ("sql",)),
-    Skill("pyspark", r"\bpyspark\b", ("pyspark",)),
+    Skill("pyspark", r"\bpyspark\b", ("spark",)),
     Skill("scala", r"\bscala\b", ("scala",)),
     Skill("spark", r"\bspark\b", ("spark",)),
     Skill("aws", r"\baws\b|amazon\s?web\s?services", ("aws", "amazon")),
@@ -71,7 +71,8 @@ REMOTE_NEEDLES = ("télétravail", "remote", "home", "distanciel")
 # --- Fixed values: patterns for numbers in the text ---
 YEARS_PATTERN = r"(\d+)\s*(?:ans?|ann[ée]es?)(?:\s*d['\s]exp[ée]rience|\s*de\s*pratique|\s*minimum)?"
 MONTHS_PATTERN = r"(\d+)\s*mois"
-SALARY_PATTERN = r"(\d{2}\s?\d{3}|\d{2}k|\d{5})"
+MONTHS_NEEDLE = "mois"
+SALARY_PATTERN = r"(\d{2}(?:\s?\d{3}|k))"
 
 # --- Fixed values: trust in each source, and in any other ---
 SOURCE_QUALITY = {FRANCE_TRAVAIL: 1.0, JSEARCH: 1.0, ADZUNA: 0.75, JOOBLE: 0.75}

@@ -10,15 +10,15 @@ from postrank.functions.matching import contains_any, first_number, matches
 from postrank.functions.text import fold_dashes
 
 
-def years_of_experience(text: Column, max_years: float) -> Column:
-    """Years asked for, else months as years; NULL above ``max_years``.
+def years_of_experience(lowered: Column, max_years: float) -> Column:
+    """Years asked for in a lowered text, else months as years.
 
-    Years out of range hide months in range: the first kind found decides.
+    NULL above ``max_years``. Years out of range hide months in range: the
+    first kind found decides.
     """
-    lowered = F.lower(text)
     years = first_number(lowered, C.YEARS_PATTERN).try_cast("float")
-    months = first_number(lowered, C.MONTHS_PATTERN).try_cast("float") / 12.0
-    required = F.coalesce(years, months)
+    months = F.when(lowered.contains(C.MONTHS_NEEDLE), first_number(lowered, C.MONTHS_PATTERN))
+    required = F.coalesce(years, months.try_cast("float") / 12.0)
     return F.when(required <= max_years, required)
 
 
@@ -29,8 +29,8 @@ def skill_tags(text: Column, skills) -> Column:
 
 
 def salary_match(info: Column, description: Column) -> Column:
-    """First salary-like run in the salary field or, after it, the text."""
-    run = F.regexp_extract(F.concat_ws(" | ", info, description), C.SALARY_PATTERN, 1)
+    """First salary-like run in the salary field or, failing that, the text."""
+    run = F.coalesce(first_number(info, C.SALARY_PATTERN), first_number(description, C.SALARY_PATTERN))
     return F.regexp_replace(run, r"\s", "")
 
 

@@ -11,8 +11,7 @@ WHITESPACE = " \t\n\x0b\f\r\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u200
 
 # --- Fixed values: cleaning patterns ---
 TRAILING_ELLIPSIS = r"\.\.\.\s*$"
-TAG = r"<[^>]*>"
-LINE_BREAKS = "\n\r\t\u00a0"
+TAG_OR_BREAK = r"<[^>]*>|[\n\r\t\xa0]"
 POSTCODE_OR_HYPHEN = r"\(?[0-9]{2,5}\)?|-"
 LONG_DASHES = "\u2013\u2014\u2015"
 
@@ -28,8 +27,13 @@ def replace_entities(text: Column) -> Column:
 
 
 def strip_ellipsis(text: Column, source: Column, sources) -> Column:
-    """Drop the dots some sources leave where they cut a text short."""
-    return F.when(source.isin(*sources), F.regexp_replace(text, TRAILING_ELLIPSIS, "")).otherwise(text)
+    """Drop the dots some sources leave where they cut a text short.
+
+    Only a text that ends in dots, blanks aside, is searched for them.
+    """
+    cut_short = F.rtrim(text, F.lit(WHITESPACE + "\u0085")).endswith("...")
+    stripped = F.regexp_replace(text, TRAILING_ELLIPSIS, "")
+    return F.when(source.isin(*sources) & cut_short, stripped).otherwise(text)
 
 
 def parse_published(text: Column, default: Column) -> Column:
@@ -38,12 +42,11 @@ def parse_published(text: Column, default: Column) -> Column:
 
 def strip_tags(text: Column) -> Column:
     """Each tag becomes a space; line breaks, tabs and NBSP become spaces."""
-    without_tags = F.when(text.contains("<"), F.regexp_replace(text, TAG, " ")).otherwise(text)
-    return F.translate(without_tags, LINE_BREAKS, " " * len(LINE_BREAKS))
+    return F.regexp_replace(text, TAG_OR_BREAK, " ")
 
 
-def search_text(title: Column, description: Column) -> Column:
-    return F.lower(F.concat_ws(" ", title, description))
+def search_text(title: Column, lowered_description: Column) -> Column:
+    return F.concat_ws(" ", F.lower(title), lowered_description)
 
 
 def clean_location(location: Column) -> Column:

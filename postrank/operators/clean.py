@@ -40,14 +40,14 @@ def clean_description(df: DataFrame, cfg: RankingConfig) -> DataFrame:
 
 
 def add_search_columns(df: DataFrame) -> DataFrame:
-    """Add ``description_clean`` (no markup) and the lowered ``search_text``."""
-    return df.withColumn("description_clean", text.strip_tags(F.col("description"))).withColumn(
-        "search_text", text.search_text(F.col("title"), F.col("description_clean"))
-    )
+    """Add ``description_clean`` (no markup), it lowered, and ``search_text``."""
+    df = df.withColumn("description_clean", text.strip_tags(F.col("description")))
+    df = df.withColumn("description_lower", F.lower("description_clean"))
+    return df.withColumn("search_text", text.search_text(F.col("title"), F.col("description_lower")))
 
 
 def add_experience(df: DataFrame, cfg: RankingConfig) -> DataFrame:
-    years = features.years_of_experience(F.col("description_clean"), cfg.max_years)
+    years = features.years_of_experience(F.col("description_lower"), cfg.max_years)
     return df.withColumn("exp_min_required", years.cast("double"))
 
 
@@ -76,7 +76,7 @@ def add_features(df: DataFrame, cfg: RankingConfig) -> DataFrame:
     df = add_flags(add_salary(add_skills(add_experience(df, cfg), cfg), cfg))
     df = add_quality_weight(df, cfg)
     stamped = df.withColumn("ingestion_date", text.moment(cfg.as_of).cast("date"))
-    return stamped.drop("description_clean", "search_text")
+    return stamped.drop("description_clean", "description_lower", "search_text")
 
 
 def add_embedding(

@@ -7,7 +7,7 @@ import shutil
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def scratch_dir(spark: SparkSession, label: str) -> str:
@@ -25,3 +25,13 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     folder = tempfile.mkdtemp(prefix=f"postrank-{label}-")
     atexit.register(shutil.rmtree, folder, ignore_errors=True)
     return f"{folder}/data"
+
+
+def spread(table: DataFrame) -> DataFrame:
+    """Give a small scanned table one partition per core before costly row work.
+
+    A table read in at least as many splits as there are cores, as every large
+    one is, comes back unchanged: no shuffle. Use it on plain scans only.
+    """
+    cores = table.sparkSession.sparkContext.defaultParallelism
+    return table if table.rdd.getNumPartitions() >= cores else table.repartition(cores)
