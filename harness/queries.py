@@ -395,7 +395,7 @@ rule_query("rule_skills", rules.skill_rules)
 
 @query
 def rule_pillars(spark, sf_dir):
-    return scored_rows(spark, sf_dir).select("doc_id", "job_id", *rules.all_rules(CONFIG))
+    return scored_rows(spark, sf_dir).select("doc_id", "job_id", *rules.RULE_NAMES)
 
 
 @query

@@ -39,21 +39,24 @@ def ranking(gold: DataFrame, cfg: RankingConfig) -> DataFrame:
 
 
 def ranking_view(gold: DataFrame, cfg: RankingConfig) -> DataFrame:
-    """The ranking, best first."""
-    return ranking(gold, cfg).orderBy(F.desc_nulls_last("matching_score"), F.desc_nulls_last("ingestion_date"))
+    """The ranking, best first and, within a score, last ingested first.
+
+    Few scores and dates share many rows, so the order goes on to columns that
+    differ: the sort can then cut a run of equal scores into many ranges.
+    """
+    return ranking(gold, cfg).orderBy(*_order("matching_score", "ingestion_date", "published_at"))
 
 
-def _best_first(df: DataFrame) -> list[Column]:
-    leading = ("matching_score", "published_at")
-    ties = [c for c in ("platform", "original_url", "title", "company_name", "city", "description") if c in df.columns]
-    return [F.desc_nulls_last(c) for c in leading] + [F.asc_nulls_last(c) for c in ties]
+def _order(*descending: str) -> list[Column]:
+    ties = ("platform", "original_url", "title", "company_name", "city", "description")
+    return [F.desc_nulls_last(c) for c in descending] + [F.asc_nulls_last(c) for c in ties]
 
 
 def top_n(ranked: DataFrame, limit: int = DEFAULT_ROWS) -> DataFrame:
     """The best ``limit`` rows, at most 1000, newest first among equals."""
     if limit < 0:
         raise ValueError("limit must not be negative")
-    return ranked.orderBy(*_best_first(ranked)).limit(min(limit, MAX_ROWS))
+    return ranked.orderBy(*_order("matching_score", "published_at")).limit(min(limit, MAX_ROWS))
 
 
 def with_min_score(ranked: DataFrame, minimum: float = DEFAULT_MIN_SCORE) -> DataFrame:

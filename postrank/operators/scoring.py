@@ -42,8 +42,7 @@ def add_rule_scores(df: DataFrame, cfg: RankingConfig) -> DataFrame:
 
 
 def add_rule_total(df: DataFrame, cfg: RankingConfig) -> DataFrame:
-    names = rules.all_rules(cfg)
-    total = reduce(add, [F.col(n) for n in names], F.lit(cfg.weights["base"]))
+    total = reduce(add, [F.col(n) for n in rules.RULE_NAMES], F.lit(cfg.weights["base"]))
     return df.withColumn("raw_rule_score", total)
 
 

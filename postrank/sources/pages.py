@@ -56,7 +56,7 @@ def normalize_envelopes(raw: DataFrame) -> DataFrame:
     )
     problem = (
         F.when(keys.isNull(), "not a JSON object")
-        .when(~F.col("source").isin(*SHAPES), "unknown source")
+        .when(~F.coalesce(F.col("source").isin(*SHAPES), F.lit(False)), "unknown source")
         .when(length.isNull(), "results is not a list")
     )
     named = raw.withColumn("_results", results).withColumn("problem", problem)

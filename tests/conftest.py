@@ -1,0 +1,60 @@
+import pytest
+from pyspark.sql import SparkSession
+
+from postrank.config import RankingConfig
+from postrank.schemas import STAGED, STAGED_COLUMNS
+
+AS_OF = "2025-02-01 00:00:00"
+
+
+@pytest.fixture(scope="session")
+def spark():
+    session = (
+        SparkSession.builder.master("local[4]")
+        .config("spark.sql.shuffle.partitions", "4")
+        .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.driver.memory", "4g")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
+        .getOrCreate()
+    )
+    session.sparkContext.setLogLevel("ERROR")
+    yield session
+    session.stop()
+
+
+@pytest.fixture
+def cfg():
+    return RankingConfig(as_of=AS_OF, vector_dim=32)
+
+
+DEFAULTS = {
+    "job_id": "1", "title": "Data Engineer", "company_name": "Test Corp", "description": "Un poste.",
+    "location": "Nantes", "salary_info": None, "created_at": "2025-01-01T00:00:00Z",
+    "url": "https://ex.com/1", "source_name": "Adzuna",
+}
+
+
+@pytest.fixture
+def staged(spark):
+    """Build staged postings from partial rows."""
+
+    def build(*rows):
+        filled = [DEFAULTS | row for row in rows]
+        return spark.createDataFrame([tuple(r[c] for c in STAGED_COLUMNS) for r in filled], STAGED)
+
+    return build
+
+
+@pytest.fixture
+def values(spark):
+    """Evaluate a column over a list of values of column ``x``."""
+
+    def evaluate(make, items, kind="string"):
+        from pyspark.sql import functions as F
+
+        rows = spark.createDataFrame(list(enumerate(items)), f"i int, x {kind}")
+        return [r[0] for r in rows.orderBy("i").select(make(F.col("x"))).collect()]
+
+    return evaluate

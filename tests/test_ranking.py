@@ -1,0 +1,156 @@
+from datetime import date, datetime, timedelta
+
+import pytest
+
+from postrank.operators import display, quality, ranking
+from postrank.schemas import SILVER
+
+AS_OF = "2025-02-01 00:00:00"
+NOW = datetime(2025, 2, 1)
+GOLD = ("title string, company_name string, job_location string, salary_min_numeric int, "
+        "extracted_skills array<string>, description string, published_at timestamp, matching_score double, "
+        "semantic_score double, rules_score int, positive_labels string, negative_labels string, url string, "
+        "source_name string, ingestion_date date, job_id string, data_quality_score double")
+ROW = {"title": "T", "company_name": "C", "job_location": "Nantes", "salary_min_numeric": None,
+       "extracted_skills": ["python", "dbt"], "description": " d\n", "published_at": NOW - timedelta(days=3),
+       "matching_score": 50.0, "semantic_score": 40.0, "rules_score": 60, "positive_labels": "", "negative_labels": "",
+       "url": "u", "source_name": "Adzuna", "ingestion_date": date(2025, 2, 1), "job_id": "1",
+       "data_quality_score": 0.75}
+
+
+@pytest.fixture
+def gold(spark):
+    return lambda *rows: spark.createDataFrame([tuple((ROW | r).values()) for r in rows], GOLD)
+
+
+@pytest.fixture
+def ranked(gold, cfg):
+    return lambda *rows: ranking.ranking(gold(*rows), cfg)
+
+
+def titles(df):
+    return [r["title"] for r in df.collect()]
+
+
+def test_view_keeps_renames_and_sorts(gold, cfg):
+    df = ranking.ranking_view(gold({"title": "low", "matching_score": 39.9}, {"title": "a", "matching_score": 40.0},
+                                   {"title": "b", "matching_score": 70.0}, {"title": "n", "matching_score": None}), cfg)
+    assert titles(df) == ["b", "a"]
+    assert df.columns == [
+        "title", "company_name", "city", "salary_min", "skills", "description", "published_at", "matching_score",
+        "semantic_score", "rules_score", "positive_labels", "negative_labels", "original_url", "platform",
+        "ingestion_date"]
+    assert df.first()["description"] == "d"
+
+
+def test_top_n(ranked):
+    df = ranked({"title": "old", "published_at": NOW - timedelta(days=9)}, {"title": "new"},
+                {"title": "best", "matching_score": 90.0})
+    assert titles(ranking.top_n(df)) == ["best", "new", "old"]
+    assert titles(ranking.top_n(df, 1)) == ["best"] and titles(ranking.top_n(df, 0)) == []
+    with pytest.raises(ValueError):
+        ranking.top_n(df, -1)
+
+
+def test_top_n_is_capped_and_needs_no_full_sort(spark, ranked):
+    many = ranked({}).crossJoin(spark.range(1200))
+    assert ranking.top_n(many, 5000).count() == 1000
+    assert "TakeOrderedAndProject" in ranking.top_n(many)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_filters(ranked):
+    df = ranked({"title": "a", "matching_score": 45.0, "published_at": NOW - timedelta(hours=24)},
+                {"title": "b", "matching_score": 55.0, "published_at": NOW - timedelta(hours=25)})
+    assert titles(ranking.with_min_score(df, 50)) == ["b"] and len(titles(ranking.with_min_score(df))) == 2
+    assert titles(ranking.fresh_only(df, AS_OF)) == ["a"]
+
+
+@pytest.mark.parametrize("pattern, want", [
+    ("NANTES", ["a"]), ("py.hon", ["a", "b"]), ("^55", ["b"]), ("2025-01-29", ["a", "b"]), ("déb", ["b"]),
+    ("DÉB", ["b"]), ("python, dbt", ["a", "b"]), ("absent", []),
+])
+def test_search(ranked, pattern, want):
+    df = ranked({"title": "a"}, {"title": "b", "job_location": None, "matching_score": 55.0, "company_name": "Début"})
+    assert sorted(titles(ranking.search_any_column(df, pattern))) == want
+
+
+def test_display(ranked):
+    df = display.display_clean(ranked({"salary_min_numeric": 45000, "url": None}, {"title": "n", "rules_score": None}))
+    a, n = sorted(df.collect(), key=lambda r: r["title"])
+    assert (a["salary_visual"], a["original_url"], a["skills"], a["matching_score"]) == ("45 000 €", "", "python, dbt", 50)
+    assert (n["salary_visual"], n["salary_min"], n["rules_score"]) == ("N/A", 0, 0)
+
+
+def test_coercion_of_bad_input(values):
+    assert values(display.whole_number, ["12.9", "x", None, "-3.9", "1e3"]) == [12, 0, 0, -3, 1000]
+
+
+def test_bands(values):
+    got = values(display.score_band, [80, 79, 60, 59], "int")
+    assert got == ["🟢 80%", "🟡 79%", "🟡 60%", "🔴 59%"]
+
+
+def test_labels_and_titles(values):
+    got = values(lambda x: display.first_labels(x, 2), ["a | b | c", "a", "", None])
+    assert got == [["a", "b"], ["a"], [], []]
+    assert values(display.short_title, ["x" * 45, "x" * 46, None]) == ["x" * 45, "x" * 45 + "...", None]
+
+
+def test_cards(ranked):
+    df = ranked(*[{"title": str(i), "matching_score": 50.0 + i} for i in range(5)],
+                {"title": "new", "matching_score": 99.0, "published_at": NOW, "positive_labels": "a | b | c",
+                 "negative_labels": "x | y"})
+    cards = display.top_cards(df, AS_OF).collect()
+    assert [c["title"] for c in cards] == ["new", "4", "3"]
+    assert (cards[0]["is_new"], cards[0]["top_positive"], cards[0]["top_negative"]) == (True, ["a", "b"], ["x"])
+    assert not cards[1]["is_new"]
+
+
+def test_key_figures(ranked):
+    df = ranked({"matching_score": 41.0}, {"matching_score": 42.0, "published_at": NOW, "salary_min_numeric": 30001},
+                {"matching_score": 44.0, "salary_min_numeric": 30002})
+    assert tuple(display.key_figures(df, AS_OF).first()) == (3, 1, 42)
+    assert tuple(display.average_salary(df).first()) == (30001, "30 001 €")
+    assert tuple(display.average_salary(ranked({})).first()) == (None, "N/A")
+    assert tuple(display.key_figures(df.filter("false"), AS_OF).first()) == (0, 0, None)
+
+
+def failing(report):
+    return {(r["check"], r["column"]): r["failing"] for r in report.collect() if r["failing"]}
+
+
+def test_a_clean_table_passes(gold):
+    report = quality.gold_report(gold({}))
+    assert report.count() == 14 and failing(report) == {} and quality.enforce(report) == []
+
+
+def test_errors_raise_and_warnings_return(gold):
+    bad = gold({"job_id": "1"}, {"job_id": "1", "url": " ", "source_name": "Else"}, {"job_id": None, "source_name": None},
+               {"job_id": None, "title": None, "matching_score": 101.0, "data_quality_score": -0.1}, {"job_id": "3"})
+    report = quality.gold_report(bad)
+    assert failing(report) == {
+        ("not_null", "job_id"): 2, ("not_null", "title"): 1, ("accepted_values", "source_name"): 1,
+        ("range", "matching_score"): 1, ("range", "data_quality_score"): 1, ("not_blank", "url"): 1,
+        ("unique", "job_id"): 1}
+    with pytest.raises(ValueError, match="accepted_values.source_name.: 1"):
+        quality.enforce(report)
+    assert sorted(quality.enforce(report.filter("severity = 'warn'"))) == ["not_blank(url): 1", "not_null(title): 1"]
+
+
+def test_row_checks_take_one_pass(gold):
+    plan = quality.run_checks(gold({}), quality.not_null(quality.GOLD_NOT_NULL))
+    assert plan._jdf.queryExecution().executedPlan().toString().count("Scan") == 1
+
+
+def test_duplicates(gold):
+    rows = quality.duplicates(gold({}, {}, {"job_id": None}, {"job_id": None}, {"job_id": "2"}), "job_id").collect()
+    assert [(r["job_id"], r["rows"]) for r in rows] == [("1", 2)]
+
+
+def test_reports_of_the_other_tables(spark, gold, cfg):
+    silver = spark.createDataFrame([], SILVER)
+    assert quality.silver_report(silver).count() == len(quality.SILVER_NOT_NULL) + 2
+    staging = silver.withColumnRenamed("location_clean", "job_location")
+    assert failing(quality.staging_report(staging)) == {}
+    assert failing(quality.ranking_report(ranking.ranking(gold({"company_name": None}), cfg))) == {
+        ("not_null", "company_name"): 1}

@@ -1,0 +1,106 @@
+import math
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from postrank.functions.embedding import embed_hashed, embed_with, sentence_model, word_hashes
+from postrank.operators import similarity
+
+DIM = 8
+
+
+@pytest.fixture
+def vectors(spark):
+    rng = random.Random(1)
+    rows = [(i, [rng.uniform(-1, 1) for _ in range(DIM)]) for i in range(200)]
+    return rows + [(900, [0.0] * DIM)], lambda rows: spark.createDataFrame(rows, "id int, v array<float>")
+
+
+def cosine(a, b):
+    dot = sum(x * y for x, y in zip(a, b))
+    norm = math.sqrt(sum(x * x for x in a)) * math.sqrt(sum(y * y for y in b))
+    return dot / norm if norm else None
+
+
+def test_three_forms_agree_with_brute_force(vectors):
+    rows, frame = vectors
+    profile = [0.1 * (i + 1) for i in range(DIM)]
+    df = frame(rows).repartition(3)
+    want = {i: cosine(v, profile) for i, v in rows}
+    for got in (
+        similarity.add_cosine(df, "v", profile),
+        similarity.add_cosine(df, "v", profile, builtin=True),
+        similarity.cosine_by_position(df, "id", "v", profile),
+    ):
+        found = {r["id"]: r["cosine"] for r in got.collect()}
+        assert found.keys() == want.keys()
+        assert all(found[i] is None if w is None else found[i] == pytest.approx(w, abs=1e-6) for i, w in want.items())
+
+
+def test_null_vectors_stay_in_place(vectors):
+    _, frame = vectors
+    df = frame([(1, [1.0] * DIM), (2, None), (3, [-1.0] * DIM)]).coalesce(1)
+    got = {r["id"]: r["cosine"] for r in similarity.add_cosine(df, "v", [1.0] * DIM).collect()}
+    assert got == {1: pytest.approx(1), 2: None, 3: pytest.approx(-1)}
+
+
+def test_valid_vectors(vectors):
+    _, frame = vectors
+    df = frame([(1, [1.0] * DIM), (2, None), (3, [1.0]), (4, [])])
+    assert [r["id"] for r in similarity.valid_vectors(df, "v", DIM).collect()] == [1]
+
+
+def test_profile_vector_takes_one_row(vectors):
+    _, frame = vectors
+    assert similarity.profile_vector(frame([(1, [1.0, 2.0])]), "v") == [1.0, 2.0]
+    assert similarity.profile_vector(frame([]), "v") is None
+    with pytest.raises(ValueError, match="several"):
+        similarity.profile_vector(frame([(1, [1.0]), (2, [1.0])]), "v")
+
+
+def test_array_forms_do_not_shuffle(vectors):
+    _, frame = vectors
+    for builtin in (True, False):
+        df = similarity.add_cosine(frame([(1, [1.0] * DIM)]), "v", [1.0] * DIM, builtin=builtin)
+        assert "Exchange" not in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_hashed_embedding_against_brute_force(spark, values):
+    texts = ["Un deux, trois un", "ÉTÉ été", "", "...", None, "a b c d e f g 12"]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, x string").coalesce(1)
+    got = df.orderBy("i").select(word_hashes(F.col("x")).alias("h"), embed_hashed(F.col("x"), DIM).alias("v")).collect()
+    for row in got:
+        counts = [0] * DIM
+        for h in row["h"] or []:
+            counts[(h >> 1) % DIM] += -1 if h & 1 else 1
+        norm = math.sqrt(sum(c * c for c in counts)) or 1.0
+        assert row["v"] == pytest.approx([c / norm for c in counts], abs=1e-6)
+    assert got[1]["h"][0] == got[1]["h"][1]
+
+
+def test_model_is_loaded_once_per_task(spark):
+    """The loader counts its calls and stamps the count on every row."""
+
+    def load():
+        import itertools
+
+        batch = itertools.count()
+        return lambda texts: [[float(len(t)), float(b)] for b in [next(batch)] for t in texts]
+
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2")
+    try:
+        df = spark.createDataFrame([("a",), ("bb",), (None,), ("dddd",), ("eeeee",)], "x string").coalesce(1)
+        got = [r[0] for r in df.select(embed_with(load)(F.col("x"))).collect()]
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert [g[0] for g in got] == [1, 2, 0, 4, 5]
+    assert sorted({g[1] for g in got}) == [0, 1, 2]
+
+
+def test_sentence_model_is_optional():
+    try:
+        import sentence_transformers  # noqa: F401
+    except ImportError:
+        with pytest.raises(RuntimeError, match="sentence-transformers"):
+            sentence_model()()

@@ -1,0 +1,58 @@
+from datetime import datetime, timezone
+
+import pytest
+from pyspark.sql import functions as F
+
+from postrank.functions import text
+
+
+def test_entities_and_ellipsis(spark):
+    rows = [
+        ("Adzuna", "fin... \n", "fin"), ("Jooble", "a....", "a."), ("JSearch", "fin...", "fin..."),
+        ("Adzuna", "un... deux", "un... deux"), ("Adzuna", None, None), ("Adzuna", "fin...\u2028", "fin\u2028"),
+        ("Jooble", "...", ""), ("Adzuna", "..", ".."),
+    ]
+    df = spark.createDataFrame(rows, "s string, d string, want string")
+    got = df.select(text.strip_ellipsis(F.col("d"), F.col("s"), ("Adzuna", "Jooble")), "want").collect()
+    assert all(r[0] == r[1] for r in got)
+
+
+def test_entity(values):
+    assert values(text.replace_entities, ["a&nbsp;b&nbsp;", "&amp;", None]) == ["a b ", "&amp;", None]
+
+
+def test_strip_tags(values):
+    items = ["<p>un</p>\ndeux\xa0trois\t", "a < b", "x <b\nclass=1>y", "", None]
+    assert values(text.strip_tags, items) == [" un  deux trois ", "a < b", "x  y", "", None]
+
+
+@pytest.mark.parametrize("place, want", [
+    ("44 - Nantes", "Nantes"), ("Nantes (44000)", "Nantes"), ("Saint-Herblain", "SaintHerblain"),
+    ("Paris 75", "Paris"), (None, None), ("(44) Nantes", "Nantes"), ("7 rue", "7 rue"),
+])
+def test_location(values, place, want):
+    assert values(text.clean_location, [place]) == [want]
+
+
+def test_published(values):
+    default = text.moment("2025-02-01 00:00:00")
+    items = ["2025-01-01T10:00:00Z", "2025-01-01T10:00:00+02:00", "2025-01-02 03:04:05", "n/a", None, ""]
+    got = values(lambda x: text.parse_published(x, default).cast("string"), items)
+    assert got == ["2025-01-01 10:00:00", "2025-01-01 08:00:00", "2025-01-02 03:04:05"] + ["2025-02-01 00:00:00"] * 3
+
+
+def test_moment_accepts_datetimes(spark):
+    naive, aware = datetime(2025, 1, 1, 12), datetime(2025, 1, 1, 12, tzinfo=timezone.utc)
+    row = spark.range(1).select(*[text.moment(m).cast("string") for m in (naive, aware)]).first()
+    assert list(row) == ["2025-01-01 12:00:00"] * 2
+
+
+def test_search_text_skips_nulls(spark):
+    df = spark.createDataFrame([("ÉTÉ", "a"), (None, "a"), ("T", None)], "t string, d string")
+    got = [r[0] for r in df.select(text.search_text(F.col("t"), F.col("d"))).collect()]
+    assert got == ["été a", "a", "t"]
+
+
+def test_slug_and_trim(values):
+    assert values(text.slug, ["Data Engineer"]) == ["data_engineer"]
+    assert values(text.trim_whitespace, ["\n\t a b  \r\n", " ", None]) == ["a b", "", None]
