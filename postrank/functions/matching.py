@@ -24,8 +24,11 @@ def letters_bounded(pattern: str) -> str:
 
 
 def contains_any(text: Column, phrases) -> Column:
-    """True where ``text`` holds one of the literal ``phrases``."""
-    return reduce(or_, [text.contains(p) for p in phrases])
+    """True where ``text`` holds one of the literal ``phrases``.
+
+    Short phrases are the likelier hits, so they are tried first.
+    """
+    return reduce(or_, [text.contains(p) for p in sorted(phrases, key=len)])
 
 
 def matches(text: Column, pattern: str, needles=()) -> Column:

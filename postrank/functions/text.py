@@ -3,15 +3,20 @@
 from __future__ import annotations
 
 from datetime import datetime
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 WHITESPACE = " \t\n\x0b\f\r\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2008\u2009\u200a\u2028\u2029\u205f\u3000"
 
+LINE_END_BLANKS = " \t\n\x0b\f\r\u0085\u2028\u2029"
+
 # --- Fixed values: cleaning patterns ---
 TRAILING_ELLIPSIS = r"\.\.\.\s*$"
-TAG_OR_BREAK = r"<[^>]*>|[\n\r\t\xa0]"
+TAG = r"<[^>]*>"
+LINE_BREAKS = r"[\n\r\t\xa0]"
 POSTCODE_OR_HYPHEN = r"\(?[0-9]{2,5}\)?|-"
 LONG_DASHES = "\u2013\u2014\u2015"
 
@@ -23,15 +28,15 @@ def moment(value: str | datetime) -> Column:
 
 
 def replace_entities(text: Column) -> Column:
-    return F.replace(text, F.lit("&nbsp;"), F.lit(" "))
+    return F.when(text.contains("&nbsp;"), F.replace(text, F.lit("&nbsp;"), F.lit(" "))).otherwise(text)
 
 
 def strip_ellipsis(text: Column, source: Column, sources) -> Column:
     """Drop the dots some sources leave where they cut a text short.
 
-    Only a text that ends in dots, blanks aside, is searched for them.
+    A text ending in neither dots nor a blank, as most do, is not searched.
     """
-    cut_short = F.rtrim(text, F.lit(WHITESPACE + "\u0085")).endswith("...")
+    cut_short = reduce(or_, [text.endswith(end) for end in ("...", *LINE_END_BLANKS)])
     stripped = F.regexp_replace(text, TRAILING_ELLIPSIS, "")
     return F.when(source.isin(*sources) & cut_short, stripped).otherwise(text)
 
@@ -42,7 +47,8 @@ def parse_published(text: Column, default: Column) -> Column:
 
 def strip_tags(text: Column) -> Column:
     """Each tag becomes a space; line breaks, tabs and NBSP become spaces."""
-    return F.regexp_replace(text, TAG_OR_BREAK, " ")
+    without_tags = F.when(text.contains("<"), F.regexp_replace(text, TAG, " ")).otherwise(text)
+    return F.regexp_replace(without_tags, LINE_BREAKS, " ")
 
 
 def search_text(title: Column, lowered_description: Column) -> Column:
