@@ -12,7 +12,7 @@ from postrank.config import RankingConfig
 from postrank.operators.clean import build_silver
 from postrank.operators.quality import enforce, gold_report
 from postrank.operators.ranking import ranking_view
-from postrank.operators.scoring import build_gold
+from postrank.operators.scoring import build_gold, staging_view
 from postrank.operators.similarity import profile_vector
 from postrank.sources.bronze import stage_all
 from postrank.sources.runlog import log_run
@@ -64,6 +64,12 @@ def run_gold(spark: SparkSession, cfg: RankingConfig, paths: Paths, profiles: Da
     return spark.read.schema(gold.schema).parquet(paths.gold)
 
 
+def publish_views(silver: DataFrame, gold: DataFrame, cfg: RankingConfig) -> None:
+    """Name the staging and the ranking view for SQL readers of this session."""
+    staging_view(silver).createOrReplaceTempView("staged_postings")
+    ranking_view(gold, cfg).createOrReplaceTempView("ranked_postings")
+
+
 def run(
     spark: SparkSession, cfg: RankingConfig, paths: Paths, profiles: DataFrame,
     embed: Callable[[Column], Column] | None = None, multi_line: bool = True, layout: str = "{folder}",

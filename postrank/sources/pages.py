@@ -42,7 +42,7 @@ def normalize_envelopes(raw: DataFrame) -> DataFrame:
     or why the payload cannot be used. A payload without the results key has an
     empty list; one where it is no list is a problem.
     """
-    keys = F.json_object_keys("payload")
+    keys = F.col("_keys")
     found = _by_source(lambda s: F.get_json_object("payload", f"$.{s.results_key}"))
     has_results = _by_source(lambda s: F.array_contains(keys, s.results_key))
     results = F.when(has_results, found).otherwise(F.when(keys.isNotNull(), F.lit("[]")))
@@ -59,12 +59,13 @@ def normalize_envelopes(raw: DataFrame) -> DataFrame:
         .when(~F.coalesce(F.col("source").isin(*SHAPES), F.lit(False)), "unknown source")
         .when(length.isNull(), "results is not a list")
     )
-    named = raw.withColumn("_results", results).withColumn("problem", problem)
+    named = raw.withColumn("_keys", F.json_object_keys("payload")).withColumn("_results", results)
+    named = named.withColumn("problem", problem)
     usable = F.col("problem").isNull()
     return named.withColumns({
         "count": F.when(usable, total),
         "results": F.when(usable, F.col("_results")),
-    }).drop("_results")
+    }).drop("_keys", "_results")
 
 
 def quarantine(normalized: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -1,10 +1,12 @@
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
+from postrank.__main__ import main
 from postrank.config import RankingConfig
-from postrank.plans.runs import Paths, run, run_silver
-from postrank.sources.profile import build_profiles
+from postrank.plans.runs import Paths, publish_views, run, run_silver
+from postrank.sources.profile import build_profiles, write_profiles
 from postrank.sources.runlog import latest_run, read_log
 from postrank.sources.tables import read_silver
 
@@ -33,8 +35,6 @@ def paths(tmp_path):
 def test_whole_run(spark, paths):
     cfg = RankingConfig(as_of=AS_OF, vector_dim=64)
     profiles = build_profiles(spark.createDataFrame([("me", "junior python dbt spark")], "profile_id string, text string"), 64)
-    from pyspark.sql import functions as F
-
     profiles = profiles.withColumn("ideal_vector", F.from_json("ideal_vector", "array<double>"))
     result = run(spark, cfg, paths, profiles)
     assert result.postings == 3
@@ -46,13 +46,23 @@ def test_whole_run(spark, paths):
     assert sorted(gold) == ["1", "f", "s"] and gold["1"]["source_name"] == "Jooble"
     assert gold["s"]["negative_labels"] == "🚫 Stage/Alternance | 🏦 Secteur Sensible"
     assert gold["f"]["company_name"] == "Non renseigné" and gold["f"]["exp_min_required"] == 3
+    publish_views(read_silver(spark, paths.silver), spark.read.parquet(paths.gold), cfg)
+    assert spark.sql("SELECT count(*), count(job_location) FROM staged_postings").first()[0] == 3
+    assert [r["city"] for r in spark.sql("SELECT city FROM ranked_postings").collect()] == ["Nantes"]
     assert run(spark, cfg, paths, profiles).postings == 3
 
 
+def test_command_line(spark, paths, tmp_path, capsys):
+    texts = spark.createDataFrame([("me", "junior python dbt spark")], "profile_id string, text string")
+    write_profiles(build_profiles(texts, 384), f"{tmp_path}/profiles")
+    main(["--bronze", paths.bronze, "--silver", paths.silver, "--gold", paths.gold, "--log", paths.log,
+          "--profiles", f"{tmp_path}/profiles", "--as-of", AS_OF])
+    out = capsys.readouterr().out
+    assert "3 postings" in out and "not_null(url): 1" in out and "Data Engineer Junior" in out
+
+
 def test_custom_embedder_and_failure_log(spark, paths):
     cfg = RankingConfig(as_of=AS_OF, vector_dim=2)
-    from pyspark.sql import functions as F
-
     length = lambda text: F.array(F.length(text).cast("float"), F.lit(1.0).cast("float"))
     assert run_silver(spark, cfg, paths, embed=length)[0] == 3
     assert all(len(r["description_vector"]) == 2 for r in read_silver(spark, paths.silver).collect())
