@@ -31,13 +31,14 @@ def points(*cases: tuple[str, int], default: int = 0) -> str:
     return "CASE " + " ".join(f"WHEN {c} THEN {p}" for c, p in cases) + f" ELSE {default} END"
 
 
-def chars(text: str) -> str:
-    return " || ".join(f"chr({ord(c)})" for c in text)
+def chars(*codes: int) -> str:
+    return " || ".join(f"chr({c})" for c in codes)
 
 
-NBSP_AND_BREAKS = chars("\n\r\t ")
+NBSP_AND_BREAKS = chars(10, 13, 9, 160)
 BLANKS = chars(
-    " \t\n\x0b\f\r              　"
+    32, 9, 10, 11, 12, 13, 0x1680, 0x2000, 0x2001, 0x2002, 0x2003, 0x2004, 0x2005, 0x2006, 0x2008, 0x2009,
+    0x200A, 0x2028, 0x2029, 0x205F, 0x3000,
 )
 
 
@@ -365,9 +366,9 @@ LEFT JOIN weights z ON z.k = d.doc_id AND z.bucket = {DIM - 1}""",
     "silver_staging": PRELUDE + f"SELECT {STORED}, location_clean AS job_location FROM silver",
     "run_log": f"""SELECT CAST(doc_id AS VARCHAR) AS run_id, strftime({NOW}, '%Y-%m-%d %H:%M:%S') AS run_at,
         CASE WHEN doc_id % 4 = 0 THEN 'FAILED' ELSE 'SUCCESS' END AS status, source AS source_name,
-        CAST(n_chars AS INTEGER) AS records_count, substr(text, 1, 500) AS error_message FROM documents""",
+        CAST(n_chars AS BIGINT) AS records_count, substr(text, 1, 500) AS error_message FROM documents""",
     "latest_run": """SELECT event_type AS status, CAST(ts AS VARCHAR) AS last_run,
-        CAST(trunc(value) AS INTEGER) AS count
+        CAST(trunc(value) AS BIGINT) AS count
         FROM events ORDER BY ts DESC, CAST(event_id AS VARCHAR) DESC LIMIT 1""",
     "entity_clean": PRELUDE + "SELECT doc_id, replace(description, '&nbsp;', ' ') AS description FROM postings",
     "ellipsis_strip": PRELUDE + """SELECT doc_id, source_name, CASE WHEN source_name IN ('Adzuna', 'Jooble')

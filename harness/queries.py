@@ -240,7 +240,7 @@ def latest_run(spark, sf_dir):
         F.col("event_id").cast("string").alias("run_id"),
         F.col("ts").alias("run_at"),
         F.col("event_type").alias("status"),
-        F.col("value").cast("int").alias("records_count"),
+        F.col("value").cast("long").alias("records_count"),
     )
     return runlog.latest_run(log)
 

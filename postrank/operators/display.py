@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
@@ -52,7 +53,7 @@ def score_bands(shown: DataFrame) -> DataFrame:
 
 def first_labels(labels: Column, count: int) -> Column:
     """The first ``count`` labels; empty for NULL or no labels."""
-    items = F.split(labels, r" \| ")
+    items = F.split(labels, re.escape(LABEL_SEPARATOR))
     return F.when(F.coalesce(labels, F.lit("")) == "", F.array().cast("array<string>")).otherwise(
         F.slice(items, 1, count)
     )

@@ -42,7 +42,7 @@ RUN_LOG = T.StructType([
     T.StructField("run_at", T.TimestampType()),
     T.StructField("status", T.StringType()),
     T.StructField("source_name", T.StringType()),
-    T.StructField("records_count", T.IntegerType()),
+    T.StructField("records_count", T.LongType()),
     T.StructField("error_message", T.StringType()),
 ])
 

@@ -9,6 +9,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+SMALL_SPLITS = 8
+
 
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A fresh folder every executor can reach.
@@ -30,8 +32,10 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
 def spread(table: DataFrame) -> DataFrame:
     """Give a small scanned table one partition per core before costly row work.
 
-    A table read in at least as many splits as there are cores, as every large
-    one is, comes back unchanged: no shuffle. Use it on plain scans only.
+    Only a table of fewer splits than cores and of ``SMALL_SPLITS`` at most, so
+    about 1 GB at the default split size, is shuffled; any other comes back
+    unchanged. Use it on plain scans only.
     """
     cores = table.sparkSession.sparkContext.defaultParallelism
-    return table if table.rdd.getNumPartitions() >= cores else table.repartition(cores)
+    splits = table.rdd.getNumPartitions()
+    return table.repartition(cores) if splits < cores and splits <= SMALL_SPLITS else table

@@ -229,3 +229,11 @@ def test_spread_leaves_split_tables_alone(spark, tmp_path):
     small, wide = spark.read.parquet(f"{tmp_path}/one"), spark.range(100, numPartitions=9)
     assert spread(small).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
     assert spread(wide) is wide
+
+    def scan(splits, cores):
+        context = SimpleNamespace(defaultParallelism=cores)
+        return SimpleNamespace(sparkSession=SimpleNamespace(sparkContext=context), repartition=lambda n: n,
+                               rdd=SimpleNamespace(getNumPartitions=lambda: splits))
+
+    assert spread(scan(8, 4000)) == 4000
+    assert spread(unchanged := scan(9, 4000)) is unchanged
