@@ -12,6 +12,7 @@ from postrank.functions.text import moment
 from postrank.schemas import RUN_LOG
 
 ERROR_CHARS = 500
+# --- Fixed value: name of the run in the log ---
 LOGGED_SOURCE = "Silver_Pipeline"
 
 
