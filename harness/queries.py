@@ -12,7 +12,7 @@ from postrank.functions import features, rules, text
 from postrank.operators import clean, display, quality, ranking, scoring, similarity
 from postrank.operators.dedupe import dedupe_by_fingerprint, dedupe_by_id, dedupe_by_url
 from postrank.sources import bronze, pages, profile, runlog, tables
-from postrank.storage import scratch_dir, spread
+from postrank.storage import scratch_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -38,7 +38,7 @@ def normalised(spark, sf_dir):
 
 
 def described(spark, sf_dir):
-    return clean.clean_description(postings(spark, sf_dir, heavy=True), CONFIG)
+    return clean.clean_description(postings(spark, sf_dir), CONFIG)
 
 
 def searchable(spark, sf_dir):
@@ -47,7 +47,7 @@ def searchable(spark, sf_dir):
 
 def featured(spark, sf_dir):
     """Features of every posting, before any dedupe."""
-    return clean.add_features(clean.normalise(postings(spark, sf_dir, heavy=True), CONFIG), CONFIG)
+    return clean.add_features(clean.normalise(postings(spark, sf_dir), CONFIG), CONFIG)
 
 
 def with_vectors(spark, sf_dir, df):
@@ -271,7 +271,7 @@ def location_clean(spark, sf_dir):
 
 @query
 def strip_html(spark, sf_dir):
-    html = spread(table(spark, sf_dir, "pages").select("page_id", "html"))
+    html = table(spark, sf_dir, "pages").select("page_id", "html")
     return html.select("page_id", text.strip_tags(F.col("html")).alias("body"))
 
 

@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 
 from postrank.config import RankingConfig
 from postrank.sources.pages import SHAPES
-from postrank.storage import spread
 
 AS_OF = "2024-01-31 00:00:00"
 DIM = 64
@@ -48,15 +47,14 @@ def pick(values: list, index: Column) -> Column:
     return F.get(F.array(*[F.lit(v) for v in values]), index.cast("int"))
 
 
-def postings(spark: SparkSession, sf_dir: str, heavy: bool = False) -> DataFrame:
-    """``heavy`` announces costly work per row, worth spreading a small scan for."""
+def postings(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = F.col("doc_id")
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
     vectors = table(spark, sf_dir, "embeddings").agg(F.count("*")).scalar()
     suffix = F.when(d % 3 == 0, F.lit("")).otherwise(F.concat(F.lit(" "), div(d, 16).cast("string")))
     body = F.when(d % 17 == 0, F.lit("")).otherwise(F.concat(F.lit(" "), F.col("text")))
     day = F.lpad((1 + d % 30).cast("string"), 2, "0")
-    return (spread(documents) if heavy else documents).select(
+    return documents.select(
         "doc_id",
         (div(d, 8) * 4 + d % 4).cast("string").alias("job_id"),
         pick(SOURCES, d % 4).alias("source_name"),

@@ -4,38 +4,46 @@ from __future__ import annotations
 
 import atexit
 import shutil
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-SMALL_SPLITS = 8
+#: For sessions of one machine without ``spark.checkpoint.dir``, as in tests.
+LOCAL_FOLDER = "/tmp/checkpoints"
 
 
-def scratch_dir(spark: SparkSession, label: str) -> str:
-    """A fresh folder every executor can reach.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder of this application below ``spark.checkpoint.dir``.
 
-    Taken below ``spark.checkpoint.dir``. Only a local session without that
-    setting (tests) may use a folder of this machine; a cluster without it is
-    refused, because its executors do not share one.
+    A local session without that setting (tests) gets a folder of its own,
+    removed at exit; a cluster without it is refused, because its executors
+    share no other folder.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared:
-        return f"{shared.rstrip('/')}/postrank/{label}-{uuid.uuid4().hex}"
-    if not spark.sparkContext.master.startswith("local"):
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    own = f"postrank/{spark.sparkContext.applicationId}"
+    if base:
+        return f"{base.rstrip('/')}/{own}"
+    if spark.sparkContext.master.partition("[")[0] != "local":
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    folder = tempfile.mkdtemp(prefix=f"postrank-{label}-")
-    atexit.register(shutil.rmtree, folder, ignore_errors=True)
-    return f"{folder}/data"
+    atexit.register(shutil.rmtree, f"{LOCAL_FOLDER}/{own}", ignore_errors=True)
+    return f"{LOCAL_FOLDER}/{own}"
 
 
-def spread(table: DataFrame) -> DataFrame:
-    """Give a small scanned table one partition per core before costly row work.
+def scratch_dir(spark: SparkSession, label: str) -> str:
+    """A fresh folder name every executor can reach; ``clear`` removes them all."""
+    return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
-    Only a table of fewer splits than cores and of ``SMALL_SPLITS`` at most, so
-    about 1 GB at the default split size, is shuffled; any other comes back
-    unchanged. Use it on plain scans only.
-    """
-    cores = table.sparkSession.sparkContext.defaultParallelism
-    splits = table.rdd.getNumPartitions()
-    return table.repartition(cores) if splits < cores and splits <= SMALL_SPLITS else table
+
+def written(table: DataFrame, label: str, compression: str = "zstd") -> DataFrame:
+    """The table stored in a scratch folder and read again: it cuts the lineage
+    and fixes values that would differ when computed twice."""
+    spark = table.sparkSession
+    path = scratch_dir(spark, label)
+    table.write.option("compression", compression).parquet(path)
+    return spark.read.schema(table.schema).parquet(path)
+
+
+def clear(spark: SparkSession) -> None:
+    """Delete every scratch folder of this application, once results are stored."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(shared_folder(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

@@ -1,4 +1,5 @@
 import json
+import os
 import shutil
 from pathlib import Path
 from types import SimpleNamespace
@@ -8,7 +9,7 @@ from pyspark.sql import functions as F
 
 from postrank.schemas import STAGED_COLUMNS
 from postrank.sources import bronze, pages, profile, runlog, tables
-from postrank.storage import scratch_dir, spread
+from postrank.storage import clear, scratch_dir, shared_folder, written
 
 RESULTS = {
     "adzuna": {"id": 12, "title": "T", "company": {"display_name": "C"}, "description": "d", "salary_min": 45000,
@@ -217,23 +218,14 @@ def test_scratch_follows_the_shared_setting(spark):
 
     def cluster(**settings):
         conf = SimpleNamespace(get=lambda key, default: settings.get(key.rsplit(".", 2)[1], default))
-        return SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master="yarn"))
+        return SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master="yarn", applicationId="app"))
 
-    assert scratch_dir(cluster(checkpoint="store://shared/"), "x").startswith("store://shared/postrank/x-")
+    assert scratch_dir(cluster(checkpoint="store://shared/"), "x").startswith("store://shared/postrank/app/x-")
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         scratch_dir(cluster(), "x")
 
 
-def test_spread_leaves_split_tables_alone(spark, tmp_path):
-    spark.range(100).coalesce(1).write.parquet(f"{tmp_path}/one")
-    small, wide = spark.read.parquet(f"{tmp_path}/one"), spark.range(100, numPartitions=9)
-    assert spread(small).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    assert spread(wide) is wide
-
-    def scan(splits, cores):
-        context = SimpleNamespace(defaultParallelism=cores)
-        return SimpleNamespace(sparkSession=SimpleNamespace(sparkContext=context), repartition=lambda n: n,
-                               rdd=SimpleNamespace(getNumPartitions=lambda: splits))
-
-    assert spread(scan(8, 4000)) == 4000
-    assert spread(unchanged := scan(9, 4000)) is unchanged
+def test_written_tables_are_cleared(spark):
+    assert written(spark.range(3), "x").count() == 3
+    clear(spark)
+    assert not os.path.exists(shared_folder(spark).removeprefix("file:"))
