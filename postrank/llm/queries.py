@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postrank.llm import exact_dedup, language, mixing, packing, simhash
+from postrank.llm import (
+    exact_dedup, language, mixing, packing, sharding, simhash, sketch, token_codes, url_rules, warc,
+)
 from postrank.storage import written
 
 
@@ -31,10 +34,36 @@ def op2_temperature_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_scaled_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = sketch.compare_neighbours(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id", "n_chars", F.sha2("edited_text", 256).alias("edited_sha256"), "fingerprint", "edited_fingerprint",
+        "near_edited", "near_next", "in_edited", "in_next",
+    )
+
+
+def op4_token_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tokenizer = public_tokenizers.path("word_bpe_49k.json")
+    return token_codes.read_tokens(token_codes.token_files(spark, table(spark, sf_dir, "documents"), tokenizer))
+
+
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
 
+#: The rules of the URL query.
+URL_RULES = [
+    ("net", "/", "block"),
+    ("example.net", "/en/", "allow"),
+    ("example.com", "/de/", "block"),
+    ("org", "/fr/", "allow"),
+]
+
+
+def op6_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_rules.judge(table(spark, sf_dir, "pages"), url_rules.make_rules(spark, URL_RULES))
+
+
 def op7_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = simhash.simhash_groups(table(spark, sf_dir, "documents"))
     return groups.select(
@@ -42,6 +71,25 @@ def op7_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    shards, shard, slot = sharding.shuffled_shards(docs)
+    body = F.coalesce("text", F.lit(""))
+    return shards.select(
+        "doc_id", (F.octet_length(body).cast("long") + 1).alias("size"), F.crc32(body).alias("text_crc32"),
+        F.lit("rows").alias("law"), F.col(shard).alias("shard"), F.col(slot).alias("slot"),
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = warc.archive_pages(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return warc.read_records(index, with_payload=False).select(
+        F.col("page_id").cast("long"), "payload_bytes", F.col("digest").alias("payload_digest"),
+        F.col("type").alias("record_type"), F.col("refers_to_page").cast("long").alias("refers_to"),
+    )
+
+
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     out = language.held_out(F.col("doc_id"))
@@ -51,7 +99,8 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_exact_dedup, op2_temperature_mixing, op5_best_fit_packing, op7_simhash_dedup, op10_language_id,
+    op1_exact_dedup, op2_temperature_mixing, op3_scaled_sketch, op4_token_codes, op5_best_fit_packing,
+    op6_url_rules, op7_simhash_dedup, op8_sharding, op9_warc, op10_language_id,
 )}
 
 ORACLES = {
@@ -68,5 +117,34 @@ SELECT doc_id,
        text_sha256
 FROM d
 WINDOW w AS (PARTITION BY text_sha256 ORDER BY chars DESC, doc_id)
+""",
+    "op6_url_rules": r"""
+WITH u AS (
+  SELECT page_id,
+         CASE WHEN contains(coalesce(url, ''), '://') THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest
+  FROM pages
+), h AS (
+  SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         regexp_extract(substr(rest, length(regexp_extract(rest, '^[^/?#]*')) + 1), '^[^?#]*') AS path
+  FROM u
+), r(rule_host, rule_path, verdict) AS (
+  VALUES ('net', '/', 'block'), ('example.net', '/en/', 'allow'), ('example.com', '/de/', 'block'), ('org', '/fr/', 'allow')
+), f AS (
+  SELECT h.page_id, h.host, h.path, rule_host || rule_path AS rule, verdict,
+         row_number() OVER (PARTITION BY h.page_id ORDER BY length(rule_host || rule_path) DESC NULLS LAST) AS n
+  FROM h LEFT JOIN r ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path)
+)
+SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM f WHERE n = 1
+""",
+    "op9_warc": r"""
+WITH p AS (
+  SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages
+), m AS (
+  SELECT *, max(page_id) OVER (PARTITION BY payload_digest, payload_bytes) AS latest FROM p
+)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 1000 AND page_id <> latest THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 1000 AND page_id <> latest THEN latest END AS refers_to
+FROM m
 """,
 }

@@ -71,13 +71,11 @@ def shingle_hashes(text: str | None, width: int, seed: int = SEED) -> np.ndarray
 
 
 def majority(hashes: np.ndarray) -> np.ndarray:
-    """Bits set in over half of the hashes (rows of uint64), as one row of uint64."""
-    hashes = hashes.reshape(len(hashes), -1)
-    if not len(hashes):
-        return np.zeros(hashes.shape[1], np.uint64)
-    ones = np.zeros(hashes.shape[1] * 64, np.int64)
-    for at in range(0, len(hashes), 65536):  # bounds the unpacked bits of a very long text
-        block = np.ascontiguousarray(hashes[at : at + 65536].astype("<u8"))
+    """Bits set in over half of the hashes, which have one or more words of 64 bits each."""
+    count = 1 if hashes.ndim == 1 else hashes.shape[1]
+    ones = np.zeros(count * 64, np.int64)
+    for at in range(0, len(hashes), 16384):  # bounds the unpacked bits of a very long text
+        block = np.ascontiguousarray(hashes[at : at + 16384].astype("<u8")).reshape(-1, count)
         ones += np.unpackbits(block.view(np.uint8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
     return np.packbits(ones * 2 > len(hashes), bitorder="little").view("<u8").astype(np.uint64)
 
@@ -112,6 +110,9 @@ def ball_pairs(points: DataFrame, bits: int = BITS, radius: int = RADIUS, star:
     which have the same connected components.
     """
     half = (radius + 1) // 2
+    # Many rows come of each point, so the points are spread by number, not by size.
+    tasks = int(points.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    points = points.repartition(tasks, "part", "value")
     star = radius % 2 == 0 if star is None else star
     if star and radius % 2:
         raise ValueError("a star keeps all components for an even radius only")
@@ -166,12 +167,7 @@ def _mixed(hashes: np.ndarray, count: int) -> np.ndarray:
 def table_prints(text: str | None) -> list[int]:
     """The independent short fingerprints of a text, over its set of word pairs."""
     pairs = np.unique(shingle_hashes(text, PAIR))
-    ones = np.zeros(TABLES // 2 * 64, np.int64)
-    for at in range(0, len(pairs), 16384):
-        block = _mixed(pairs[at : at + 16384], TABLES // 2).astype("<u8")
-        ones += np.unpackbits(block.view(np.uint8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-    words = np.packbits(ones * 2 > len(pairs), bitorder="little")
-    return words.view("<u4").astype(np.int64).tolist()
+    return majority(_mixed(pairs, TABLES // 2)).astype("<u8").view("<u4").astype(np.int64).tolist()
 
 
 def _tables_column(text: Column) -> Column:

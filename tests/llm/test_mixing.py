@@ -1,0 +1,126 @@
+import math
+from collections import defaultdict
+
+import pytest
+from pyspark.sql import functions as F
+
+from postrank.llm import mixing
+from postrank.llm.queries import QUERIES
+from tests.llm.conftest import EDGES, SF_DIR, document, needs_tables, same_columns
+
+TOKENS = {"big": 9000, "mid": 900, "small": 100}
+
+
+def test_repetition_limit():
+    plan = mixing.make_plan(TOKENS, repetitions=3)
+    repeats = {s: plan.owed[s] / n for s, n in TOKENS.items()}
+    assert plan.owed["big"] == 9000 and 2.9 < repeats["small"] <= 3 and 1 < repeats["mid"] < 3
+    # In closed form: the smallest source is read (share / largest share) ** (exponent - 1) times.
+    assert plan.exponent == pytest.approx(1 - math.log(3) / math.log(90), abs=1e-9)
+    assert sum(plan.weights.values()) == pytest.approx(1)
+
+
+def test_loose_limit_levels_all():
+    plan = mixing.make_plan(TOKENS, repetitions=1000)
+    assert plan.exponent == 0 and set(plan.owed.values()) == {9000}
+
+
+def test_entropy_target():
+    for target in (0.4, 0.7, 1.0):
+        plan = mixing.make_plan(TOKENS, target_entropy=target)
+        assert mixing.entropy(plan.weights) == pytest.approx(target, abs=1e-6)
+    assert mixing.make_plan(TOKENS, target_entropy=0.01).exponent == 1
+    assert mixing.make_plan(TOKENS, target_entropy=9).exponent == 0
+
+
+def test_budget():
+    plan = mixing.make_plan(TOKENS, repetitions=2, budget=3000)
+    assert sum(plan.owed.values()) <= 3000 and all(plan.owed[s] <= 2 * n for s, n in TOKENS.items())
+    assert mixing.make_plan({}) == mixing.Plan(1.0, 0.0, {}, {})
+    assert mixing.make_plan({"one": 5}).owed == {"one": 5}
+
+
+def drawn(spark, rows, monkeypatch, **options):
+    monkeypatch.setattr(mixing, "RANGE_ROWS", 7)
+    monkeypatch.setattr(mixing, "BLOCK_TOKENS", 500)
+    narrow = spark.createDataFrame(rows, "row long, source string, tokens long")
+    return [tuple(r) for r in mixing.draws(narrow, **options).collect()]
+
+
+def slow_draws(spark, rows, plan, seed=mixing.SEED):
+    """Walk through every source's permutations until it has paid."""
+    hashes = spark.createDataFrame([(r[0], e) for r in rows for e in range(10)], "row long, epoch int").select(
+        "row", "epoch", mixing._unit(F.lit(seed), F.col("epoch"), F.col("row")).alias("at")
+    ).collect()
+    order = {(h.row, h.epoch): h.at for h in hashes}
+    blocks = max(1, math.ceil(plan.budget / mixing.BLOCK_TOKENS))
+    found = set()
+    for source, owed in plan.owed.items():
+        own = [r for r in rows if r[1] == source]
+        begins = epoch = 0
+        while begins < owed:
+            for r in sorted(own, key=lambda r: (order[r[0], epoch], r[0])):
+                if begins < owed:
+                    found.add((r[0], source, r[2], epoch, math.floor(begins / owed * blocks)))
+                begins += r[2]
+            epoch += 1
+    return found
+
+
+@pytest.mark.parametrize("options", [{}, {"repetitions": 4}, {"target_entropy": 0.9}, {"budget": 700}])
+def test_draws_equal_a_walk(spark, monkeypatch, options):
+    rows = [(i, "big" if i % 10 < 7 else "mid" if i % 10 < 9 else "small", 1 + i * 37 % 11) for i in range(200)]
+    got = drawn(spark, rows, monkeypatch, **options)
+    tokens = defaultdict(int)
+    for r in rows:
+        tokens[r[1]] += r[2]
+    plan = mixing.make_plan(dict(tokens), **options)
+    assert {g[:5] for g in got} == slow_draws(spark, rows, plan) and len({g[:4] for g in got}) == len(got)
+    if not options.get("budget") and "target_entropy" not in options:
+        assert {g[0] for g in got} == {r[0] for r in rows}
+
+
+def test_blocks_hold_the_weights(spark, monkeypatch):
+    rows = [(i, "big" if i % 4 else "small", 5) for i in range(1200)]
+    got = drawn(spark, rows, monkeypatch)
+    share = defaultdict(lambda: defaultdict(int))
+    for _, source, tokens, _, block, _ in got:
+        share[block][source] += tokens
+    plan = mixing.make_plan({"big": 4500, "small": 1500})
+    assert len(share) == math.ceil(plan.budget / 500)
+    for block in share.values():
+        assert block["small"] / sum(block.values()) == pytest.approx(plan.weights["small"], abs=0.03)
+
+
+def test_edges(docs):
+    out = mixing.mix(docs())
+    same_columns(docs(), out)
+    rows = out.collect()
+    key = lambda r: (r.doc_id, r.text, r.source)
+    assert {key(r) for r in rows} == {(r[0], r[1], r[3]) for r in EDGES}
+    assert mixing.mix(docs([])).count() == 0
+
+
+def test_repeated_rows_are_drawn_each(docs):
+    rows = [document(1, "a b", source="x")] * 3
+    assert mixing.mix(docs(rows)).count() == 3
+
+
+@needs_tables
+def test_query_on_given_tables(spark, given):
+    got = QUERIES["op2_temperature_mixing"](spark, SF_DIR).collect()
+    have = given("documents").withColumn("n", F.size(F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != "")) + 1)
+    tokens = {r.doc_id: (r.source, r.n) for r in have.collect()}
+    totals = defaultdict(int)
+    for source, n in tokens.values():
+        totals[source] += n
+    plan = mixing.make_plan(dict(totals))
+    paid = defaultdict(int)
+    for r in got:
+        assert tokens[r.doc_id] == (r.source, r.tokens)
+        paid[r.source] += r.tokens
+    longest = defaultdict(int)
+    for source, n in tokens.values():
+        longest[source] = max(longest[source], n)
+    assert {r.doc_id for r in got} == set(tokens)
+    assert all(plan.owed[s] <= paid[s] < plan.owed[s] + longest[s] for s in totals)

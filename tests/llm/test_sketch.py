@@ -1,0 +1,100 @@
+import hashlib
+import re
+
+import numpy as np
+import pytest
+import xxhash
+
+from postrank.llm import sketch
+from postrank.llm.queries import QUERIES
+from tests.llm.conftest import EDGES, LONG, SF_DIR, document, needs_tables
+
+
+def slow_shingles(text):
+    found = re.findall("[^\x20\x09-\x0D]+", "".join(c.lower() if "A" <= c <= "Z" else c for c in text or ""))
+    if not found:
+        return set()
+    return {" ".join(found[i : i + 5]) for i in range(max(1, len(found) - 4))}
+
+
+def slow_sketch(text):
+    hashes = sorted(xxhash.xxh64_intdigest(s.encode(), 42) for s in slow_shingles(text))
+    return [h for h in hashes if h < 1 << 61] or hashes[:1]
+
+
+@pytest.mark.parametrize("text", [r[1] for r in EDGES] + ["a", "a b c d e", "a b c d e f"])
+def test_sketch(text):
+    assert sketch.sketch(text).tolist() == slow_sketch(text)
+    assert sketch.from_text(sketch.to_text(sketch.sketch(text))).tolist() == slow_sketch(text)
+
+
+def test_merging():
+    parts = ["a b c d e", "k l m n o p q r s t u v w x y z " * 3, "", LONG[:3000]]
+    for a in parts:
+        for b in parts:
+            both = slow_shingles(a) | slow_shingles(b)
+            hashes = sorted(xxhash.xxh64_intdigest(s.encode(), 42) for s in both)
+            want = [h for h in hashes if h < 1 << 61] or hashes[:1]
+            assert sketch.merged(sketch.sketch(a), sketch.sketch(b)).tolist() == want
+
+
+def test_estimates():
+    rng = np.random.default_rng(4)
+    words = [f"w{i}" for i in rng.integers(0, 10**6, 24_000)]
+    whole, part = " ".join(words), " ".join(words[5000:9000])
+    a, b = sketch.sketch(whole), sketch.sketch(part)
+    assert sketch.containment(b, a) > 0.99 and abs(sketch.containment(a, b) - 1 / 6) < 0.02
+    assert abs(sketch.likeness(a, b) - 1 / 6) < 0.02
+    none = sketch.sketch("")
+    assert sketch.likeness(none, none) == 1 and sketch.likeness(none, a) == 0 and sketch.likeness(a, none) == 0
+
+
+def slow_neighbours(rows):
+    """Columns of the query, in order, for rows in descending id."""
+    out = []
+    for i, (d, t) in enumerate(rows):
+        t, following = t or "", rows[(i + 1) % len(rows)][1] or ""
+        cut = len(t) // 3
+        edit = t[: len(t) - cut] + following[:cut]
+        own, new, nxt = (set(slow_sketch(x)) for x in (t, edit, following))
+        like = lambda a, b: len(a & b) / len(a | b) if a | b else 1.0
+        out.append((d, len(t), edit, "".join(f"{h:016x}" for h in sorted(own)), "".join(f"{h:016x}" for h in sorted(new)), like(own, new), like(own, nxt)))
+    return out
+
+
+def run(frame):
+    return [tuple(r)[:7] for r in sketch.compare_neighbours(frame).collect()]
+
+
+def test_neighbours_across_ranges(docs):
+    rows = [document(i * 3 % 97, f"Document {i} has words " * (i % 7), source="x") for i in range(97)]
+    got = run(docs(rows))
+    assert sorted(got) == sorted(slow_neighbours(sorted(((r[0], r[1]) for r in rows), reverse=True)))
+
+
+def test_unicode_and_single(docs):
+    rows = [document(1, "é\U0001F600ß x" * 5), document(0, "\U0001F600\U0001F601 y")]
+    assert sorted(run(docs(rows))) == sorted(slow_neighbours([(r[0], r[1]) for r in rows]))
+    assert run(docs(rows[:1])) == slow_neighbours([(1, rows[0][1])])
+
+
+def test_edges(docs):
+    got = run(docs())
+    assert sorted(str(g[0]) for g in got) == sorted(str(r[0]) for r in EDGES)
+    assert {(g[0], g[1]) for g in got} == {(r[0], len(r[1] or "")) for r in EDGES}
+    assert run(docs([])) == []
+    same = [g for g in got if g[0] in (5, 9)]
+    assert len({g[3] for g in same}) == 1
+
+
+def test_fingerprints_keep_columns(docs):
+    out = sketch.fingerprints(docs())
+    assert out.columns[:-1] == docs().columns and out.count() == len(EDGES)
+
+
+@needs_tables
+def test_query_on_given_tables(spark, given):
+    rows = sorted(((r.doc_id, r.text) for r in given("documents").collect()), reverse=True)
+    got = sorted(tuple(r)[:7] for r in QUERIES["op3_scaled_sketch"](spark, SF_DIR).collect())
+    want = sorted((w[0], w[1], hashlib.sha256(w[2].encode()).hexdigest(), *w[3:]) for w in slow_neighbours(rows))
+    assert got == want

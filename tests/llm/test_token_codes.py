@@ -1,0 +1,114 @@
+import io
+import zlib
+
+import numpy as np
+import public_tokenizers
+import pytest
+from hypothesis import given as over
+from hypothesis import settings
+from hypothesis import strategies as st
+from tokenizers import Tokenizer
+
+from postrank.llm import token_codes
+from postrank.llm.files import open_file
+from postrank.llm.queries import QUERIES
+from postrank.storage import scratch_dir
+from tests.llm.conftest import EDGES, SF_DIR, document, needs_tables
+
+VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
+
+
+@settings(max_examples=80, deadline=None)
+@over(st.lists(st.lists(st.integers(0, (1 << 32) - 1) | st.integers(0, 300), max_size=40), max_size=12))
+def test_round_trip_and_random_access(documents):
+    old = token_codes.SEGMENT
+    token_codes.SEGMENT = 16
+    try:
+        out = io.BytesIO()
+        given = [(i * 7 - 3, np.array(d, np.uint32)) for i, d in enumerate(documents)]
+        assert token_codes.write_ids(out, iter(given)) == (len(documents), sum(map(len, documents)))
+        file = token_codes.TokenFile(out)
+        flat = [t for d in documents for t in d]
+        assert [file.token(i) for i in range(len(flat))] == flat
+        with pytest.raises(IndexError):
+            file.token(len(flat))
+        assert [(d, ids.tolist()) for d, _, ids in file.read_documents()] == [(d, ids.tolist()) for d, ids in given]
+        starts = [f for _, f, _ in file.read_documents()]
+        assert starts == [sum(map(len, documents[:i])) for i in range(len(documents))]
+    finally:
+        token_codes.SEGMENT = old
+
+
+def test_access_reads_a_few_bytes():
+    out = io.BytesIO()
+    ids = np.random.default_rng(1).integers(0, 49408, 200_000)
+    token_codes.write_ids(out, iter([(0, ids)]))
+    file = token_codes.TokenFile(out)
+    read = []
+    inner = file._read
+    file._read = lambda at, size: read.append(size) or inner(at, size)
+    for i in (0, 511, 512, 99_999, 199_999):
+        read.clear()
+        assert file.token(i) == ids[i]
+        assert sum(read) <= 2 * (1 + token_codes.RANK_BITS // 8 + 4)
+
+
+@settings(max_examples=200, deadline=None)
+@over(st.text(max_size=80) | st.lists(st.sampled_from(["'s", "don't", "É\u0301", " ", "\u0301", "\n", "\t", "\x1c", "\u2003", "Σ", "ΑΣ", "12", "x9!", "<|endoftext|>", "ñ"]), max_size=12).map("".join))
+def test_encoder_equals_the_library(text):
+    whole = encoder().tokenizer.encode(text, add_special_tokens=False).ids
+    assert encoder().ids(text).tolist() == whole
+
+
+def encoder(held=[]):  # noqa: B006
+    if not held:
+        held.append(token_codes.Encoder(VOCABULARY))
+    return held[0]
+
+
+def test_memory_is_bounded(monkeypatch):
+    monkeypatch.setattr(token_codes, "REMEMBERED", 3)
+    own = token_codes.Encoder(VOCABULARY)
+    for i in range(9):
+        text = f"one two{i} three{i}"
+        assert own.ids(text).tolist() == own.tokenizer.encode(text, add_special_tokens=False).ids
+        assert len(own.known) <= 6
+
+
+def expected(rows):
+    library, at, out = Tokenizer.from_file(VOCABULARY), 0, []
+    for d, t in rows:
+        ids = np.array([*library.encode(t or "", add_special_tokens=False).ids, 1], "<u4")
+        out.append((d, at, len(ids), zlib.crc32(ids.tobytes())))
+        at += len(ids)
+    return out
+
+
+def test_edges(docs, spark):
+    got = [tuple(r) for r in token_codes.read_tokens(token_codes.token_files(spark, docs(), VOCABULARY)).collect()]
+    have = {(r[0], r[2], r[3]) for r in expected([(r[0], r[1]) for r in EDGES])}
+    assert {(g[0], g[2], g[3]) for g in got} == have and len(got) == len(EDGES)
+    got.sort(key=lambda g: g[1])
+    ids = [g[0] for g in got]
+    assert ids[-2:] == [None, None] and ids[:-2] == sorted(i for i in ids if i is not None)
+    assert [g[1] for g in got] == np.cumsum([0, *[g[2] for g in got[:-1]]]).tolist()
+    empty = token_codes.token_files(spark, docs([]), VOCABULARY)
+    assert empty.count() == 0 and token_codes.read_tokens(empty).count() == 0
+
+
+def test_files_hold_the_corpus(docs, spark):
+    rows = [document(i, f"text number {i}") for i in range(40)]
+    folder = scratch_dir(spark, "tokens")
+    files = token_codes.write_tokens(docs(rows), VOCABULARY, folder).orderBy("start").collect()
+    assert len(files) > 1 and files[0].start == 0
+    library, seen = Tokenizer.from_file(VOCABULARY), []
+    for f in files:
+        with open_file(f.path) as handle:
+            seen += [(d, ids.tolist()) for d, _, ids in token_codes.TokenFile(handle).read_documents()]
+    assert seen == [(r[0], [*library.encode(r[1], add_special_tokens=False).ids, 1]) for r in rows]
+
+
+@needs_tables
+def test_query_on_given_tables(spark, given):
+    rows = sorted((r.doc_id, r.text) for r in given("documents").collect())
+    assert sorted(tuple(r) for r in QUERIES["op4_token_codes"](spark, SF_DIR).collect()) == expected(rows)
