@@ -13,18 +13,19 @@ from tests.llm.conftest import EDGES, SF_DIR, document, needs_tables
 
 
 def slow_fill(sizes, lengths, opening):
-    """Best-fit decreasing by looking at every bin."""
-    bins = []  # [capacity, used, members]
+    """Best-fit decreasing by looking at every bin; of equal ones, the one last filled."""
+    bins, clock = [], 0  # [capacity, used, last filled]
     for i in sorted(range(len(sizes)), key=lambda i: -sizes[i]):
         fitting = [b for b in bins if b[0] - b[1] >= sizes[i]]
         if fitting:
             room = min(b[0] - b[1] for b in fitting)
-            chosen = [b for b in fitting if b[0] - b[1] == room][0]
+            chosen = max((b for b in fitting if b[0] - b[1] == room), key=lambda b: b[2])
         else:
-            chosen = [max(opening, min(n for n in lengths if n >= sizes[i])), 0, []]
+            chosen = [max(opening, min(n for n in lengths if n >= sizes[i])), 0, 0]
             bins.append(chosen)
         chosen[1] += sizes[i]
-        chosen[2].append(i)
+        clock += 1
+        chosen[2] = clock
     return [(min(n for n in lengths if n >= b[1]), b[1]) for b in bins]
 
 
