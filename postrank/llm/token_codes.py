@@ -17,13 +17,17 @@ three columns of 64-bit integers: doc_id, first id within the file, ids.
 from __future__ import annotations
 
 import json
+import os
 import struct
 import zlib
 from collections.abc import Callable, Iterator
+from itertools import chain
 from typing import BinaryIO
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,8 +41,12 @@ CHUNK = 8
 RANK_BITS = 512
 SEGMENT = 1 << 20
 END_ID = 1
-#: Distinct words a task remembers the ids of; a full memory is emptied.
-REMEMBERED = 500_000
+#: Stems and words a Python process remembers the ids of; of a full memory only those in use stay.
+REMEMBERED = 600_000
+#: Letters of which a run is one piece to the tokenizer, in any case, and what may follow it.
+PLAIN = "^[A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u00FF]+[,.]?$"
+#: Characters of text encoded at once.
+BLOCK_CHARS = 4 << 20
 #: Stands for a null doc_id in a file.
 NO_ID = -(1 << 63)
 
@@ -174,48 +182,114 @@ def write_ids(out: BinaryIO, documents: Iterator[tuple[int, np.ndarray]]) -> tup
 # ---- tokens ----
 
 class Encoder:
-    """Ids of texts by a tokenizer of the ``tokenizers`` library, one word at a time.
+    """Ids of texts by a tokenizer of the ``tokenizers`` library, word by different word.
 
-    The tokenizers meant here drop white space and never join across it, so the
-    ids of a text are those of its words; a word met before is not encoded again.
+    The tokenizers meant here drop white space, never join across it, and lower
+    the case, so the ids of a text are those of its words. Each different word of
+    a block of texts is encoded once; words of plain letters in any case, with at
+    most one comma or full stop behind (which stands for itself), once per stem.
     """
 
     def __init__(self, path: str):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, bytes] = {}
-
-    def _missing(self, found: list[str]) -> None:
+        # Stems, and words that are none, by number; the ids of number i are flat[start[i] : start[i + 1]].
+        self.known: dict[str, int] = {}
+        self.flat, self.start = np.empty(0, np.uint32), np.zeros(1, np.int64)
+        self._learn(["", ",", "."], self._encoded)
+
+    def _encoded(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        found = [c.ids for c in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+        return np.array([i for ids in found for i in ids], np.uint32), np.array([len(ids) for ids in found], np.int64)
+
+    def _encoded_stems(self, stems: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Each stem is one piece of the text they make together."""
+        code = self.tokenizer.encode(" ".join(stems), add_special_tokens=False)
+        return np.array(code.ids, np.uint32), np.bincount(np.array(code.word_ids, np.int64), minlength=len(stems))
+
+    def _learn(self, words: list[str], encoded: Callable[[list[str]], tuple[np.ndarray, np.ndarray]]) -> None:
+        ids, sizes = [self.flat], [np.zeros(0, np.int64)]
+        for at in range(0, len(words), 5000):
+            found = encoded(words[at : at + 5000])
+            ids.append(found[0])
+            sizes.append(found[1])
+        self.known.update(zip(words, range(len(self.start) - 1, len(self.start) - 1 + len(words))))
+        self.flat = np.concatenate(ids)
+        self.start = np.concatenate([self.start, self.start[-1] + np.cumsum(np.concatenate(sizes))])
+
+    def _forget(self, wanted: list[str]) -> None:
+        """Keep what is wanted now, which has all frequent words, and the first three."""
+        held = ["", ",", ".", *(w for w in wanted if w in self.known and w not in ("", ",", "."))]
+        at = np.fromiter(map(self.known.__getitem__, held), np.int64, len(held))
+        sizes = (self.start[1:] - self.start[:-1])[at]
+        self.flat = self._gathered(at)
+        self.start = np.concatenate([[0], np.cumsum(sizes)])
+        self.known = dict(zip(held, range(len(held))))
+
+    def _gathered(self, numbers: np.ndarray) -> np.ndarray:
+        """The ids of these numbers, one after another."""
+        n = (self.start[1:] - self.start[:-1])[numbers]
+        ends = np.cumsum(n)
+        return self.flat[np.repeat(self.start[:-1][numbers] - ends + n, n) + np.arange(ends[-1] if len(ends) else 0)]
+
+    def _numbers(self, words: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
+        """Of each different word, the number of its stem (or of itself) and of what follows."""
+        plain = pc.match_substring_regex(words, PLAIN)
+        some, is_plain = words.filter(plain), plain.to_numpy(zero_copy_only=False)
+        coded = pc.utf8_rtrim(pc.utf8_lower(some), characters=",.").dictionary_encode()
+        stems, others = coded.dictionary.to_pylist(), words.filter(pc.invert(plain)).to_pylist()
         if len(self.known) > REMEMBERED:
-            self.known.clear()
-        new = list(dict.fromkeys(w for w in found if w not in self.known))
-        for at in range(0, len(new), 10_000):
-            part = new[at : at + 10_000]
-            for word, code in zip(part, self.tokenizer.encode_batch(part, add_special_tokens=False)):
-                self.known[word] = np.array(code.ids, "<u4").tobytes()
-
-    def ids(self, text: str) -> np.ndarray:
-        found = text.replace("\n", " ").split(" ")
-        try:
-            return np.frombuffer(b"".join(map(self.known.__getitem__, found)), "<u4")
-        except KeyError:
-            self._missing(found)
-            return np.frombuffer(b"".join(map(self.known.__getitem__, found)), "<u4")
+            self._forget([*stems, *others])
+        self._learn([w for w in stems if w not in self.known], self._encoded_stems)
+        self._learn([w for w in others if w not in self.known], self._encoded)
+        first, then = np.zeros(len(words), np.int64), np.zeros(len(words), np.int64)
+        number = self.known.__getitem__
+        first[is_plain] = np.fromiter(map(number, stems), np.int64, len(stems))[coded.indices.to_numpy()]
+        first[~is_plain] = np.fromiter(map(number, others), np.int64, len(others))
+        then[is_plain] = pc.ends_with(some, ",").to_numpy(zero_copy_only=False) + 2 * pc.ends_with(some, ".").to_numpy(zero_copy_only=False)
+        return first, then
+
+    def ids(self, texts: pa.StringArray) -> list[np.ndarray]:
+        """Ids of each text; a null is empty. ``blocks`` gives texts in fit portions."""
+        split = pc.ascii_split_whitespace(texts.fill_null(""))
+        words = split.flatten().dictionary_encode()
+        first, then = self._numbers(words.dictionary)
+        word = words.indices.to_numpy()
+        numbers = np.empty(2 * len(word), np.int64)
+        numbers[0::2], numbers[1::2] = first[word], then[word]
+        ends = np.concatenate([[0], np.cumsum((self.start[1:] - self.start[:-1])[numbers])])
+        cuts = ends[2 * (split.offsets.to_numpy() - split.offsets[0].as_py())].tolist()
+        ids = self._gathered(numbers)
+        return [ids[i:j] for i, j in zip(cuts, cuts[1:])]
+
+
+_encoders: dict[str, Encoder] = {}
+
+
+def encoder_of(path: str) -> Encoder:
+    """The encoder of this Python process, which serves one task after another."""
+    if path not in _encoders:
+        _encoders[path] = Encoder(path)
+    return _encoders[path]
 
 
-def _encoders(path: str) -> Callable[[], Encoder]:
-    held: list[Encoder] = []
+# ---- writing and reading on Spark ----
 
-    def get() -> Encoder:
-        if not held:
-            held.append(Encoder(path))
-        return held[0]
+WRITTEN = pa.schema([("number", pa.int32()), ("path", pa.string()), ("documents", pa.int64()), ("ids", pa.int64())])
 
-    return get
 
+def blocks(batch: pa.RecordBatch, text: str) -> Iterator[pa.RecordBatch]:
+    """Runs of rows with about BLOCK_CHARS bytes of text each; a longer text is alone."""
+    ends = np.cumsum(pc.binary_length(batch.column(text)).fill_null(0).to_numpy(zero_copy_only=False))
+    start = 0
+    while start < batch.num_rows:
+        base = ends[start - 1] if start else 0
+        stop = max(start + 1, int(np.searchsorted(ends, base + BLOCK_CHARS, side="right")))
+        yield batch.slice(start, stop - start)
+        start = stop
 
-# ---- writing and reading on Spark ----
 
 def write_tokens(docs: DataFrame, tokenizer: str, folder: str, text: str = "text", doc_id: str = "doc_id",
                  end_id: int = END_ID) -> DataFrame:
@@ -234,28 +308,27 @@ def write_tokens(docs: DataFrame, tokenizer: str, folder: str, text: str = "text
         .repartitionById(len(bounds) + 1, "range")
         .sortWithinPartitions("range", F.asc_nulls_last("doc_id"), F.xxhash64("text"), "text")
     )
-    encoder = _encoders(tokenizer)
     end = np.array([end_id], "<u4")
 
-    def write(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        first = next((f for f in frames if len(f)), None)
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first = next((b for b in batches if b.num_rows), None)
         if first is None:
             return
-        number = int(first["range"].iat[0])
+        number = first.column("range")[0].as_py()
 
         def documents() -> Iterator[tuple[int, np.ndarray]]:
-            encode = encoder()
-            frame = first
-            while frame is not None:
-                for d, t in zip(frame["doc_id"], frame["text"]):
-                    yield (NO_ID if pd.isna(d) else int(d)), np.concatenate([encode.ids(t), end])
-                frame = next(frames, None)
+            encoder = encoder_of(tokenizer)
+            for batch in chain([first], batches):
+                for part in blocks(batch, "text"):
+                    names = part.column("doc_id").fill_null(NO_ID).to_pylist()
+                    for name, ids in zip(names, encoder.ids(part.column("text"))):
+                        yield name, np.concatenate([ids, end])
 
         path = f"{folder}/part-{number:06d}.dac"
         n_docs, n_ids = write_file(path, lambda out: write_ids(out, documents()))
-        yield pd.DataFrame({"number": [number], "path": [path], "documents": [n_docs], "ids": [n_ids]})
+        yield pa.RecordBatch.from_pylist([{"number": number, "path": path, "documents": n_docs, "ids": n_ids}], WRITTEN)
 
-    dealt.mapInPandas(write, "number int, path string, documents long, ids long").write.parquet(f"{folder}/_written")
+    dealt.mapInArrow(write, "number int, path string, documents long, ids long").write.parquet(f"{folder}/_written")
     files = spark.read.parquet(f"{folder}/_written").orderBy("number").collect()
     starts = np.concatenate([[0], np.cumsum([f["ids"] for f in files], dtype=np.int64)[:-1]]).tolist()
     manifest = spark.createDataFrame(

@@ -3,6 +3,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given as over
 from hypothesis import settings
@@ -57,7 +58,7 @@ def test_access_reads_a_few_bytes():
 @over(st.text(max_size=80) | st.lists(st.sampled_from(["'s", "don't", "É\u0301", " ", "\u0301", "\n", "\t", "\x1c", "\u2003", "Σ", "ΑΣ", "12", "x9!", "<|endoftext|>", "ñ"]), max_size=12).map("".join))
 def test_encoder_equals_the_library(text):
     whole = encoder().tokenizer.encode(text, add_special_tokens=False).ids
-    assert encoder().ids(text).tolist() == whole
+    assert encoder().ids(pa.array([text]))[0].tolist() == whole
 
 
 def encoder(held=[]):  # noqa: B006
@@ -69,10 +70,26 @@ def encoder(held=[]):  # noqa: B006
 def test_memory_is_bounded(monkeypatch):
     monkeypatch.setattr(token_codes, "REMEMBERED", 3)
     own = token_codes.Encoder(VOCABULARY)
-    for i in range(9):
-        text = f"one two{i} three{i}"
-        assert own.ids(text).tolist() == own.tokenizer.encode(text, add_special_tokens=False).ids
-        assert len(own.known) <= 6
+    for i in range(12):
+        texts = [f"One, two{i} {'abc' * i}. a", f"one {'abc' * i} É{'é' * i}a, b", ""]
+        want = [own.tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+        assert [x.tolist() for x in own.ids(pa.array(texts))] == want
+        assert len(own.known) <= 3 + 12 and len(own.start) == len(own.known) + 1
+
+
+def test_blocks_cover_all(monkeypatch):
+    monkeypatch.setattr(token_codes, "BLOCK_CHARS", 5)
+    texts = ["abc", "de", None, "f" * 20, "", "gh", "ijk"]
+    batch = pa.RecordBatch.from_pydict({"text": texts})
+    parts = [b.column("text").to_pylist() for b in token_codes.blocks(batch, "text")]
+    assert [t for p in parts for t in p] == texts and parts[0] == ["abc", "de", None] and ["f" * 20] in [p[:1] for p in parts]
+
+
+@needs_tables
+def test_encoder_on_given_texts(given):
+    texts = [r.text for r in given("documents").collect()]
+    want = [c.ids for c in encoder().tokenizer.encode_batch(texts, add_special_tokens=False)]
+    assert [x.tolist() for x in encoder().ids(pa.array(texts))] == want
 
 
 def expected(rows):
