@@ -22,11 +22,12 @@ from collections.abc import Iterator
 from typing import BinaryIO
 
 import pandas as pd
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from postrank.llm.files import open_file, write_file
-from postrank.llm.rows import keyed, quoted, task_count, text_bytes
+from postrank.llm.rows import keyed, quoted
 from postrank.storage import scratch_dir, written
 
 REVISIT_BYTES = 1000
@@ -89,20 +90,16 @@ def gzip_member(raw: bytes) -> bytes:
 
 # ---- writing ----
 
-def decide(stored: DataFrame, row: str, html: str, page_id: str) -> DataFrame:
-    """row, refers_row, refers_page for the rows that repeat a payload; all others respond."""
-    narrow = written(
-        stored.select(
-            F.col(row).alias("row"), F.col(quoted(page_id)).alias("page"),
-            F.sha1(F.coalesce(F.col(quoted(html)), F.lit(""))).alias("digest"),
-            F.octet_length(F.coalesce(F.col(quoted(html)), F.lit(""))).alias("size"),
-        ).filter(F.col("size") >= REVISIT_BYTES),
-        "payloads",
-    )
+def decide(narrow: DataFrame) -> DataFrame:
+    """row, refers_row, refers_page for the rows that repeat a payload; all others respond.
+
+    ``narrow`` has row (unique), page, digest and size.
+    """
+    large = narrow.filter(F.col("size") >= REVISIT_BYTES)
     latest = F.max(F.struct(F.col("page"), F.col("row"))).alias("latest")
-    groups = narrow.groupBy("digest", "size").agg(latest, F.count("*").alias("n")).filter("n > 1")
+    groups = large.groupBy("digest", "size").agg(latest, F.count("*").alias("n")).filter("n > 1")
     return (
-        narrow.join(groups, ["digest", "size"]).filter(F.col("row") != F.col("latest.row"))
+        large.join(groups, ["digest", "size"]).filter(F.col("row") != F.col("latest.row"))
         .select("row", F.col("latest.row").alias("refers_row"), F.col("latest.page").alias("refers_page"))
     )
 
@@ -113,25 +110,33 @@ def write_archives(pages: DataFrame, folder: str, url: str = "url", html: str =
     A null html is an empty payload; a null url or page_id is left out of its
     record. Equal page_ids are told apart by their row. An empty table writes no
     archive and gives an empty index.
+
+    Which records respond is decided on narrow rows; the pages meet the decision
+    in one join, whose tasks write a file each.
     """
-    stored, row = keyed(pages, "pages")
-    source = stored.select(
-        F.col(row).alias("row"), F.col(quoted(page_id)).cast("string").alias("page"), F.col(quoted(url)).alias("url"),
-        F.coalesce(F.col(quoted(html)), F.lit("")).alias("html"),
+    table, key = keyed(pages, "pages")
+    body = F.coalesce(F.col(quoted(html)), F.lit(""))
+    narrow = written(
+        table.select(
+            F.col(key).alias("name"), F.monotonically_increasing_id().alias("row"), F.col(quoted(page_id)).alias("page"),
+            F.sha1(body).alias("digest"), F.octet_length(body).alias("size"),
+        ),
+        "payloads",
+    )
+    # As text: a missing number would make a column of the frames floating-point.
+    known = narrow.join(decide(narrow), "row", "left").select(
+        "name", "row", F.col("refers_row").cast("string"), F.col("refers_page").cast("string")
     )
-    plan = decide(stored, row, html, page_id).withColumn("refers_page", F.col("refers_page").cast("string"))
-    files = task_count(stored, text_bytes(stored, html))
-    dealt = (
-        source.join(plan, "row", "left")
-        .withColumn("file", F.pmod(F.xxhash64("row"), F.lit(files)).cast("int"))
-        .repartitionById(files, "file").sortWithinPartitions("file", "row")
+    source = table.select(
+        F.col(key).alias("key"), F.col(quoted(page_id)).cast("string").alias("page"), F.col(quoted(url)).alias("url"), body.alias("html")
     )
+    dealt = source.join(known, F.col("key") == F.col("name")).drop("key", "name").sortWithinPartitions("row")
 
     def write(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         first = next((f for f in frames if len(f)), None)
         if first is None:
             return
-        path, index = f"{folder}/part-{int(first['file'].iat[0]):06d}.warc.gz", []
+        path, index = f"{folder}/part-{TaskContext.get().partitionId():06d}.warc.gz", []
 
         def archive(out: BinaryIO) -> None:
             at, frame = 0, first
@@ -150,8 +155,6 @@ def write_archives(pages: DataFrame, folder: str, url: str = "url", html: str =
         write_file(path, archive)
         yield pd.DataFrame(index, columns=["file", "offset", "length", "url", "digest", "type", "row"])
 
-    # The frames carry refers_row as text: a missing number would make the column floating-point.
-    dealt = dealt.withColumn("refers_row", F.col("refers_row").cast("string"))
     dealt.mapInPandas(write, INDEX).write.parquet(f"{folder}/_index")
     return pages.sparkSession.read.schema(INDEX).parquet(f"{folder}/_index")
 
@@ -207,7 +210,9 @@ def read_records(selected: DataFrame, with_payload: bool = True) -> DataFrame:
 
     names = [c.split()[0] for c in RECORD.split(", ")]
     spots = selected.select("file", "offset", "length")
-    return spots.repartition("file").sortWithinPartitions("file", "offset").mapInPandas(read, RECORD)
+    # By number, not by the size of the index: what is read is far larger than its rows.
+    tasks = int(selected.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return spots.repartition(tasks, "file").sortWithinPartitions("file", "offset").mapInPandas(read, RECORD)
 
 
 def archive_pages(pages: DataFrame, **names: str) -> DataFrame:
