@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from harness.workload import AS_OF, DIM, POSTINGS_SQL, RAW_PAGES_SQL
-from postrank.config import SKILLS
 
 NOW = f"TIMESTAMP '{AS_OF}'"
 WORDS = r"[^\p{L}\p{N}_]"
@@ -51,7 +50,20 @@ def phrases(text: str, *words: str) -> str:
     return "(" + " OR ".join(tests) + ")"
 
 
-SKILL_LIST = "[" + ", ".join(f"CASE WHEN {found('search_text', s.pattern)} THEN '{s.tag}' END" for s in SKILLS) + "]"
+# --- Fixed values: skill tags and their patterns, in tag order, apart from the package's ---
+SKILL_PATTERNS = (
+    ("python", r"\bpython\b"), ("sql", r"\bsql\b"), ("pyspark", r"\bpyspark\b"), ("scala", r"\bscala\b"),
+    ("spark", r"\bspark\b"), ("aws", r"\baws\b|amazon\s?web\s?services"), ("S3", r"\bs3\b|amazon\s?s3"),
+    ("Lambda", r"\blambda\b"), ("ECR", r"\becr\b"), ("Athena", r"\bathena\b"), ("dbt", r"\bdbt\b"),
+    ("snowflake", r"\bsnowflake\b"), ("airflow", r"\bairflow\b"), ("pandas", r"\bpandas\b"),
+    ("streamlit", r"\bstreamlit\b"), ("fastapi", r"\bfastapi|fast\s?api\b"), ("git", r"\bgit\b"),
+    ("github_actions", r"github\s?actions"), ("cicd", r"ci/cd|continuous\s?integration|continuous\s?delivery"),
+    ("docker", r"\bdocker\b"), ("kubernetes", r"kubernetes|\bk8s\b"), ("terraform", r"\bterraform\b"),
+    ("architecture_medaillon", r"architecture\s?m[ée]daillon|medallion\s?architecture"),
+    ("etl", r"\betl\b|extract\s?transform\s?load"), ("elt", r"\belt\b|extract\s?load\s?transform"),
+)
+SKILL_LIST = "[" + ", ".join(f"CASE WHEN {found('search_text', p)} THEN '{tag}' END" for tag, p in SKILL_PATTERNS) + "]"
+# --- Fixed values: phrases, patterns and labels below are those the rules must have ---
 ETHICAL = ("impact", "green", "environnement", "transition", "coopérative", "scic", "scop", "ess")
 
 DESCRIBED = """
@@ -65,13 +77,13 @@ CHAIN = [
     f"postings AS ({POSTINGS_SQL})",
     f"""normalised AS (
   SELECT *, coalesce(try_cast(created_at AS TIMESTAMP), {NOW}) AS published_at,
-         trim(regexp_replace(location, '\\(?[0-9]{{2,5}}\\)?|-', '', 'g'), ' ') AS location_clean
+         trim(regexp_replace(location, '\\(?[0-9]{{2,5}}\\)?|-', '', 'g'), ' ') AS location_clean,
+         md5(concat_ws(chr(31), title, company_name, description)) AS digest
   FROM postings)""",
     """by_id AS (
   SELECT * FROM normalised QUALIFY row_number() OVER (
     PARTITION BY job_id, source_name
-    ORDER BY published_at DESC NULLS LAST, url ASC NULLS LAST, title ASC NULLS LAST,
-             company_name ASC NULLS LAST, description ASC NULLS LAST) = 1)""",
+    ORDER BY published_at DESC NULLS LAST, url ASC NULLS LAST, digest, doc_id) = 1)""",
     """printed AS (
   SELECT *, sha256(concat_ws('||', lower(translate(trim(title, ' '), '–—―', '---')),
                              lower(translate(trim(company_name, ' '), '–—―', '---')),
@@ -253,6 +265,7 @@ judged AS (
   SELECT *, CASE WHEN NOT is_json THEN 'not a JSON object'
                  WHEN listed IS NOT NULL AND json_type(listed) <> 'ARRAY' THEN 'results is not a list' END AS problem,
          CASE WHEN listed IS NULL OR json_type(listed) <> 'ARRAY' THEN []
+              WHEN source = 'jsearch' THEN json_extract_string(listed, '$[*].job_id')
               ELSE json_extract_string(listed, '$[*].id') END AS id_list
   FROM parsed),
 good AS (
@@ -276,7 +289,7 @@ STAGED = {
         FROM postings WHERE source_name = 'Adzuna'""",
     "France Travail": f"""SELECT job_id, title, coalesce(company_name, 'Non renseigné') AS company_name, description,
         location, CASE WHEN salary_info IS NOT NULL
-                       THEN CAST(json_object('libelle', salary_info) AS VARCHAR) END AS salary_info,
+                       THEN CAST(json_object('libelle', salary_info, 'minimum', 38000, 'autre', '45k') AS VARCHAR) END AS salary_info,
         {CREATED} AS created_at, url, source_name
         FROM postings WHERE source_name = 'France Travail'""",
     "JSearch": f"""SELECT job_id, title, company_name, description, concat_ws(', ', location, 'FR') AS location,
@@ -317,6 +330,10 @@ def band(column: str) -> str:
             f" || ' ' || {column} || '%' AS {column.replace('_score', '_visual')}")
 
 
+VISUALS = ", ".join(band(c).rpartition(" AS ")[0] for c in ("matching_score", "semantic_score", "rules_score"))
+VISUALS_TEXT = f"concat_ws(chr(31), {VISUALS})"
+
+
 def euros(column: str) -> str:
     return f"CASE WHEN {column} > 0 THEN replace(format('{{:,}}', {column}), ',', ' ') || ' €' ELSE 'N/A' END"
 
@@ -327,7 +344,7 @@ def check(name: str, column: str, severity: str, failing: str, source: str) -> s
 
 
 BEST_FIRST = """ORDER BY matching_score DESC NULLS LAST, published_at DESC NULLS LAST, platform NULLS LAST,
-  original_url NULLS LAST, title NULLS LAST, company_name NULLS LAST, city NULLS LAST, description NULLS LAST"""
+  original_url NULLS LAST, title NULLS LAST, company_name NULLS LAST, city NULLS LAST, md5(description) NULLS LAST"""
 
 
 def rule_select(*names: str) -> str:
@@ -346,13 +363,28 @@ ORACLES = {
     "envelope_normalize": PAGES + """SELECT block, source, keyword, run, page, CAST(n AS BIGINT) AS count,
         coalesce(array_to_string(id_list, ','), '') AS ids FROM good""",
     "payload_quarantine": PAGES + "SELECT block, source, page, problem FROM judged WHERE problem IS NOT NULL",
-    "assemble_pages": PAGES + """, early AS (
-  SELECT *, row_number() OVER run_pages AS place, max(CASE WHEN len(id_list) = 0 THEN 1 ELSE 0 END) OVER run_pages AS closed
-  FROM good WHERE page <= 3 WINDOW run_pages AS (PARTITION BY source, keyword, run ORDER BY page))
-SELECT source, keyword, run, max(CASE WHEN page = 1 THEN CAST(n AS BIGINT) END) AS count,
-       coalesce(string_agg(array_to_string(id_list, ','), ',' ORDER BY page)
-                FILTER (WHERE place = page AND closed = 0), '') AS ids
-FROM early GROUP BY source, keyword, run""",
+    "assemble_pages": PAGES + """, placed AS (
+  SELECT *, row_number() OVER (PARTITION BY source, keyword, run ORDER BY page) AS place,
+         max(CASE WHEN page = 1 THEN CAST(n AS BIGINT) END) OVER (PARTITION BY source, keyword, run) AS total_of_run
+  FROM good WHERE len(id_list) > 0)
+SELECT source, keyword, run, page, total_of_run AS count, array_to_string(id_list, ',') AS ids
+FROM placed WHERE place = page""",
+    "ingest_chain": """WITH d AS (SELECT *, (doc_id // 40) % 4 AS kind FROM documents)
+SELECT CAST(doc_id AS VARCHAR) AS job_id, CAST(NULL AS VARCHAR) AS title,
+       CASE WHEN kind = 1 THEN 'Non renseigné' END AS company_name, text AS description,
+       CASE WHEN kind = 3 THEN '' END AS location, CAST(NULL AS VARCHAR) AS salary_info,
+       CAST(NULL AS VARCHAR) AS created_at, CAST(NULL AS VARCHAR) AS url,
+       CASE kind WHEN 0 THEN 'Adzuna' WHEN 1 THEN 'France Travail' WHEN 2 THEN 'Jooble' ELSE 'JSearch' END AS source_name
+FROM d""",
+    "rejected_payloads": f"""SELECT
+  CASE source WHEN 'adzuna' THEN 'Adzuna' WHEN 'france_travail' THEN 'France Travail'
+              WHEN 'jooble' THEN 'Jooble' ELSE 'JSearch' END AS source_name,
+  CASE WHEN payload = 'oops' THEN 'not a JSON object' ELSE 'fields of another kind' END AS problem, payload
+FROM ({RAW_PAGES_SQL}) WHERE payload = 'oops' OR payload LIKE '%"results":"not_a_list"%'""",
+    "stage_multiline": PRELUDE + " UNION ALL ".join(STAGED.values()),
+    "bronze_keys": PRELUDE + """SELECT source_name, 'Data Engineer ' || ((doc_id // 200) % 5) AS keyword,
+        'data_engineer_' || ((doc_id // 200) % 5) || '_000000' AS file_key, '2024-01-31T00:00:00' AS ingested_at,
+        CAST(count(*) AS INTEGER) AS results FROM postings GROUP BY source_name, doc_id // 200""",
     "profile_load": """SELECT CAST(vec_id AS VARCHAR) AS profile_id, 'profile "' || label || '", of many' AS description,
         CAST(len(embedding) AS INTEGER) AS dim, round(list_sum(embedding::DOUBLE[]), 4) AS vector_sum FROM embeddings""",
     "profile_build": f"""WITH {embedded('documents', 'doc_id', 'text')}
@@ -366,7 +398,7 @@ LEFT JOIN weights z ON z.k = d.doc_id AND z.bucket = {DIM - 1}""",
     "silver_staging": PRELUDE + f"SELECT {STORED}, location_clean AS job_location FROM silver",
     "run_log": f"""SELECT CAST(doc_id AS VARCHAR) AS run_id, strftime({NOW}, '%Y-%m-%d %H:%M:%S') AS run_at,
         CASE WHEN doc_id % 4 = 0 THEN 'FAILED' ELSE 'SUCCESS' END AS status, source AS source_name,
-        CAST(n_chars AS BIGINT) AS records_count, substr(text, 1, 500) AS error_message FROM documents""",
+        CAST(n_chars AS BIGINT) AS records_count, text AS error_message FROM documents""",
     "latest_run": """SELECT event_type AS status, CAST(ts AS VARCHAR) AS last_run,
         CAST(trunc(value) AS BIGINT) AS count
         FROM events ORDER BY ts DESC, CAST(event_id AS VARCHAR) DESC LIMIT 1""",
@@ -390,14 +422,15 @@ SELECT doc_id, source_name, CAST(CASE WHEN source_name IN ('France Travail', 'JS
   WHEN source_name IN ('Adzuna', 'Jooble') THEN 0.75 ELSE 0.8 END AS DOUBLE) AS data_quality_score FROM named""",
     "fingerprint": PRELUDE + "SELECT doc_id, fingerprint FROM printed",
     "embed_text": PRELUDE + ", " + embedded(
-        "described", "doc_id", "substr(concat_ws(' ', title, description), 1, 1000)"
+        "described", "doc_id", "concat_ws(' ', title, description)"
     ) + "\nSELECT k AS doc_id, CAST(bucket AS INTEGER) AS bucket, round(weight, 6) AS weight FROM weights",
-    "dedup_by_id": PRELUDE + "SELECT doc_id, job_id, source_name FROM by_id",
-    "dedup_by_fingerprint": PRELUDE + "SELECT doc_id, job_id, source_name, title FROM by_fingerprint",
-    "dedup_by_url": PRELUDE + """SELECT doc_id, job_id, url FROM normalised
+    "dedup_by_id": PRELUDE + "SELECT doc_id, job_id, source_name, md5(description) AS text FROM by_id",
+    "dedup_by_fingerprint": PRELUDE + """SELECT doc_id, job_id, source_name, title, md5(description) AS text
+        FROM by_fingerprint""",
+    "dedup_by_url": PRELUDE + """SELECT doc_id, job_id, url, md5(description) AS text FROM normalised
   JOIN cosines USING (vec_id) QUALIFY row_number() OVER (
     PARTITION BY coalesce(url, job_id)
-    ORDER BY published_at DESC NULLS LAST, source_name NULLS LAST, job_id NULLS LAST, description NULLS LAST) = 1""",
+    ORDER BY published_at DESC NULLS LAST, source_name NULLS LAST, job_id NULLS LAST, digest, doc_id) = 1""",
     "valid_vectors": """SELECT vec_id FROM (
         SELECT vec_id, CASE WHEN vec_id % 11 = 5 THEN NULL WHEN vec_id % 7 = 3 THEN embedding[1:63]
                        ELSE embedding END AS e FROM embeddings) WHERE e IS NOT NULL AND len(e) = 64""",
@@ -438,6 +471,19 @@ SELECT doc_id, source_name, CAST(CASE WHEN source_name IN ('France Travail', 'JS
         CASE WHEN length(title) > 45 THEN left(title, 45) || '...' ELSE title END AS title_short,
         {labels_cut('positive_labels', 2)} AS top_positive, {labels_cut('negative_labels', 1)} AS top_negative
         FROM ranked {BEST_FIRST} LIMIT 3""",
+    "filtered_top_3": PRELUDE + f""", filtered AS (
+  SELECT title, company_name, platform, published_at, original_url, city, description,
+         matching_score, {euros('salary_min')} AS salary_visual, {band('matching_score')},
+         concat_ws(chr(31), title, company_name, city, salary_min, skills, description,
+           strftime(published_at, '%Y-%m-%d %H:%M:%S'), matching_score, semantic_score, rules_score, positive_labels,
+           negative_labels, original_url, platform, ingestion_date, {euros('salary_min')}, {VISUALS}) AS displayed
+  FROM displayed WHERE matching_score >= 40 AND published_at >= {NOW} - INTERVAL 24 HOURS)
+SELECT title, platform, matching_score, matching_visual, salary_visual, true AS is_new FROM filtered
+WHERE regexp_matches(displayed, '(?i)n/a|junior') {BEST_FIRST} LIMIT 3""",
+    "search_displayed": PRELUDE + f"""SELECT title, platform, original_url, {band('matching_score')},
+        {euros('salary_min')} AS salary_visual FROM displayed WHERE matching_score >= 30 AND (
+          {euros('salary_min')} = 'N/A' OR lower(coalesce(title, '')) = 'n/a' OR lower(coalesce(description, '')) = 'n/a'
+          OR contains({VISUALS_TEXT}, '🟡 6'))""",
     "kpi_summary": PRELUDE + f"""SELECT count(*) AS postings,
         count(*) FILTER (WHERE published_at >= {NOW} - INTERVAL 24 HOURS) AS new_postings,
         CAST(trunc(avg(CAST(matching_score AS INTEGER))) AS INTEGER) AS avg_matching_score FROM ranked""",
@@ -460,6 +506,27 @@ SELECT avg_salary, {euros('avg_salary')} AS avg_salary_text FROM mean""",
     )),
     "dq_blank": PRELUDE + check(
         "not_blank", "url", "warn", "url IS NULL OR (doc_id // 4) % 9 = 2", "postings"),
+    "dq_silver": PRELUDE + " UNION ALL ".join([
+        *[check("not_null", c, s, f"{c} IS NULL", "silver") for c, s in (
+            ("job_id", "error"), ("published_at", "error"), ("title", "warn"), ("company_name", "warn"), ("url", "warn"))],
+        check("accepted_values", "source_name", "error", f"source_name NOT IN {SOURCE_LIST}", "silver"),
+        check("unique", "job_id", "error", "true",
+              "(SELECT job_id FROM silver WHERE job_id IS NOT NULL GROUP BY 1 HAVING count(*) > 1)"),
+    ]),
+    "dq_staging": PRELUDE + " UNION ALL ".join([
+        *[check("not_null", c, s, f"{c} IS NULL", "silver") for c, s in (
+            ("job_id", "error"), ("title", "warn"), ("company_name", "warn"), ("url", "warn"), ("description", "warn"),
+            ("published_at", "error"), ("ingestion_date", "error"))],
+        check("accepted_values", "source_name", "error", f"source_name NOT IN {SOURCE_LIST}", "silver"),
+        check("unique", "job_id", "error", "true",
+              "(SELECT job_id FROM silver WHERE job_id IS NOT NULL GROUP BY 1 HAVING count(*) > 1)"),
+    ]),
+    "dq_ranking": PRELUDE + " UNION ALL ".join([
+        *[check("not_null", c, s, f"{c} IS NULL", "ranked") for c, s in (
+            ("title", "warn"), ("company_name", "warn"), ("matching_score", "error"), ("published_at", "error"),
+            ("ingestion_date", "error"))],
+        check("accepted_values", "platform", "error", f"platform NOT IN {SOURCE_LIST}", "ranked"),
+    ]),
     "dq_report": PRELUDE + " UNION ALL ".join([
         *[check("not_null", c, s, f"{c} IS NULL", "gold") for c, s in (
             ("job_id", "error"), ("matching_score", "error"), ("title", "warn"), ("url", "warn"),

@@ -10,9 +10,10 @@ from pyspark.sql import functions as F
 from harness.workload import AS_OF, CONFIG, DIM, div, envelopes, postings, raw_pages, table
 from postrank.functions import features, rules, text
 from postrank.operators import clean, display, quality, ranking, scoring, similarity
-from postrank.operators.dedupe import dedupe_by_fingerprint, dedupe_by_id, dedupe_by_url
+from postrank.operators.dedupe import ROW, dedupe_by_both, dedupe_by_id, dedupe_by_url
+from postrank.plans.runs import ingest, publish_views
 from postrank.sources import bronze, pages, profile, runlog, tables
-from postrank.storage import scratch_dir
+from postrank.storage import scratch_dir, written
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -57,22 +58,45 @@ def with_vectors(spark, sf_dir, df):
 
 
 def silver(spark, sf_dir):
-    kept = clean.distinct_postings(postings(spark, sf_dir), CONFIG)
+    kept = clean.distinct_postings(postings(spark, sf_dir), CONFIG, "doc_id")
     return with_vectors(spark, sf_dir, clean.add_features(kept, CONFIG))
 
 
 def profile_of(spark, sf_dir):
     """The vector every posting is compared with: the one of vec_id 0."""
     first = table(spark, sf_dir, "embeddings").filter(F.col("vec_id") == 0)
-    return similarity.profile_vector(first, "embedding")
+    return similarity.profile_vector(first, "embedding", DIM)
+
+
+STORED_PATHS: dict[tuple[str, str, str], str] = {}
+
+
+def stored_path(spark, sf_dir, kind, write):
+    """The folder of a table written once per session and table folder, as a run does."""
+    key = (spark.sparkContext.applicationId, sf_dir, kind)
+    if key not in STORED_PATHS:
+        path = scratch_dir(spark, kind)
+        write(path)
+        STORED_PATHS[key] = path
+    return STORED_PATHS[key]
+
+
+def stored_silver(spark, sf_dir, row=None):
+    path = stored_path(spark, sf_dir, "silver", lambda to: tables.write_silver(silver(spark, sf_dir), to))
+    return tables.read_silver(spark, path, row)
 
 
 def gold(spark, sf_dir):
-    return scoring.build_gold(silver(spark, sf_dir), CONFIG, profile_of(spark, sf_dir))
+    return scoring.build_gold(stored_silver(spark, sf_dir, ROW), CONFIG, profile_of(spark, sf_dir), ROW)
+
+
+def stored_gold(spark, sf_dir):
+    path = stored_path(spark, sf_dir, "gold", lambda to: tables.write_gold(gold(spark, sf_dir), to))
+    return spark.read.parquet(path)
 
 
 def ranked(spark, sf_dir):
-    return ranking.ranking(gold(spark, sf_dir), CONFIG)
+    return ranking.ranking(stored_gold(spark, sf_dir), CONFIG)
 
 
 def scored_rows(spark, sf_dir):
@@ -131,11 +155,16 @@ def source_counts(spark, sf_dir):
     return postings(spark, sf_dir).groupBy("source_name").agg(F.count("*").alias("postings"))
 
 
+def ids_of(results):
+    """Ids of the results of a page, whatever the source calls them."""
+    return F.array_join(F.transform(results, lambda r: F.coalesce(
+        F.try_variant_get(r, "$.id", "string"), F.try_variant_get(r, "$.job_id", "string"))), ",")
+
+
 @query
 def envelope_normalize(spark, sf_dir):
     good, _ = pages.quarantine(pages.normalize_envelopes(raw_pages(spark, sf_dir)))
-    ids = F.transform(pages.parse_results(F.col("results")), lambda r: F.get_json_object(r, "$.id"))
-    return good.select("block", "source", "keyword", "run", "page", "count", F.array_join(ids, ",").alias("ids"))
+    return good.select("block", "source", "keyword", "run", "page", "count", ids_of("results").alias("ids"))
 
 
 @query
@@ -146,12 +175,49 @@ def payload_quarantine(spark, sf_dir):
 
 @query
 def assemble_pages(spark, sf_dir):
-    good, _ = pages.quarantine(pages.normalize_envelopes(raw_pages(spark, sf_dir)))
-    whole = pages.assemble_pages(
-        good.withColumn("results", pages.parse_results(F.col("results"))), ["source", "keyword", "run"]
-    )
-    ids = F.transform("results", lambda r: F.get_json_object(r, "$.id"))
-    return whole.select("source", "keyword", "run", "count", F.array_join(ids, ",").alias("ids"))
+    """Every page that counts, with the total of its run."""
+    good, _ = pages.quarantine(written(pages.normalize_envelopes(raw_pages(spark, sf_dir)), "pages"))
+    whole = pages.assemble_pages(good, ["source", "keyword", "run"])
+    return whole.select("source", "keyword", "run", "page", "count", ids_of("results").alias("ids"))
+
+
+@query
+def ingest_chain(spark, sf_dir):
+    """Raw pages to stored payloads to staged postings: as many as the pages hold."""
+    root = scratch_dir(spark, "bronze")
+    raw = raw_pages(spark, sf_dir).withColumn("ingested_at", F.to_timestamp(F.lit(AS_OF)))
+    ingest(raw, root, ["source", "keyword", "run"])
+    return bronze.stage_written(spark, root)
+
+
+@query
+def rejected_payloads(spark, sf_dir):
+    """Payloads stored unchecked, and which of them staging cannot read."""
+    root = scratch_dir(spark, "unchecked")
+    raw_pages(spark, sf_dir).select("payload", "source").write.partitionBy("source").text(root)
+    return bronze.rejected_of_all(spark, root, multi_line=False, layout=bronze.WRITTEN_LAYOUT)
+
+
+@query
+def stage_multiline(spark, sf_dir):
+    """All sources from payloads of one object per file, over many lines."""
+    root = scratch_dir(spark, "objects")
+    for source, folder in bronze.FOLDERS.items():
+        whole = F.to_json(F.struct("count", "results", "keyword"), {"pretty": "true"})
+        envelopes(spark, sf_dir, source).select(whole).write.option("maxRecordsPerFile", 1).text(f"{root}/{folder}")
+    return bronze.stage_all(spark, root)
+
+
+@query
+def bronze_keys(spark, sf_dir):
+    """What the stored payloads say of themselves."""
+    root = scratch_dir(spark, "bronze")
+    found = []
+    for source, folder in bronze.FOLDERS.items():
+        bronze.write_envelopes(envelopes(spark, sf_dir, source), root)
+        path = f"{root}/{bronze.WRITTEN_LAYOUT.format(folder=folder)}"
+        found.append(bronze.file_keys(spark, path, source, multi_line=False).withColumn("source_name", F.lit(source)))
+    return bronze.union_sources(found)
 
 
 @query
@@ -193,12 +259,6 @@ STORED = (
 )
 
 
-def stored_silver(spark, sf_dir):
-    path = scratch_dir(spark, "silver")
-    tables.write_silver(silver(spark, sf_dir), path)
-    return tables.read_silver(spark, path)
-
-
 def stored_columns(location):
     return [
         *STORED, location, stamp("published_at"), joined("extracted_skills"),
@@ -331,20 +391,20 @@ def embed_text(spark, sf_dir):
 
 @query
 def dedup_by_id(spark, sf_dir):
-    return dedupe_by_id(normalised(spark, sf_dir)).select("doc_id", "job_id", "source_name")
+    return dedupe_by_id(normalised(spark, sf_dir), "doc_id").select("doc_id", "job_id", "source_name", F.md5("description").alias("text"))
 
 
 @query
 def dedup_by_fingerprint(spark, sf_dir):
-    kept = dedupe_by_fingerprint(dedupe_by_id(normalised(spark, sf_dir)))
-    return kept.select("doc_id", "job_id", "source_name", "title")
+    kept = dedupe_by_both(normalised(spark, sf_dir), "doc_id")
+    return kept.select("doc_id", "job_id", "source_name", "title", F.md5("description").alias("text"))
 
 
 @query
 def dedup_by_url(spark, sf_dir):
     rows = normalised(spark, sf_dir).withColumn("ingestion_date", text.moment(AS_OF).cast("date"))
     usable = similarity.valid_vectors(with_vectors(spark, sf_dir, rows), "description_vector", DIM)
-    return dedupe_by_url(usable).select("doc_id", "job_id", "url")
+    return dedupe_by_url(usable, "doc_id").select("doc_id", "job_id", "url", F.md5("description").alias("text"))
 
 
 # ---- similarity ----
@@ -420,7 +480,9 @@ def gold_scored(spark, sf_dir):
 
 @query
 def ranking_view(spark, sf_dir):
-    return shown(ranking.ranking_view(gold(spark, sf_dir), CONFIG))
+    """Read by name, as the dashboard's server does."""
+    publish_views(stored_silver(spark, sf_dir), stored_gold(spark, sf_dir), CONFIG)
+    return shown(spark.table("ranked_postings"))
 
 
 @query
@@ -468,6 +530,22 @@ def top_3(spark, sf_dir):
     )
 
 
+@query
+def filtered_top_3(spark, sf_dir):
+    """The dashboard's filters one after another, the search over what it displays, then its cards."""
+    left = display.dashboard(ranked(spark, sf_dir), AS_OF, 40, only_fresh=True, pattern="n/a|junior")
+    return display.top_cards(left, AS_OF).select(
+        "title", "platform", "matching_score", "matching_visual", "salary_visual", "is_new"
+    )
+
+
+@query
+def search_displayed(spark, sf_dir):
+    """A search for what only the display shows: no salary, and a band."""
+    left = display.dashboard(ranked(spark, sf_dir), AS_OF, 30, pattern="^n/a$|🟡 6")
+    return left.select("title", "platform", "original_url", "matching_visual", "salary_visual")
+
+
 @query
 def kpi_summary(spark, sf_dir):
     return display.key_figures(ranked(spark, sf_dir), AS_OF)
@@ -514,10 +592,22 @@ def dq_blank(spark, sf_dir):
     return quality.run_checks(df, quality.not_blank("url"))
 
 
+@query
+def dq_silver(spark, sf_dir):
+    return quality.silver_report(stored_silver(spark, sf_dir))
+
+
+@query
+def dq_staging(spark, sf_dir):
+    return quality.staging_report(scoring.staging_view(stored_silver(spark, sf_dir)))
+
+
+@query
+def dq_ranking(spark, sf_dir):
+    return quality.ranking_report(ranked(spark, sf_dir))
+
+
 @query
 def dq_report(spark, sf_dir):
     """All checks of the scored table, over the table as stored."""
-    path = scratch_dir(spark, "gold")
-    scored = gold(spark, sf_dir)
-    tables.write_gold(scored, path)
-    return quality.gold_report(spark.read.schema(scored.schema).parquet(path))
+    return quality.gold_report(stored_gold(spark, sf_dir))

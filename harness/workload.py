@@ -52,7 +52,7 @@ def postings(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
     vectors = table(spark, sf_dir, "embeddings").agg(F.count("*")).scalar()
     suffix = F.when(d % 3 == 0, F.lit("")).otherwise(F.concat(F.lit(" "), div(d, 16).cast("string")))
-    body = F.when(d % 17 == 0, F.lit("")).otherwise(F.concat(F.lit(" "), F.col("text")))
+    body = F.concat(F.lit(" "), F.col("text"))
     day = F.lpad((1 + d % 30).cast("string"), 2, "0")
     return documents.select(
         "doc_id",
@@ -89,7 +89,7 @@ SELECT doc_id,
        {_sql_pick(LOCATIONS, "(doc_id // 2) % 5")} AS location,
        {_sql_pick(SALARIES, "doc_id % 7")} AS salary_info,
        {_sql_pick(PHRASES, "doc_id % 13")}
-         || CASE WHEN doc_id % 17 = 0 THEN '' ELSE ' ' || text END AS description,
+         || ' ' || text AS description,
        CASE WHEN doc_id % 10 = 9 THEN 'n/a'
             ELSE '2024-01-' || lpad(CAST(1 + doc_id % 30 AS VARCHAR), 2, '0') || ' 12:00:00' END AS created_at,
        CASE WHEN doc_id % 50 <> 0
@@ -98,63 +98,74 @@ SELECT doc_id,
 FROM documents
 """
 
-# One page is a block of 8 documents, five pages a run. Some payloads are
-# empty, hold text instead of a list, lack the list, or are no JSON at all.
+# One page is a block of 8 documents, five pages a run. Behind the pages of each
+# run comes one more that is empty, holds text instead of a list, lacks the
+# list, or is no JSON at all.
 SHAPE_NAMES = list(SHAPES)
-EMPTY, TEXT, ABSENT, BROKEN = (7, 3), (11, 5), (13, 6), (17, 8)
+ITEM_FIELDS = {
+    "adzuna": ("id", "description"), "france_travail": ("id", "description"),
+    "jooble": ("id", "snippet"), "jsearch": ("job_id", "job_description"),
+}
+BAD_PAGE = 6
+EXTRA = ("empty", "text", "absent", "broken")
 
 
 def raw_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    b = F.col("block")
+    b, run = F.col("block"), div(F.col("block"), 5)
+    documents = table(spark, sf_dir, "documents")
+    item = F.struct("doc_id", "text")
+    blocks = documents.groupBy(div(F.col("doc_id"), 8).alias("block")).agg(F.sort_array(F.collect_list(item)).alias("items"))
 
-    def case(rule: tuple[int, int]) -> Column:
-        return b % rule[0] == rule[1]
+    def renamed(key: str, body: str) -> Column:
+        return F.to_json(F.transform("items", lambda x: F.struct(x["doc_id"].alias(key), x["text"].alias(body))))
 
-    item = F.struct(F.col("doc_id").alias("id"), F.col("text").alias("description"))
-    blocks = table(spark, sf_dir, "documents").groupBy(div(F.col("doc_id"), 8).alias("block")).agg(
-        F.sort_array(F.collect_list(item)).alias("items")
-    )
-    run = div(b, 5)
+    named = {s: renamed(*fields) for s, fields in ITEM_FIELDS.items()}
+    source = pick(SHAPE_NAMES, run % 4)
     keys = pick([SHAPES[s].results_key for s in SHAPE_NAMES], run % 4)
     totals = pick([SHAPES[s].count_key or "total" for s in SHAPE_NAMES], run % 4)
-    results = (
-        F.when(case(EMPTY), F.lit("[]")).when(case(TEXT), F.lit('"not_a_list"')).otherwise(F.to_json("items"))
-    )
-    listed = F.when(case(ABSENT), F.lit("")).otherwise(F.concat(F.lit(',"'), keys, F.lit('":'), results))
     counted = F.when(b % 3 == 0, F.lit("")).otherwise(F.concat(F.lit(',"'), totals, F.lit('":'), (b * 10).cast("string")))
-    body = F.concat(F.lit('{"page":'), (b % 5 + 1).cast("string"), counted, listed, F.lit("}"))
-    return blocks.select(
-        "block",
-        pick(SHAPE_NAMES, run % 4).alias("source"),
-        F.concat(F.lit("kw"), (run % 3).cast("string")).alias("keyword"),
-        run.alias("run"),
-        (b % 5 + 1).alias("page"),
-        F.when(case(BROKEN), F.lit("oops")).otherwise(body).alias("payload"),
-    )
-
-
-def _sql_case(rule: tuple[int, int]) -> str:
-    return f"block % {rule[0]} = {rule[1]}"
-
-
+    results = F.coalesce(*[F.when(source == s, text) for s, text in named.items()])
+
+    def page(rows: DataFrame, number: Column, block: Column, payload: Column) -> DataFrame:
+        return rows.select(
+            block.alias("block"), source.alias("source"), F.concat(F.lit("kw"), (run % 3).cast("string")).alias("keyword"),
+            run.alias("run"), number.alias("page"), payload.alias("payload"),
+        )
+
+    start = F.concat(F.lit('{"page":'), (b % 5 + 1).cast("string"), counted)
+    real = page(blocks, b % 5 + 1, b, F.concat(start, F.lit(',"'), keys, F.lit('":'), results, F.lit("}")))
+    runs = documents.select((div(F.col("doc_id"), 40) * 5).alias("block")).distinct()
+    bad = {
+        "empty": F.concat(F.lit('{"page":6,"'), keys, F.lit('":[]}')),
+        "text": F.concat(F.lit('{"page":6,"'), keys, F.lit('":"not_a_list"}')),
+        "absent": F.lit('{"page":6}'),
+        "broken": F.lit("oops"),
+    }
+    kind = pick(list(EXTRA), div(run, 4) % 4)
+    more = page(runs, F.lit(BAD_PAGE).cast("long"), -b - 1, F.coalesce(*[F.when(kind == k, text) for k, text in bad.items()]))
+    return real.unionByName(more)
+
+
+_SQL_SOURCE = _sql_pick(SHAPE_NAMES, "run % 4")
+_SQL_KEY = _sql_pick([SHAPES[s].results_key for s in SHAPE_NAMES], "run % 4")
+_SQL_TOTAL = _sql_pick([SHAPES[s].count_key or "total" for s in SHAPE_NAMES], "run % 4")
+_SQL_ITEMS = "CASE " + " ".join(
+    f"WHEN {_SQL_SOURCE} = '{s}' THEN CAST(to_json(list({{'{f[0]}': doc_id, '{f[1]}': text}} ORDER BY doc_id)) AS VARCHAR)"
+    for s, f in ITEM_FIELDS.items()
+) + " END"
 RAW_PAGES_SQL = f"""
-SELECT block,
-       {_sql_pick(SHAPE_NAMES, "(block // 5) % 4")} AS source,
-       'kw' || ((block // 5) % 3) AS keyword,
-       block // 5 AS run,
-       block % 5 + 1 AS page,
-       CASE WHEN {_sql_case(BROKEN)} THEN 'oops' ELSE
-         '{{"page":' || (block % 5 + 1)
-         || CASE WHEN block % 3 = 0 THEN '' ELSE
-              ',"' || {_sql_pick([SHAPES[s].count_key or "total" for s in SHAPE_NAMES], "(block // 5) % 4")}
-              || '":' || (block * 10) END
-         || CASE WHEN {_sql_case(ABSENT)} THEN '' ELSE
-              ',"' || {_sql_pick([SHAPES[s].results_key for s in SHAPE_NAMES], "(block // 5) % 4")} || '":'
-              || CASE WHEN {_sql_case(EMPTY)} THEN '[]' WHEN {_sql_case(TEXT)} THEN '"not_a_list"' ELSE items END END
-         || '}}' END AS payload
-FROM (SELECT doc_id // 8 AS block,
-             CAST(to_json(list({{'id': doc_id, 'description': text}} ORDER BY doc_id)) AS VARCHAR) AS items
-      FROM documents GROUP BY 1)
+SELECT block, {_SQL_SOURCE} AS source, 'kw' || (run % 3) AS keyword, run, block % 5 + 1 AS page,
+       '{{"page":' || (block % 5 + 1)
+         || CASE WHEN block % 3 = 0 THEN '' ELSE ',"' || {_SQL_TOTAL} || '":' || (block * 10) END
+         || ',"' || {_SQL_KEY} || '":' || items || '}}' AS payload
+FROM (SELECT doc_id // 8 AS block, doc_id // 40 AS run, {_SQL_ITEMS.replace("run % 4", "(doc_id // 40) % 4")} AS items
+      FROM documents GROUP BY doc_id // 8, doc_id // 40, (doc_id // 40) % 4)
+UNION ALL
+SELECT -run * 5 - 1, {_SQL_SOURCE}, 'kw' || (run % 3), run, {BAD_PAGE},
+       CASE (run // 4) % 4 WHEN 0 THEN '{{"page":6,"' || {_SQL_KEY} || '":[]}}'
+                           WHEN 1 THEN '{{"page":6,"' || {_SQL_KEY} || '":"not_a_list"}}'
+                           WHEN 2 THEN '{{"page":6}}' ELSE 'oops' END
+FROM (SELECT DISTINCT doc_id // 40 AS run FROM documents)
 """
 
 
@@ -173,7 +184,7 @@ def envelopes(spark: SparkSession, sf_dir: str, source: str) -> DataFrame:
             F.col("job_id").alias("id"), F.col("title").alias("intitule"),
             F.struct(F.col("company_name").alias("nom")).alias("entreprise"), "description",
             F.struct(F.col("location").alias("libelle")).alias("lieuTravail"),
-            F.when(F.col("salary_info").isNotNull(), F.struct(F.col("salary_info").alias("libelle"))).alias("salaire"),
+            F.when(F.col("salary_info").isNotNull(), F.struct(F.col("salary_info").alias("libelle"), F.lit(38000).alias("minimum"), F.lit("45k").alias("autre"))).alias("salaire"),
             created.alias("dateCreation"), F.struct(F.col("url").alias("urlOrigine")).alias("origineOffre"),
         ),
         "JSearch": F.struct(

@@ -7,7 +7,6 @@ import argparse
 from pyspark.sql import SparkSession
 
 from postrank.config import RankingConfig
-from postrank.functions.embedding import embed_with, sentence_model
 from postrank.operators.ranking import DEFAULT_ROWS, top_n
 from postrank.plans.runs import Paths, run
 from postrank.sources.profile import read_profiles
@@ -20,7 +19,6 @@ def parse(arguments: list[str] | None) -> argparse.Namespace:
     parser.add_argument("--lines", action="store_true", help="payloads are one JSON object per line")
     parser.add_argument("--layout", default="{folder}", help="folder of a source below --bronze")
     parser.add_argument("--dim", type=int, default=384, help="length of the vectors")
-    parser.add_argument("--model", help="sentence model to embed with instead of hashed words")
     parser.add_argument("--limit", type=int, default=DEFAULT_ROWS, help="best postings to show")
     return parser.parse_args(arguments)
 
@@ -30,15 +28,16 @@ def main(arguments: list[str] | None = None) -> None:
     spark = SparkSession.builder.appName("postrank").getOrCreate()
     cfg = RankingConfig(as_of=given.as_of, vector_dim=given.dim)
     paths = Paths(given.bronze, given.silver, given.gold, given.log)
-    embed = embed_with(sentence_model(given.model)) if given.model else None
     result = run(
-        spark, cfg, paths, read_profiles(spark, given.profiles), embed, not given.lines, given.layout
+        spark, cfg, paths, read_profiles(spark, given.profiles), None, not given.lines, given.layout
     )
     print(f"{result.postings} postings from {result.per_source}")
+    for source, problem, payloads in result.rejected:
+        print(f"rejected: {payloads} of {source}, {problem}")
     for warning in result.warnings:
         print("warning:", warning)
     best = top_n(result.ranking, given.limit)
-    best.select("matching_score", "title", "company_name", "city", "original_url").show(given.limit, truncate=60)
+    best.select("matching_score", "title", "company_name", "city", "original_url").show(given.limit, truncate=False)
 
 
 if __name__ == "__main__":

@@ -72,7 +72,7 @@ REMOTE_NEEDLES = ("télétravail", "remote", "home", "distanciel")
 YEARS_PATTERN = r"(\d+)\s*(?:ans?|ann[ée]es?)(?:\s*d['\s]exp[ée]rience|\s*de\s*pratique|\s*minimum)?"
 MONTHS_PATTERN = r"(\d+)\s*mois"
 MONTHS_NEEDLE = "mois"
-SALARY_PATTERN = r"(\d{2}(?:\s?\d{3}|k))"
+SALARY_PATTERN = r"(\d{2}\s?\d{3}|\d{2}k|\d{5})"
 
 # --- Fixed values: trust in each source, and in any other ---
 SOURCE_QUALITY = {FRANCE_TRAVAIL: 1.0, JSEARCH: 1.0, ADZUNA: 0.75, JOOBLE: 0.75}
@@ -124,8 +124,8 @@ class RankingConfig:
     years_high: float = 5
     years_mid: float = 2
     fresh_days: int = 2
-    embedding_chars: int | None = 1000
-    """Length of the embedding input; ``None`` embeds the whole text."""
+    embedding_chars: int | None = None
+    """Embed only a prefix of this length; by default the whole text is embedded."""
 
     relevance_threshold: float = 40
     rules_share: float = 0.5

@@ -56,17 +56,3 @@ def embed_with(load_model: Callable[[], Callable[[list[str]], object]]) -> Calla
             yield pd.Series([[float(x) for x in row] for row in rows], index=texts.index)
 
     return vectors
-
-
-def sentence_model(name: str = "all-MiniLM-L6-v2") -> Callable[[], Callable[[list[str]], object]]:
-    """Loader for a sentence model, where that package is installed."""
-
-    def load():
-        try:
-            from sentence_transformers import SentenceTransformer
-        except ImportError as missing:
-            raise RuntimeError("the sentence model needs the package sentence-transformers") from missing
-        model = SentenceTransformer(name, device="cpu")
-        return lambda texts: model.encode(texts, show_progress_bar=False)
-
-    return load

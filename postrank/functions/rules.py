@@ -143,6 +143,7 @@ def skill_rules(cfg: RankingConfig) -> dict[str, Column]:
 
 
 RULE_GROUPS = (experience_rules, ethics_rules, culture_rules, freshness_rules, skill_rules)
+# --- Fixed values: columns of the rules, in order ---
 RULE_NAMES = (
     "score_junior", "score_seniority", "score_veto_intern", "score_years", "score_ethics", "score_impact",
     "score_training", "score_os", "score_status", "score_remote", "score_freshness", "p_tech_skills",

@@ -1,6 +1,6 @@
 """Staged postings to clean, deduplicated, feature-bearing postings.
 
-Order matters for cost: the two dedupes need only cheap columns, so they run
+Order matters for cost: the two dedupes need only narrow rows, so they run
 before the patterns and the embedding, which then see surviving rows only.
 """
 
@@ -14,15 +14,9 @@ from pyspark.sql import functions as F
 from postrank.config import RankingConfig
 from postrank.functions import features, text
 from postrank.functions.embedding import embed_hashed
-from postrank.operators.dedupe import dedupe_by_fingerprint, dedupe_by_id
+from postrank.operators.dedupe import ROW, dedupe_by_both, identified
 from postrank.schemas import SILVER_COLUMNS, STAGED_REQUIRED, require_columns
 
-TEXT_FEATURES = (
-    "extracted_skills", "salary_min_numeric", "exp_min_required",
-    "is_junior", "is_senior", "is_red_flag", "is_ethical", "is_remote",
-)
-
-
 def normalise(staged: DataFrame, cfg: RankingConfig) -> DataFrame:
     """Add ``published_at`` and ``location_clean``, all the dedupes need."""
     return staged.withColumns({
@@ -88,17 +82,23 @@ def add_embedding(
     return df.withColumn("description_vector", vector)
 
 
-def distinct_postings(staged: DataFrame, cfg: RankingConfig) -> DataFrame:
-    """Normalised postings, one per source id and one per fingerprint."""
-    return dedupe_by_fingerprint(dedupe_by_id(normalise(staged, cfg)))
+def distinct_postings(staged: DataFrame, cfg: RankingConfig, row: str | None = None) -> DataFrame:
+    """Normalised postings, one per source id and one per fingerprint.
+
+    ``row`` as in the dedupes; without it the staged postings are stored first,
+    so that payloads are parsed once.
+    """
+    table, name = identified(staged, row)
+    kept = dedupe_by_both(normalise(table, cfg), name)
+    return kept if row else kept.drop(ROW)
 
 
 def build_silver(
-    staged: DataFrame, cfg: RankingConfig, embed: Callable[[Column], Column] | None = None
+    staged: DataFrame, cfg: RankingConfig, embed: Callable[[Column], Column] | None = None, row: str | None = None
 ) -> DataFrame:
-    """The stored posting table, from the union of staged sources."""
+    """The stored posting table, from the union of staged sources; ``row`` as in the dedupes."""
     require_columns(staged, STAGED_REQUIRED, "after the union of sources")
-    featured = add_features(distinct_postings(staged, cfg), cfg)
+    featured = add_features(distinct_postings(staged, cfg, row), cfg)
     return require_columns(add_embedding(featured, cfg, embed), SILVER_COLUMNS, "before the write").select(
         *SILVER_COLUMNS
     )

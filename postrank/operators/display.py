@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from postrank.functions.rules import LABEL_SEPARATOR
-from postrank.operators.ranking import is_fresh, top_n
+from postrank.operators.ranking import is_fresh, search_any_column, top_n, with_min_score
 
 # --- Fixed values: score bands, currency and title length ---
 HIGH_SCORE, MIDDLE_SCORE = 80, 60
@@ -74,6 +74,19 @@ def top_cards(ranked: DataFrame, as_of: str | datetime, count: int = 3) -> DataF
     })
 
 
+def dashboard(
+    ranked: DataFrame, as_of: str | datetime, min_score: float, only_fresh: bool = False, pattern: str = ""
+) -> DataFrame:
+    """What the filters leave of the displayed list: score, then freshness, then search.
+
+    The search reads what is displayed, so "80%" and "N/A" are found.
+    """
+    shown = with_min_score(score_bands(display_clean(ranked)), min_score)
+    if only_fresh:
+        shown = shown.filter(is_fresh(as_of))
+    return search_any_column(shown, pattern) if pattern else shown
+
+
 def average_salary(ranked: DataFrame) -> DataFrame:
     """Truncated mean of positive salaries and its text, in one row."""
     salary = F.col("salary_min")

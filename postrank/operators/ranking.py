@@ -11,7 +11,6 @@ from pyspark.sql import types as T
 from postrank.config import RankingConfig
 from postrank.functions.text import moment, trim_whitespace
 
-MAX_ROWS = 1000
 DEFAULT_ROWS = 200
 DEFAULT_MIN_SCORE = 30
 
@@ -42,21 +41,26 @@ def ranking_view(gold: DataFrame, cfg: RankingConfig) -> DataFrame:
     """The ranking, best first and, within a score, last ingested first.
 
     Few scores and dates share many rows, so the order goes on to columns that
-    differ: the sort can then cut a run of equal scores into many ranges.
+    differ: the sort can then cut a run of equal scores into many ranges. It
+    ends with a digest of the description, never the text itself, because a
+    range sort samples its keys.
     """
     return ranking(gold, cfg).orderBy(*_order("matching_score", "ingestion_date", "published_at"))
 
 
 def _order(*descending: str) -> list[Column]:
-    ties = ("platform", "original_url", "title", "company_name", "city", "description")
-    return [F.desc_nulls_last(c) for c in descending] + [F.asc_nulls_last(c) for c in ties]
+    ties = (*map(F.col, ("platform", "original_url", "title", "company_name", "city")), F.md5("description"))
+    return [F.desc_nulls_last(c) for c in descending] + [c.asc_nulls_last() for c in ties]
 
 
 def top_n(ranked: DataFrame, limit: int = DEFAULT_ROWS) -> DataFrame:
-    """The best ``limit`` rows, at most 1000, newest first among equals."""
+    """The best ``limit`` rows, newest first among equals.
+
+    Few rows are picked in the map tasks; for many Spark sorts by range.
+    """
     if limit < 0:
         raise ValueError("limit must not be negative")
-    return ranked.orderBy(*_order("matching_score", "published_at")).limit(min(limit, MAX_ROWS))
+    return ranked.orderBy(*_order("matching_score", "published_at")).limit(limit)
 
 
 def with_min_score(ranked: DataFrame, minimum: float = DEFAULT_MIN_SCORE) -> DataFrame:

@@ -27,11 +27,11 @@ SCORE_COLUMNS = (
 )
 
 
-def staging_view(silver: DataFrame) -> DataFrame:
-    """Stored postings under the names scoring uses."""
+def staging_view(silver: DataFrame, *more: str) -> DataFrame:
+    """Stored postings under the names scoring uses, with ``more`` of their columns."""
     renamed = silver.withColumnRenamed("location_clean", "job_location")
     return renamed.withColumn("data_quality_score", F.col("data_quality_score").cast("double")).select(
-        *STAGING_COLUMNS
+        *STAGING_COLUMNS, *more
     )
 
 
@@ -77,7 +77,15 @@ def score_postings(df: DataFrame, cfg: RankingConfig, profile: list[float] | Non
     return add_final_scores(scored, cfg).select(*kept, *SCORE_COLUMNS)
 
 
-def build_gold(silver: DataFrame, cfg: RankingConfig, profile: list[float] | None) -> DataFrame:
-    """Scored postings, one per URL, of those with a usable vector."""
-    usable = valid_vectors(staging_view(silver), "description_vector", cfg.vector_dim)
-    return score_postings(dedupe_by_url(usable), cfg, profile)
+def build_gold(
+    silver: DataFrame, cfg: RankingConfig, profile: list[float] | None, row: str | None = None
+) -> DataFrame:
+    """Scored postings, one per URL, of those with a usable vector.
+
+    ``row`` names the rows of ``silver``, as ``read_silver`` can; without it
+    the postings are stored once more to be told apart.
+    """
+    view = staging_view(silver, *([row] if row else []))
+    usable = valid_vectors(view, "description_vector", cfg.vector_dim)
+    kept = dedupe_by_url(usable, row)
+    return score_postings(kept.drop(row) if row else kept, cfg, profile)

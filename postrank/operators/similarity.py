@@ -12,16 +12,29 @@ def valid_vectors(df: DataFrame, vector: str, dim: int) -> DataFrame:
     return df.filter(is_valid_vector(F.col(vector), dim))
 
 
-def profile_vector(profiles: DataFrame, vector: str = "ideal_vector") -> list[float] | None:
+def profile_vector(
+    profiles: DataFrame, vector: str = "ideal_vector", dim: int | None = None
+) -> list[float] | None:
     """The vector of the single profile row, or ``None`` for an empty table.
 
+    A vector that is NULL, holds a NULL or has not ``dim`` numbers is an error
+    that names the profile, before any posting is read.
+
     Reads two rows at most. More than one profile is an error: a posting has
     one score.
     """
-    rows = profiles.select(F.col(vector).cast("array<double>").alias("v")).limit(2).collect()
+    name = F.col("profile_id").cast("string") if "profile_id" in profiles.columns else F.lit(None).cast("string")
+    rows = profiles.select(F.col(vector).cast("array<double>").alias("v"), name.alias("id")).limit(2).collect()
     if len(rows) > 1:
         raise ValueError("expected one profile, found several")
-    return list(rows[0]["v"]) if rows else None
+    if not rows:
+        return None
+    found, who = rows[0]["v"], f"profile {rows[0]['id']}" if rows[0]["id"] else "the profile"
+    if found is None or None in found:
+        raise ValueError(f"the vector of {who} is no list of numbers")
+    if dim is not None and len(found) != dim:
+        raise ValueError(f"the vector of {who} has {len(found)} numbers, not {dim}")
+    return list(found)
 
 
 def add_cosine(

@@ -1,22 +1,26 @@
-"""Whole runs, from stored payloads to stored scores."""
+"""Whole runs, from raw pages to stored payloads, and from these to stored scores."""
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from postrank.config import RankingConfig
 from postrank.operators.clean import build_silver
-from postrank.operators.quality import enforce, gold_report
-from postrank.operators.ranking import ranking_view
+from postrank.operators.dedupe import ROW
+from postrank.operators.quality import enforce, gold_report, ranking_report, silver_report, staging_report
+from postrank.operators.ranking import ranking, ranking_view
 from postrank.operators.scoring import build_gold, staging_view
 from postrank.operators.similarity import profile_vector
-from postrank.sources.bronze import stage_all
+from postrank.sources.bronze import rejected_of_all, stage_all, write_envelopes
+from postrank.sources.pages import assemble_pages, normalize_envelopes, quarantine
 from postrank.sources.runlog import log_run
 from postrank.sources.tables import read_silver, write_gold, write_silver
+from postrank.storage import publish, written
 
 
 class Paths(NamedTuple):
@@ -29,39 +33,66 @@ class Paths(NamedTuple):
 class RunResult(NamedTuple):
     postings: int
     per_source: dict[str, int]
+    rejected: list[tuple[str, str, int]]
     warnings: list[str]
     ranking: DataFrame
 
 
+def ingest(raw: DataFrame, root: str, keys: list[str]) -> DataFrame:
+    """Raw pages to stored payloads; returns the pages set aside, with the problem of each.
+
+    ``raw`` has ``source``, ``keyword``, ``ingested_at`` (timestamp), ``page``,
+    ``payload`` and the columns of ``keys``, which name a series of pages. Every
+    page that counts becomes one stored payload, which staging reads back.
+    """
+    normalized = written(normalize_envelopes(raw), "pages")
+    good, bad = quarantine(normalized)
+    write_envelopes(assemble_pages(good.drop("payload"), keys), root)
+    return bad
+
+
 def run_silver(
     spark: SparkSession, cfg: RankingConfig, paths: Paths,
     embed: Callable[[Column], Column] | None = None, multi_line: bool = True, layout: str = "{folder}",
-) -> tuple[int, dict[str, int]]:
-    """Stage, clean and write; log the outcome. Returns rows written and staged.
+) -> tuple[int, dict[str, int], list[tuple[str, str, int]], list[str]]:
+    """Stage, clean, check and publish; log the outcome.
 
-    Both counts are observed while the one write runs, so nothing is computed
-    twice to count it.
+    Returns rows written, rows staged per source, payloads rejected (source,
+    problem, number) and warnings. Staged postings are stored once: they are
+    counted there, and a task run again counts nothing twice. A failing
+    error-level check leaves the old table in place.
     """
-    staged_counts, written = Observation("staged"), Observation("written")
+    made = f"{paths.silver}.new-{uuid.uuid4().hex}"
     try:
-        staged = stage_all(spark, paths.bronze, multi_line, layout)
-        per_source = {s: F.count_if(F.col("source_name") == s).alias(s) for s in cfg.source_quality}
-        staged = staged.observe(staged_counts, *per_source.values())
-        silver = build_silver(staged, cfg, embed).observe(written, F.count("*").alias("rows"))
-        write_silver(silver, paths.silver)
-        rows = written.get["rows"]
+        staged = written(stage_all(spark, paths.bronze, multi_line, layout).withColumn(ROW, F.monotonically_increasing_id()), "staged")
+        per_source = dict.fromkeys(cfg.source_quality, 0)
+        per_source |= {r["source_name"]: r["count"] for r in staged.groupBy("source_name").count().collect()}
+        broken = rejected_of_all(spark, paths.bronze, multi_line, layout)
+        rejected = sorted(tuple(r) for r in broken.groupBy("source_name", "problem").count().collect())
+        write_silver(build_silver(staged, cfg, embed, ROW), made)
+        silver = read_silver(spark, made)
+        warnings = enforce(silver_report(silver).unionByName(staging_report(staging_view(silver))).distinct())
+        rows = silver.count()
+        publish(spark, made, paths.silver)
         log_run(spark, paths.log, "SUCCESS", cfg.as_of, count=rows)
-        return rows, dict(staged_counts.get)
+        return rows, per_source, rejected, warnings
     except Exception as failure:
         log_run(spark, paths.log, "FAILED", cfg.as_of, error=str(failure))
         raise
 
 
-def run_gold(spark: SparkSession, cfg: RankingConfig, paths: Paths, profiles: DataFrame) -> DataFrame:
-    """Score the stored postings, write them and return them as read back."""
-    gold = build_gold(read_silver(spark, paths.silver), cfg, profile_vector(profiles))
-    write_gold(gold, paths.gold)
-    return spark.read.schema(gold.schema).parquet(paths.gold)
+def run_gold(
+    spark: SparkSession, cfg: RankingConfig, paths: Paths, profiles: DataFrame
+) -> tuple[DataFrame, list[str]]:
+    """Score the stored postings, check and publish; the table as read back, and warnings."""
+    profile = profile_vector(profiles, dim=cfg.vector_dim)
+    gold = build_gold(read_silver(spark, paths.silver, ROW), cfg, profile, ROW)
+    made = f"{paths.gold}.new-{uuid.uuid4().hex}"
+    write_gold(gold, made)
+    stored = spark.read.schema(gold.schema).parquet(made)
+    warnings = enforce(gold_report(stored)) + enforce(ranking_report(ranking(stored, cfg)))
+    publish(spark, made, paths.gold)
+    return spark.read.schema(gold.schema).parquet(paths.gold), warnings
 
 
 def publish_views(silver: DataFrame, gold: DataFrame, cfg: RankingConfig) -> None:
@@ -74,8 +105,8 @@ def run(
     spark: SparkSession, cfg: RankingConfig, paths: Paths, profiles: DataFrame,
     embed: Callable[[Column], Column] | None = None, multi_line: bool = True, layout: str = "{folder}",
 ) -> RunResult:
-    """The whole job. Failing error-level checks of the scored table raise."""
-    rows, per_source = run_silver(spark, cfg, paths, embed, multi_line, layout)
-    gold = run_gold(spark, cfg, paths, profiles)
-    warnings = enforce(gold_report(gold))
-    return RunResult(rows, per_source, warnings, ranking_view(gold, cfg))
+    """The whole job, with its views. Failing error-level checks raise before anything is replaced."""
+    rows, per_source, rejected, warnings = run_silver(spark, cfg, paths, embed, multi_line, layout)
+    gold, more = run_gold(spark, cfg, paths, profiles)
+    publish_views(read_silver(spark, paths.silver), gold, cfg)
+    return RunResult(rows, per_source, rejected, warnings + more, ranking_view(gold, cfg))

@@ -74,7 +74,7 @@ FRANCE_TRAVAIL_RESULT = T.StructType([
     T.StructField("entreprise", _named("nom")),
     T.StructField("description", T.StringType()),
     T.StructField("lieuTravail", _named("libelle")),
-    T.StructField("salaire", _named("commentaire", "complement1", "complement2", "libelle")),
+    T.StructField("salaire", T.StringType()),  # an object: as text it keeps every field
     T.StructField("dateCreation", T.StringType()),
     T.StructField("origineOffre", _named("urlOrigine")),
 ])
@@ -85,6 +85,10 @@ JSEARCH_RESULT = _named(
 JOOBLE_RESULT = _named("id", "title", "company", "snippet", "location", "salary", "updated", "link")
 
 
+#: The whole text of a payload that does not have the schema.
+UNREAD = "_unread"
+
+
 def envelope(result: T.StructType) -> T.StructType:
     """Schema of a stored payload: one object holding a list of results."""
     return T.StructType([
@@ -93,6 +97,8 @@ def envelope(result: T.StructType) -> T.StructType:
         T.StructField("keyword", T.StringType()),
         T.StructField("source", T.StringType()),
         T.StructField("ingested_at", T.StringType()),
+        T.StructField("file_key", T.StringType()),
+        T.StructField(UNREAD, T.StringType()),
     ])
 
 

@@ -30,8 +30,11 @@ FOLDERS = {
 
 
 def read_envelopes(spark: SparkSession, path: str, result: T.StructType, multi_line: bool = True) -> DataFrame:
-    reader = spark.read.schema(S.envelope(result)).option("recursiveFileLookup", True)
-    return reader.option("multiLine", multi_line).json(path)
+    """Every stored payload, parsed once; one that does not parse is whole in ``UNREAD``."""
+    lines = spark.read.text(path, wholetext=multi_line, recursiveFileLookup=True)
+    parsed = F.from_json("value", S.envelope(result), {"columnNameOfCorruptRecord": S.UNREAD})
+    # Exploded, the parsed payload is one value that no later filter parses again.
+    return lines.filter(F.trim("value") != "").select(F.explode(F.array(parsed)).alias("p")).select("p.*")
 
 
 def _stage(spark: SparkSession, path: str, result: T.StructType, columns: dict[str, Column],
@@ -42,6 +45,30 @@ def _stage(spark: SparkSession, path: str, result: T.StructType, columns: dict[s
     return posting.select(*[columns[c].cast("string").alias(c) for c in S.STAGED_COLUMNS])
 
 
+def rejected_payloads(spark: SparkSession, path: str, source: str, multi_line: bool = True) -> DataFrame:
+    """source_name, problem, payload: stored payloads of a source that staging cannot read."""
+    payloads = read_envelopes(spark, path, RESULTS[source], multi_line)
+    broken = payloads.filter(F.col(S.UNREAD).isNotNull())
+    is_object = F.json_object_keys(S.UNREAD).isNotNull()
+    problem = F.when(is_object, "fields of another kind").otherwise("not a JSON object")
+    return broken.select(F.lit(source).alias("source_name"), problem.alias("problem"), F.col(S.UNREAD).alias("payload"))
+
+
+def rejected_of_all(spark: SparkSession, root: str, multi_line: bool = True, layout: str = "{folder}") -> DataFrame:
+    return union_sources([
+        rejected_payloads(spark, f"{root}/{layout.format(folder=folder)}", source, multi_line)
+        for source, folder in FOLDERS.items()
+    ])
+
+
+def file_keys(spark: SparkSession, path: str, source: str, multi_line: bool = True) -> DataFrame:
+    """keyword, file_key, ingested_at, results: what is stored, payload by payload."""
+    payloads = read_envelopes(spark, path, RESULTS[source], multi_line)
+    return payloads.filter(F.col(S.UNREAD).isNull()).select(
+        "keyword", "file_key", "ingested_at", F.coalesce(F.size("results"), F.lit(0)).alias("results")
+    )
+
+
 def stage_adzuna(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
     return _stage(spark, path, S.ADZUNA_RESULT, {
         "job_id": F.col("r.id"),
@@ -62,7 +89,7 @@ def stage_france_travail(spark: SparkSession, path: str, multi_line: bool = True
         "company_name": F.coalesce("r.entreprise.nom", F.lit(UNNAMED_COMPANY)),
         "description": F.col("r.description"),
         "location": F.col("r.lieuTravail.libelle"),
-        "salary_info": F.to_json("r.salaire"),
+        "salary_info": F.col("r.salaire"),
         "created_at": F.col("r.dateCreation"),
         "url": F.col("r.origineOffre.urlOrigine"),
     }, C.FRANCE_TRAVAIL, multi_line)
@@ -94,6 +121,12 @@ def stage_jooble(spark: SparkSession, path: str, multi_line: bool = True) -> Dat
     }, C.JOOBLE, multi_line)
 
 
+RESULTS = {
+    C.ADZUNA: S.ADZUNA_RESULT,
+    C.FRANCE_TRAVAIL: S.FRANCE_TRAVAIL_RESULT,
+    C.JSEARCH: S.JSEARCH_RESULT,
+    C.JOOBLE: S.JOOBLE_RESULT,
+}
 STAGERS = {
     C.ADZUNA: stage_adzuna,
     C.FRANCE_TRAVAIL: stage_france_travail,
@@ -108,7 +141,10 @@ def union_sources(staged: list[DataFrame]) -> DataFrame:
 
 
 def stage_all(spark: SparkSession, root: str, multi_line: bool = True, layout: str = "{folder}") -> DataFrame:
-    """Every source below ``root``; ``layout`` names a source's folder."""
+    """Every source below ``root``; ``layout`` names a source's folder.
+
+    What ``write_envelopes`` leaves is read by ``stage_written``.
+    """
     paths = {source: f"{root}/{layout.format(folder=folder)}" for source, folder in FOLDERS.items()}
     return union_sources([STAGERS[source](spark, path, multi_line) for source, path in paths.items()])
 
@@ -116,13 +152,28 @@ def stage_all(spark: SparkSession, root: str, multi_line: bool = True, layout: s
 WRITTEN_LAYOUT = "source={folder}"
 
 
+def stage_written(spark: SparkSession, root: str) -> DataFrame:
+    """Every source of what ``write_envelopes`` left below ``root``; one never written is empty."""
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    folders = {source: f"{root}/{WRITTEN_LAYOUT.format(folder=folder)}" for source, folder in FOLDERS.items()}
+    there = {s: f for s, f in folders.items() if path(f).getFileSystem(conf).exists(path(f))}
+    if not there:
+        return spark.createDataFrame([], S.STAGED)
+    return union_sources([STAGERS[source](spark, folder, False) for source, folder in there.items()])
+
+
 def write_envelopes(envelopes: DataFrame, root: str) -> None:
     """Append payloads below ``source=/year=/month=/day=``, one JSON object a line.
 
     ``envelopes`` has ``source`` (folder name), ``keyword``, ``ingested_at``
-    (timestamp) and ``results``, and may have ``count``. The keyword is kept
+    (timestamp) and ``results`` (an array of structs, or of VARIANT, which is
+    written as the JSON it came from), and may have ``count``. The keyword is kept
     in the payload and, made a slug, in ``file_key`` with the time of day.
     """
+    kind = envelopes.schema["results"].dataType
+    if not (isinstance(kind, T.ArrayType) and isinstance(kind.elementType, (T.StructType, T.VariantType))):
+        raise ValueError("results must be an array of structs or of VARIANT, not of text")
     at = F.col("ingested_at")
     payload = F.struct(
         *[F.col(c) for c in ("count",) if c in envelopes.columns],

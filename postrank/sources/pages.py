@@ -1,4 +1,4 @@
-"""Raw pages of a source: check them, name their parts alike, join them up."""
+"""Raw pages of a source: check them, name their parts alike, put them in order."""
 
 from __future__ import annotations
 
@@ -27,7 +27,6 @@ SHAPES = {
     "jooble": Shape("jobs", "totalCount", False),
     "jsearch": Shape("data", None, False),
 }
-MAX_PAGES = 3
 
 
 def _by_source(value) -> Column:
@@ -38,34 +37,42 @@ def normalize_envelopes(raw: DataFrame) -> DataFrame:
     """Give raw payloads one shape.
 
     ``raw`` has ``source`` (a key of ``SHAPES``) and ``payload`` (JSON text).
-    Adds ``results`` (JSON text of the list), ``count``, and ``problem``: NULL,
-    or why the payload cannot be used. A payload without the results key has an
-    empty list; one where it is no list is a problem.
+    Adds ``results`` (the list, each item as it came, as a VARIANT), ``count``,
+    and ``problem``: NULL, or why the payload cannot be used. A payload without
+    the results key has an empty list; one where it is no list is a problem.
+
+    The payload is parsed once. ``explode`` of that one value keeps later
+    filters from being moved below it, where they would parse again.
     """
-    keys = F.col("_keys")
-    found = _by_source(lambda s: F.get_json_object("payload", f"$.{s.results_key}"))
-    has_results = _by_source(lambda s: F.array_contains(keys, s.results_key))
-    results = F.when(has_results, found).otherwise(F.when(keys.isNotNull(), F.lit("[]")))
-    length = F.json_array_length("_results")
-    total = _by_source(
-        lambda s: F.coalesce(
-            F.get_json_object("payload", f"$.{s.count_key}").try_cast("bigint") if s.count_key else F.lit(None),
-            F.lit(0) if s.count_defaults_to_zero else F.lit(None),
-            length,
-        ).cast("bigint")
+    parsed = raw.select("*", F.explode(F.array(F.try_parse_json("payload"))).alias("_json"))
+    is_object = F.schema_of_variant("_json").startswith("OBJECT")
+    listed = _by_source(lambda s: F.try_variant_get("_json", f"$.{s.results_key}", "array<variant>"))
+    absent = _by_source(lambda s: F.try_variant_get("_json", f"$.{s.results_key}", "variant").isNull())
+    stated = _by_source(lambda s: F.try_variant_get("_json", f"$.{s.count_key}", "bigint") if s.count_key else F.lit(None).cast("bigint"))
+    taken = parsed.select(
+        *raw.columns,
+        F.explode(F.array(F.struct(
+            F.coalesce(is_object, F.lit(False)).alias("object"),
+            F.when(absent, F.array().cast("array<variant>")).otherwise(listed).alias("results"),
+            stated.alias("stated"),
+        ))).alias("_found"),
     )
+    known = F.coalesce(F.col("source").isin(*SHAPES), F.lit(False))
     problem = (
-        F.when(keys.isNull(), "not a JSON object")
-        .when(~F.coalesce(F.col("source").isin(*SHAPES), F.lit(False)), "unknown source")
-        .when(length.isNull(), "results is not a list")
+        F.when(~F.col("_found.object"), "not a JSON object")
+        .when(~known, "unknown source")
+        .when(F.col("_found.results").isNull(), "results is not a list")
+    )
+    total = _by_source(lambda s: F.coalesce(
+        "_found.stated",
+        F.lit(0).cast("bigint") if s.count_defaults_to_zero else F.size("_found.results").cast("bigint"),
+    ))
+    return taken.select(
+        *raw.columns,
+        F.when(problem.isNull(), F.col("_found.results")).alias("results"),
+        F.when(problem.isNull(), total).alias("count"),
+        problem.alias("problem"),
     )
-    named = raw.withColumn("_keys", F.json_object_keys("payload")).withColumn("_results", results)
-    named = named.withColumn("problem", problem)
-    usable = F.col("problem").isNull()
-    return named.withColumns({
-        "count": F.when(usable, total),
-        "results": F.when(usable, F.col("_results")),
-    }).drop("_keys", "_results")
 
 
 def quarantine(normalized: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -75,34 +82,33 @@ def quarantine(normalized: DataFrame) -> tuple[DataFrame, DataFrame]:
     return good, bad
 
 
-def parse_results(results: Column) -> Column:
-    """The JSON text of a list as an array with the JSON text of each item."""
-    return F.from_json(results, "array<string>")
-
-
-def assemble_pages(pages: DataFrame, keys: list[str], max_pages: int = MAX_PAGES) -> DataFrame:
-    """One row per ``keys``: the results of its pages, in page order.
+def assemble_pages(pages: DataFrame, keys: list[str]) -> DataFrame:
+    """The pages of each of ``keys`` that count, one row each.
 
     ``pages`` has ``page`` (from 1, each at most once per key), ``results``
-    (array) and ``count``. Reading stops at the first page that is empty,
-    NULL or absent, and at ``max_pages``. The total is that of page 1; without
-    a page 1 it is NULL and the results are empty.
+    (array) and ``count``. Reading stops before the first page that is empty,
+    NULL or absent, however many come before it. ``count`` becomes that of page
+    1, which is the total of the key.
 
-    Later pages are cut before the shuffle and each page is its own aggregate,
-    so no group is held as a list of rows.
+    Which pages count is found on narrow rows: a page with results is an end if
+    the next has none, and the smallest end of a key that begins at page 1 is
+    its last page. So no group is gathered, as rows or as a list.
     """
-    numbers = range(1, max_pages + 1)
-    wanted = pages.filter(F.col("page").between(1, max_pages))
-    grouped = wanted.groupBy(*keys).agg(
-        F.any_value(F.when(F.col("page") == 1, F.col("count")), ignoreNulls=True).alias("count"),
-        *[
-            F.any_value(F.when(F.col("page") == n, F.col("results")), ignoreNulls=True).alias(f"_page{n}")
-            for n in numbers
-        ],
+    filled = pages.filter(F.size("results") > 0).select(*keys, "page")
+    following = filled.select(*keys, (F.col("page") - 1).alias("page"))
+    same = [filled[k].eqNullSafe(following[k]) for k in keys]
+    ends = filled.join(following, [*same, filled["page"] == following["page"]], "left_anti")
+    last = ends.groupBy(*keys).agg(F.min("page").alias("_last"))
+    first = pages.filter((F.col("page") == 1) & (F.size("results") > 0)).select(
+        *keys, F.col("count").alias("_total")
     )
-    empty = F.array().cast(pages.schema["results"].dataType)
-    kept, open_so_far = [], F.lit(True)
-    for n in numbers:
-        open_so_far = open_so_far & (F.coalesce(F.size(f"_page{n}"), F.lit(0)) > 0)
-        kept.append(F.when(open_so_far, F.col(f"_page{n}")).otherwise(empty))
-    return grouped.select(*keys, "count", F.concat(*kept).alias("results"))
+    spans = _joined(first, last, keys)
+    rest = _joined(pages.filter(F.col("page") >= 1).drop("count"), spans, keys)
+    return rest.filter(F.col("page") <= F.col("_last")).drop("_last").withColumnRenamed("_total", "count")
+
+
+def _joined(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+    """Inner join on keys of which some may be NULL on both sides."""
+    named = right.select(*[F.col(k).alias(f"_{k}") for k in keys], *[c for c in right.columns if c not in keys])
+    met = left.join(named, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys])
+    return met.drop(*[f"_{k}" for k in keys])

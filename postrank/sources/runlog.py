@@ -11,15 +11,13 @@ from pyspark.sql import functions as F
 from postrank.functions.text import moment
 from postrank.schemas import RUN_LOG
 
-ERROR_CHARS = 500
 # --- Fixed value: name of the run in the log ---
 LOGGED_SOURCE = "Silver_Pipeline"
 
 
 def log_entries(runs: DataFrame) -> DataFrame:
-    """Bring rows with the log's columns to its types and cut long errors."""
-    error = F.left(F.coalesce("error_message", F.lit("")), F.lit(ERROR_CHARS))
-    return runs.withColumn("error_message", error).select(
+    """Bring rows with the log's columns to its types; a NULL error is empty."""
+    return runs.withColumn("error_message", F.coalesce("error_message", F.lit(""))).select(
         *[F.col(f.name).cast(f.dataType) for f in RUN_LOG.fields]
     )
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from postrank.schemas import SILVER, SILVER_COLUMNS, require_columns
 
@@ -18,8 +19,10 @@ def write_silver(silver: DataFrame, path: str, replace_all: bool = True) -> None
     writer.partitionBy("ingestion_date").parquet(path)
 
 
-def read_silver(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(SILVER).parquet(path).select(*SILVER_COLUMNS)
+def read_silver(spark: SparkSession, path: str, row: str | None = None) -> DataFrame:
+    """Cleaned postings; ``row`` adds a column that names each by its file and place there."""
+    named = [F.struct("_metadata.file_path", "_metadata.row_index").alias(row)] if row else []
+    return spark.read.schema(SILVER).parquet(path).select(*SILVER_COLUMNS, *named)
 
 
 def write_gold(gold: DataFrame, path: str) -> None:

@@ -43,6 +43,27 @@ def written(table: DataFrame, label: str, compression: str = "zstd") -> DataFram
     return spark.read.schema(table.schema).parquet(path)
 
 
+def publish(spark: SparkSession, made: str, path: str) -> None:
+    """Let a finished folder take the place of the one at ``path``, by renaming.
+
+    Both must be on one file system. The old folder goes last.
+    """
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    new, target, old = place(made), place(path), place(f"{path}.old-{uuid.uuid4().hex}")
+    store = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not store.exists(new):
+        raise FileNotFoundError(made)
+    replaced = store.exists(target)
+    if replaced and not store.rename(target, old):
+        raise OSError(f"cannot move {path} away")
+    if not store.rename(new, target):
+        if replaced:
+            store.rename(old, target)
+        raise OSError(f"cannot move {made} to {path}")
+    if replaced:
+        store.delete(old, True)
+
+
 def clear(spark: SparkSession) -> None:
     """Delete every scratch folder of this application, once results are stored."""
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(shared_folder(spark))

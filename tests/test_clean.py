@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from postrank.operators import clean
-from postrank.operators.dedupe import dedupe_by_fingerprint, dedupe_by_id, dedupe_by_url, keep_latest
+from postrank.operators.dedupe import dedupe_by_both, dedupe_by_fingerprint, dedupe_by_id, dedupe_by_url, keep_latest
 from postrank.schemas import SILVER_COLUMNS, require_columns
 
 
@@ -64,9 +64,18 @@ def test_ties_are_settled_the_same_way_whatever_the_layout(staged, cfg):
     assert picks == {("a", "1")}
 
 
-def test_null_keys_are_one_group(staged, cfg):
+def test_rows_without_a_key_stay(staged, cfg):
     df = clean.normalise(staged({"job_id": None}, {"job_id": None, "title": "B"}), cfg)
-    assert dedupe_by_id(df).count() == 1
+    assert dedupe_by_id(df).count() == 2 and dedupe_by_id(df, keyless="one").count() == 1
+    bare = {"title": None, "company_name": None, "location": None}
+    df = clean.normalise(staged(bare, bare | {"job_id": "2"}, {}), cfg)
+    assert dedupe_by_fingerprint(df).count() == 3 and dedupe_by_fingerprint(df, keyless="one").count() == 2
+    df = df.withColumns({"url": F.lit(None).cast("string"), "job_id": F.lit(None).cast("string"), "ingestion_date": F.lit(1)})
+    assert dedupe_by_url(df).count() == 3 and dedupe_by_url(df, keyless="one").count() == 1
+
+
+def test_equal_rows_leave_one(staged, cfg):
+    assert clean.build_silver(staged({}, {}, {}), cfg).count() == 1
 
 
 def test_url_groups_fall_back_to_the_id(spark):
@@ -91,14 +100,25 @@ def test_hot_key_against_brute_force(spark):
 
 
 def test_each_dedupe_limits_groups_before_its_shuffle(staged, cfg):
-    df = dedupe_by_fingerprint(dedupe_by_id(clean.normalise(staged({}), cfg)))
+    df = dedupe_by_both(clean.normalise(staged({}), cfg).withColumn("row", F.lit(1)), "row")
     plan = df._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("Exchange hashpartitioning") == 2
     assert plan.count("1, Partial") == 2 and plan.count("1, Final") == 2
+    assert plan.count("LeftSemi") == 1
+
+
+def test_windows_and_sorts_see_no_text(staged, cfg, spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        silver = clean.normalise(staged({}), cfg).withColumns({"row": F.lit(1), "ingestion_date": F.lit(1)})
+        for df in (dedupe_by_id(silver, "row"), dedupe_by_both(silver, "row"), dedupe_by_url(silver, "row")):
+            lines = df._jdf.queryExecution().executedPlan().toString().splitlines()
+            windows = [line for line in lines if "Window" in line or "hashpartitioning" in line or "Sort [" in line]
+            assert windows and not any("description" in line for line in windows)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
 def test_costly_work_comes_after_the_dedupes(staged, cfg):
     plan = clean.build_silver(staged({}), cfg)._jdf.queryExecution().executedPlan().toString()
     python, pattern, last_dedupe = plan.index("ArrowEvalPython"), plan.index("terraform"), plan.index("WindowGroupLimit")
     assert python < last_dedupe and pattern < last_dedupe
-    assert plan.count("Exchange hashpartitioning") == 2

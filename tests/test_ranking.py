@@ -1,3 +1,4 @@
+import re
 from datetime import date, datetime, timedelta
 
 import pytest
@@ -52,9 +53,9 @@ def test_top_n(ranked):
         ranking.top_n(df, -1)
 
 
-def test_top_n_is_capped_and_needs_no_full_sort(spark, ranked):
+def test_top_n_gives_what_is_asked_and_needs_no_full_sort(spark, ranked):
     many = ranked({}).crossJoin(spark.range(1200))
-    assert ranking.top_n(many, 5000).count() == 1000
+    assert ranking.top_n(many, 5000).count() == 1200 and ranking.top_n(many, 1100).count() == 1100
     assert "TakeOrderedAndProject" in ranking.top_n(many)._jdf.queryExecution().executedPlan().toString()
 
 
@@ -74,6 +75,20 @@ def test_search(ranked, pattern, want):
     assert sorted(titles(ranking.search_any_column(df, pattern))) == want
 
 
+def test_no_sort_key_is_a_text(gold, cfg):
+    plan = ranking.ranking_view(gold({}), cfg)._jdf.queryExecution().executedPlan().toString()
+    assert "md5" in plan and not re.search(r"(Sort|rangepartitioning) ?[(\[][^\n]*[\[, ]description#\d+ ASC", plan)
+
+
+@pytest.mark.parametrize("pattern, want", [("n/a", ["n"]), ("🟡 65%", ["y"]), ("", ["n", "y"]), ("absent", [])])
+def test_dashboard_searches_what_is_displayed(ranked, pattern, want):
+    df = ranked({"title": "n", "published_at": NOW}, {"title": "y", "published_at": NOW, "matching_score": 65.0, "salary_min_numeric": 30000},
+                {"title": "old"}, {"title": "low", "published_at": NOW, "matching_score": 41.0})
+    left = display.dashboard(df, AS_OF, 45, only_fresh=True, pattern=pattern)
+    assert sorted(titles(left)) == want
+    assert titles(display.top_cards(left, AS_OF)) == sorted(want, reverse=True)
+
+
 def test_display(ranked):
     df = display.display_clean(ranked({"salary_min_numeric": 45000, "url": None}, {"title": "n", "rules_score": None}))
     a, n = sorted(df.collect(), key=lambda r: r["title"])

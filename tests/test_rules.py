@@ -184,9 +184,12 @@ def test_gold_without_a_profile_scores_by_rules_alone(silver, cfg):
 
 
 def test_scoring_adds_no_shuffle_and_no_join(silver, cfg):
-    gold = scoring.build_gold(silver({"description_vector": [1.0] * 32}), cfg, [1.0] * 32)
-    plan = gold._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("Exchange") == 1 and "Join" not in plan
+    rows = silver({"description_vector": [1.0] * 32})
+    scored = scoring.score_postings(scoring.staging_view(rows), cfg, [1.0] * 32)
+    plan = scored._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Join" not in plan
+    plan = scoring.build_gold(rows, cfg, [1.0] * 32)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and plan.count("LeftSemi") == 1 and plan.count("Join") == 1
 
 
 def test_repeated_ids_do_not_multiply(silver, cfg):

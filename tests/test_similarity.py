@@ -4,7 +4,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from postrank.functions.embedding import embed_hashed, embed_with, sentence_model, word_hashes
+from postrank.functions.embedding import embed_hashed, embed_with, word_hashes
 from postrank.operators import similarity
 
 DIM = 8
@@ -59,6 +59,19 @@ def test_profile_vector_takes_one_row(vectors):
         similarity.profile_vector(frame([(1, [1.0]), (2, [1.0])]), "v")
 
 
+def test_profile_vector_must_be_sound(spark):
+    def profile(vector):
+        return spark.createDataFrame([("me", vector)], "profile_id string, v array<double>")
+
+    assert similarity.profile_vector(profile([1.0, 2.0]), "v", 2) == [1.0, 2.0]
+    with pytest.raises(ValueError, match="profile me is no list"):
+        similarity.profile_vector(profile(None), "v")
+    with pytest.raises(ValueError, match="profile me is no list"):
+        similarity.profile_vector(profile([1.0, None]), "v")
+    with pytest.raises(ValueError, match="profile me has 2 numbers, not 3"):
+        similarity.profile_vector(profile([1.0, 2.0]), "v", 3)
+
+
 def test_array_forms_do_not_shuffle(vectors):
     _, frame = vectors
     for builtin in (True, False):
@@ -96,11 +109,3 @@ def test_model_is_loaded_once_per_task(spark):
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
     assert [g[0] for g in got] == [1, 2, 0, 4, 5]
     assert sorted({g[1] for g in got}) == [0, 1, 2]
-
-
-def test_sentence_model_is_optional():
-    try:
-        import sentence_transformers  # noqa: F401
-    except ImportError:
-        with pytest.raises(RuntimeError, match="sentence-transformers"):
-            sentence_model()()

@@ -9,13 +9,13 @@ from pyspark.sql import functions as F
 
 from postrank.schemas import STAGED_COLUMNS
 from postrank.sources import bronze, pages, profile, runlog, tables
-from postrank.storage import clear, scratch_dir, shared_folder, written
+from postrank.storage import clear, publish, scratch_dir, written
 
 RESULTS = {
     "adzuna": {"id": 12, "title": "T", "company": {"display_name": "C"}, "description": "d", "salary_min": 45000,
                "location": {"display_name": "L"}, "created": "2025-01-01T00:00:00Z", "redirect_url": "u"},
     "france_travail": {"id": "ft", "intitule": "T", "description": "d", "lieuTravail": {"libelle": "44 - NANTES"},
-                       "salaire": {"libelle": "38k", "commentaire": None}, "dateCreation": "2025-01-01",
+                       "salaire": {"libelle": "38k", "minimum": 38000, "autre": {"a": [1]}}, "dateCreation": "2025-01-01",
                        "origineOffre": {"urlOrigine": "u"}},
     "jsearch": {"job_id": "js", "job_title": "T", "employer_name": "C", "job_description": "d", "job_city": "Nantes",
                 "job_country": "FR", "job_posted_at_datetime_utc": "2025-01-01", "job_apply_link": "u"},
@@ -24,7 +24,7 @@ RESULTS = {
 }
 WANT = {
     "adzuna": ("12", "T", "C", "d", "L", "45000.0", "2025-01-01T00:00:00Z", "u", "Adzuna"),
-    "france_travail": ("ft", "T", "Non renseigné", "d", "44 - NANTES", '{"libelle":"38k"}', "2025-01-01", "u",
+    "france_travail": ("ft", "T", "Non renseigné", "d", "44 - NANTES", '{"libelle":"38k","minimum":38000,"autre":{"a":[1]}}', "2025-01-01", "u",
                        "France Travail"),
     "jsearch": ("js", "T", "C", "d", "Nantes, FR", None, "2025-01-01", "u", "JSearch"),
     "jooble": ("-5", "T", "C", "d", "L", "45k", "2025-01-01", "u", "Jooble"),
@@ -84,6 +84,36 @@ def test_written_envelopes_read_back(spark, tmp_path):
     assert len(rows) == 6 and {(r["job_id"], r["title"], r["url"]) for r in rows} == {("7", "T\nx", "u")}
 
 
+def test_written_payloads_of_raw_results(spark, tmp_path):
+    """Items of any fields go to Bronze as they came; texts are refused."""
+    items = F.from_json(F.lit('[{"id":"1","title":"A","x":{"y":[1,null]}},{"id":2}]'), "array<variant>")
+    rows = spark.range(1).select(
+        F.lit("adzuna").alias("source"), F.lit("k").alias("keyword"), F.to_timestamp(F.lit("2025-01-02 03:04:05")).alias("ingested_at"),
+        items.alias("results"))
+    bronze.write_envelopes(rows, f"{tmp_path}/b")
+    assert {(r["job_id"], r["title"]) for r in bronze.stage_written(spark, f"{tmp_path}/b").collect()} == {("1", "A"), ("2", None)}
+    text = (next((tmp_path / "b").rglob("part-*"))).read_text()
+    assert json.loads(text)["results"][0] == {"id": "1", "title": "A", "x": {"y": [1, None]}}
+    with pytest.raises(ValueError, match="VARIANT"):
+        bronze.write_envelopes(rows.withColumn("results", F.array(F.lit("a"))), f"{tmp_path}/b")
+    assert bronze.stage_written(spark, f"{tmp_path}/none").count() == 0
+
+
+@pytest.mark.parametrize("multi_line", [True, False])
+def test_rejected_payloads(spark, tmp_path, multi_line):
+    good = {"results": [RESULTS["jooble"]], "keyword": "k", "file_key": "k_1"}
+    bad = ['{"results": "x"}', "oops", "[1]"]
+    (tmp_path / "jooble").mkdir()
+    for i, text in enumerate([json.dumps(good), *bad] if multi_line else ["\n".join([json.dumps(good), "", *bad])]):
+        (tmp_path / "jooble" / f"{i}.json").write_text(text)
+    found = bronze.rejected_payloads(spark, f"{tmp_path}/jooble", "Jooble", multi_line).collect()
+    assert sorted((r["problem"], r["payload"]) for r in found) == [
+        ("fields of another kind", '{"results": "x"}'), ("not a JSON object", "[1]"), ("not a JSON object", "oops")]
+    assert bronze.stage_jooble(spark, f"{tmp_path}/jooble", multi_line).count() == 1
+    keys = bronze.file_keys(spark, f"{tmp_path}/jooble", "Jooble", multi_line).collect()
+    assert [tuple(r) for r in keys] == [("k", "k_1", None, 1)]
+
+
 def normalized(spark, *rows):
     return pages.normalize_envelopes(spark.createDataFrame(list(rows), "source string, payload string"))
 
@@ -99,7 +129,7 @@ def normalized(spark, *rows):
 ])
 def test_envelope_shapes(spark, source, payload, count, results):
     row = normalized(spark, (source, payload)).first()
-    assert (row["count"], row["results"], row["problem"]) == (count, results, None)
+    assert (row["count"], row["problem"]) == (count, None) and [v.toPython() for v in row["results"]] == json.loads(results)
 
 
 @pytest.mark.parametrize("source, payload, problem", [
@@ -115,7 +145,12 @@ def test_quarantine(spark, source, payload, problem):
 
 def assembled(spark, *rows):
     df = spark.createDataFrame(list(rows), "k string, page int, count long, results array<string>")
-    return {r["k"]: (r["count"], r["results"]) for r in pages.assemble_pages(df.repartition(3), ["k"]).collect()}
+    got = {}
+    for r in sorted(pages.assemble_pages(df.repartition(3), ["k"]).collect(), key=lambda r: (str(r["k"]), r["page"])):
+        total, results = got.setdefault(r["k"], (r["count"], []))
+        assert total == r["count"]
+        results.extend(r["results"])
+    return got
 
 
 def test_pages_stop_where_they_should(spark):
@@ -126,8 +161,19 @@ def test_pages_stop_where_they_should(spark):
         ("failed", 1, 5, ["a"]), ("failed", 3, 5, ["c"]), ("null", 1, None, ["a"]), ("null", 2, 5, None),
         ("none", 1, 4, []), ("late", 2, 3, ["b"]),
     )
-    assert got == {"empty": (5, ["a"]), "cap": (9, ["a", "b", "c", "d"]), "failed": (5, ["a"]), "null": (None, ["a"]),
-                   "none": (4, []), "late": (None, [])}
+    assert got == {"empty": (5, ["a"]), "cap": (9, ["a", "b", "c", "d", "e"]), "failed": (5, ["a"]), "null": (None, ["a"])}
+
+
+def test_many_pages_and_null_keys(spark):
+    rows = [("hot", n, 7, [str(n)]) for n in range(1, 200)] + [(None, 1, 3, ["x"]), (None, 2, 3, ["y"]), (None, 4, 3, ["z"])]
+    assert assembled(spark, *rows) == {"hot": (7, [str(n) for n in range(1, 200)]), None: (3, ["x", "y"])}
+
+
+def test_a_payload_is_parsed_once(spark):
+    raw = spark.createDataFrame([("jooble", "{}")], "source string, payload string")
+    for part in pages.quarantine(pages.normalize_envelopes(raw)):
+        plan = part._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("parse_json") == 1 or plan.count("parseJson") == 1
 
 
 def test_silver_round_trip(spark, staged, cfg, tmp_path):
@@ -206,7 +252,7 @@ def test_run_log(spark, tmp_path):
     log = runlog.read_log(spark, path)
     rows = {r["status"]: r for r in log.collect()}
     assert rows["SUCCESS"]["records_count"] == 42 and rows["SUCCESS"]["error_message"] == ""
-    assert rows["FAILED"]["error_message"] == "é" * 500
+    assert rows["FAILED"]["error_message"] == "é" * 900
     assert len({r["run_id"] for r in rows.values()}) == 2
     assert tuple(runlog.latest_run(log).first()) == ("FAILED", "2025-01-02 00:00:00", 0)
     assert tuple(runlog.latest_run(log.filter("status = 'SUCCESS'")).first()) == ("SUCCESS", "2025-01-01 00:00:00", 42)
@@ -225,7 +271,18 @@ def test_scratch_follows_the_shared_setting(spark):
         scratch_dir(cluster(), "x")
 
 
-def test_written_tables_are_cleared(spark):
-    assert written(spark.range(3), "x").count() == 3
+def test_written_tables_are_cleared(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("postrank.storage.shared_folder", lambda spark: f"{tmp_path}/own")
+    assert written(spark.range(3), "x").count() == 3 and os.listdir(f"{tmp_path}/own")
     clear(spark)
-    assert not os.path.exists(shared_folder(spark).removeprefix("file:"))
+    assert not os.path.exists(f"{tmp_path}/own")
+
+
+def test_publishing_replaces_a_folder(spark, tmp_path):
+    for n in (3, 5):
+        spark.range(n).write.parquet(f"{tmp_path}/new")
+        publish(spark, f"{tmp_path}/new", f"{tmp_path}/t")
+        assert spark.read.parquet(f"{tmp_path}/t").count() == n and os.listdir(tmp_path) == ["t"]
+    with pytest.raises(FileNotFoundError):
+        publish(spark, f"{tmp_path}/absent", f"{tmp_path}/t")
+    assert spark.read.parquet(f"{tmp_path}/t").count() == 5
