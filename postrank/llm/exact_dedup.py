@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from postrank.llm.rows import SPACE, fresh, keyed, quoted
+from postrank.llm.rows import SPACE, keyed, only, quoted
 from postrank.storage import written
 
 #: A digest with more than this share of all rows is settled without a shuffle.
@@ -33,14 +33,15 @@ def normalised(text: Column) -> Column:
     return F.regexp_replace(F.coalesce(text, F.lit("")), f"{SPACE}+", "")
 
 
-def digests(table: DataFrame, row: Column, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """One narrow row per document: row, doc_id, chars, digest."""
+def digests(table: DataFrame, *more: Column, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+    """One narrow row per document: row (a number), doc_id, chars, digest, and ``more``."""
     source = F.col(quoted(text))
     return table.select(
-        row.alias("row"),
+        F.monotonically_increasing_id().alias("row"),
         F.col(quoted(doc_id)).alias("doc_id"),
         F.length(F.coalesce(source, F.lit(""))).cast("long").alias("chars"),
         F.unhex(F.sha2(normalised(source), 256)).alias("digest"),
+        *more,
     )
 
 
@@ -90,13 +91,12 @@ def duplicate_groups(narrow: DataFrame) -> DataFrame:
 
 def exact_groups(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """The groups of equal texts, one row per document. Other columns are not read."""
-    row = F.monotonically_increasing_id()
-    return duplicate_groups(written(digests(docs, row, text, doc_id), "digests"))
+    return duplicate_groups(written(digests(docs, text=text, doc_id=doc_id), "digests"))
 
 
 def drop_exact_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """The documents that stay, with the columns they came with."""
-    stored, row = keyed(docs, "exact")
-    groups = duplicate_groups(written(digests(stored, F.col(row), text, doc_id), "digests"))
-    kept = groups.filter("kept").select(F.col("row").alias(key := fresh(stored, "kept_row")))
-    return stored.join(kept, F.col(row) == F.col(key), "left_semi").select(*map(quoted, docs.columns))
+    table, key = keyed(docs, "exact")
+    narrow = written(digests(table, F.col(key).alias("name"), text=text, doc_id=doc_id), "digests")
+    kept = duplicate_groups(narrow.drop("name")).filter("kept").select("row")
+    return only(table, key, narrow.join(kept, "row")).select(*map(quoted, docs.columns))

@@ -166,7 +166,10 @@ def mix(docs: DataFrame, text: str = "text", source: str = "source", **options)
     a source form one source; null texts count one token. Repeated rows are
     drawn on their own. An empty table gives an empty table.
     """
-    stored, row = keyed(docs, "mixing")
-    drawn = draws(written(stored.select(*narrow_columns(F.col(row), text, source)), "tokens"), **options)
-    key = fresh(stored, "drawn")
-    return stored.join(drawn.select(F.col("row").alias(key)), F.col(row) == F.col(key)).select(*map(quoted, docs.columns))
+    table, key = keyed(docs, "mixing")
+    numbered = table.select(F.col(key).alias("name"), *narrow_columns(F.monotonically_increasing_id(), text, source))
+    narrow = written(numbered, "tokens")
+    drawn = draws(narrow.drop("name"), **options).select("row")
+    wanted = fresh(table, "drawn")
+    named = narrow.join(drawn, "row").select(F.col("name").alias(wanted))
+    return table.join(named, F.col(key) == F.col(wanted)).select(*map(quoted, docs.columns))

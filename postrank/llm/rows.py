@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -29,13 +30,23 @@ def quoted(name: str) -> str:
 
 
 def keyed(table: DataFrame, label: str) -> tuple[DataFrame, str]:
-    """The table stored with a unique number for each row, and that column's name.
+    """The table with a column that is unique for each row, and that column's name.
 
-    Stored, the numbers stay the same however often and wherever they are read,
-    so rows that are equal in every column can still be told apart.
+    It stays the same however often and wherever the table is read, so rows that
+    are equal in every column can still be told apart. Rows of Parquet files are
+    named by file and place in it; any other table is stored with numbered rows.
     """
     name = fresh(table, "row")
-    return written(table.withColumn(name, F.monotonically_increasing_id()), label), name
+    try:
+        return table.select("*", F.struct("_metadata.file_path", "_metadata.row_index").alias(name)), name
+    except AnalysisException:  # no table of files
+        return written(table.withColumn(name, F.monotonically_increasing_id()), label), name
+
+
+def only(table: DataFrame, key: str, rows: DataFrame, name: str = "name", how: str = "left_semi") -> DataFrame:
+    """The rows of a keyed table that ``rows`` names (or, by left_anti, does not)."""
+    other = fresh(table, "wanted")
+    return table.join(rows.select(F.col(name).alias(other)), F.col(quoted(key)) == F.col(other), how)
 
 
 def words(text: Column) -> Column:

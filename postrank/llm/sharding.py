@@ -1,6 +1,6 @@
 """Sharding by a two-pass external shuffle.
 
-First pass: every record goes to a bucket by a seeded hash of its row number, so
+First pass: every record goes to a bucket by a seeded hash of its row's name, so
 buckets are alike and hold what a task's memory holds, whatever ids, sources or
 texts repeat. Second pass: each bucket is read whole, permuted by Fisher-Yates
 with a generator seeded by the bucket, and written.
@@ -72,8 +72,7 @@ def write_shards(docs: DataFrame, folder: str, shards: int = SHARDS, text: str =
             order = fisher_yates(whole.num_rows, (seed, number))
             rank = ahead[number] + np.arange(whole.num_rows)
             at = np.searchsorted(starts, rank, side="right") - 1
-            # Records of a bucket may arrive in any order; by row number they are the same each time.
-            whole = whole.take(pa.compute.sort_indices(whole.column(row))).take(pa.array(order)).drop_columns([row, bucket])
+            whole = whole.take(pa.array(order)).drop_columns([bucket])
             whole = whole.append_column(slot, pa.array(rank - starts[at])).append_column(shard, pa.array(at.astype(np.int32)))
             yield from whole.combine_chunks().to_batches(max_chunksize=10_000)
 
@@ -81,7 +80,8 @@ def write_shards(docs: DataFrame, folder: str, shards: int = SHARDS, text: str =
     tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
     (
         scattered.repartition(min(buckets, 4 * tasks) if buckets > tasks else tasks, bucket)
-        .sortWithinPartitions(bucket)
+        .sortWithinPartitions(bucket, row)  # records arrive in any order; so they are the same each time
+        .drop(row)
         .mapInArrow(permute, schema)
         .sortWithinPartitions(shard, slot)
         .write.option("compression", "zstd").partitionBy(shard).parquet(folder)

@@ -34,13 +34,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from postrank.llm.components import roots
-from postrank.llm.rows import fresh, keyed, quoted
+from postrank.llm.rows import keyed, only, quoted
 from postrank.storage import written
 
 SEED = 42
 SHINGLE, BITS, RADIUS = 3, 64, 2
 #: For texts: features of a fingerprint, its bits, how many of them.
 PAIR, TABLE_BITS, TABLES = 2, 32, 8
+#: Bits for the table and for the mask in a packed point.
+PART_BITS, MASK_BITS = 8, 6
 #: For texts: what decides.
 VERIFY_SHINGLE, SIMILARITY = 5, 0.8
 #: Fingerprint bits of unrelated texts differ about half the time; candidates
@@ -94,31 +96,47 @@ def fingerprint_column(text: Column, width: int = SHINGLE) -> Column:
     return simhash(text)
 
 
-def ball(value: Column, bits: int, half: int) -> Column:
-    """All values within ``half`` bits."""
+def ball_masks(bits: int, half: int) -> list[int]:
+    """What leads from a value to all those within ``half`` bits, as signed numbers."""
     masks = [sum(1 << b for b in at) for k in range(half + 1) for at in combinations(range(bits), k)]
-    masks = [m - (1 << 64) if m >= 1 << 63 else m for m in masks]
-    return F.transform(F.array(*[F.lit(m).cast("long") for m in masks]), lambda m: value.bitwiseXOR(m))
+    return [m - (1 << 64) if m >= 1 << 63 else m for m in masks]
 
 
 def ball_pairs(points: DataFrame, bits: int = BITS, radius: int = RADIUS, star: bool | None = None) -> DataFrame:
     """(a, b), a < b as signed numbers: distinct ``value`` of ``points`` in one ``part``
     that differ in 1 to ``radius`` bits.
 
-    ``points`` has (part, value), without repeats. ``star`` (default: if the
+    ``points`` has (part, value), without repeats; part is from 0 to 255. ``star`` (default: if the
     radius is even) gives only the pairs with the smallest value at each point,
     which have the same connected components.
     """
     half = (radius + 1) // 2
-    # Many rows come of each point, so the points are spread by number, not by size.
-    tasks = int(points.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    points = points.repartition(tasks, "part", "value")
     star = radius % 2 == 0 if star is None else star
     if star and radius % 2:
         raise ValueError("a star keeps all components for an even radius only")
+    # Many rows come of each point, so the points are spread by number, not by size.
+    # What is shuffled is the point and which mask led to it, packed when they fit.
+    masks = ball_masks(bits, half)
+    tasks = int(points.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = points.repartition(tasks, "part", "value")
+    known = F.array(*[F.lit(m).cast("long") for m in masks])
+    if bits + PART_BITS + MASK_BITS <= 64 and len(masks) <= 1 << MASK_BITS:
+        shift = bits + MASK_BITS
+        packed = F.shiftleft(F.col("part").cast("long"), shift)
+        emitted = spread.select("part", "value", F.posexplode(known).alias("i", "mask")).select(
+            packed.bitwiseOR(F.shiftleft(F.col("value").bitwiseXOR(F.col("mask")), MASK_BITS)).bitwiseOR(F.col("i").cast("long")).alias("packed")
+        )
+        dealt = emitted.repartition(tasks, F.shiftright("packed", MASK_BITS)).select(
+            F.shiftright("packed", shift).cast("int").alias("part"),
+            F.shiftright("packed", MASK_BITS).bitwiseAND(F.lit((1 << bits) - 1)).alias("point"),
+            F.get(known, F.col("packed").bitwiseAND(F.lit((1 << MASK_BITS) - 1)).cast("int")).alias("mask"),
+        ).select("part", "point", F.col("point").bitwiseXOR(F.col("mask")).alias("value"))
+    else:
+        dealt = spread.select("part", "value", F.explode(known).alias("mask")).select(
+            "part", F.col("value").bitwiseXOR(F.col("mask")).alias("point"), "value"
+        )
     met = (
-        points.select("part", "value", F.explode(ball(F.col("value"), bits, half)).alias("point"))
-        .groupBy("part", "point")
+        dealt.groupBy("part", "point")
         .agg(F.sort_array(F.collect_list("value")).alias("values"))  # at most one ball
         .filter(F.size("values") > 1)
     )
@@ -230,16 +248,18 @@ def candidate_pairs(prints: DataFrame) -> DataFrame:
     return pairs.join(of("a"), "a").join(of("b"), "b").filter(apart <= int(FAR_SHARE * TABLES * TABLE_BITS)).select("a", "b")
 
 
-def near_pairs(stored: DataFrame, row: str, text: str = "text") -> DataFrame:
-    """(a, b, similarity): verified pairs of rows of a keyed table."""
-    source = F.col(quoted(text))
-    prints = written(stored.select(F.col(row).alias("row"), _tables_column(source).alias("tables")), "tables")
+def near_pairs(table: DataFrame, key: str, prints: DataFrame, text: str = "text") -> DataFrame:
+    """(a, b, similarity): verified pairs of rows.
+
+    ``table`` is keyed by ``key``; ``prints`` has row (a number), name (the key)
+    and tables, stored.
+    """
     pairs = written(candidate_pairs(prints), "candidates")
     members = pairs.select(F.col("a").alias("row")).union(pairs.select("b")).distinct()
-    sets = written(
-        stored.select(F.col(row).alias("row"), source.alias("body")).join(members, "row").select("row", _shingle_set(F.col("body")).alias("body")),
-        "sets",
+    bodies = table.select(F.col(key).alias("name"), F.col(quoted(text)).alias("body")).join(
+        prints.select("row", "name").join(members, "row"), "name"
     )
+    sets = written(bodies.select("row", _shingle_set(F.col("body")).alias("body")), "sets")
     left = sets.select(F.col("row").alias("a"), F.col("body").alias("a_set"))
     right = sets.select(F.col("row").alias("b"), F.col("body").alias("b_set"))
     return (
@@ -249,6 +269,15 @@ def near_pairs(stored: DataFrame, row: str, text: str = "text") -> DataFrame:
     )
 
 
+def table_columns(table: DataFrame, key: str, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+    """row, name, id, chars, tables: the narrow rows all of the search works on."""
+    source = F.col(quoted(text))
+    return table.select(
+        F.monotonically_increasing_id().alias("row"), F.col(key).alias("name"), F.col(quoted(doc_id)).alias("id"),
+        F.length(F.coalesce(source, F.lit(""))).alias("chars"), _tables_column(source).alias("tables"),
+    )
+
+
 def drop_near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """One document of each group of near copies, and all others, with their columns.
 
@@ -256,16 +285,12 @@ def drop_near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc
     the row stored first. Null counts as empty; documents without a word are near
     copies of each other. An empty table gives an empty table.
     """
-    stored, row = keyed(docs, "near")
-    groups = written(roots(near_pairs(stored, row, text).select("a", "b")), "groups")
-    ranked = (
-        stored.select(F.col(row).alias("node"), F.col(quoted(doc_id)).alias("id"), F.length(F.col(quoted(text))).alias("chars"))
-        .join(groups, "node")
-        .select("root", "node", F.struct(
-            (-F.coalesce("chars", F.lit(0))).alias("order"), F.col("id").isNull().alias("no_id"), F.col("id"), F.col("node")
-        ).alias("rank"))
-    )
-    stays = ranked.groupBy("root").agg(F.min("rank").alias("best")).select("root", F.col("best.node").alias("stays"))
-    lost = ranked.join(stays, "root").filter("node <> stays")
-    gone = lost.select(F.col("node").alias(key := fresh(stored, "gone")))
-    return stored.join(gone, F.col(row) == F.col(key), "left_anti").select(*map(quoted, docs.columns))
+    table, key = keyed(docs, "near")
+    prints = written(table_columns(table, key, text, doc_id), "prints")
+    linked = near_pairs(table, key, prints.select("row", "name", "tables"), text).select("a", "b")
+    groups = written(roots(linked).withColumnRenamed("node", "row"), "groups")
+    order = F.struct((-F.col("chars")).alias("order"), F.col("id").isNull().alias("no_id"), F.col("id"), F.col("row")).alias("order")
+    ranked = written(prints.select("row", "name", order).join(groups, "row"), "ranked")
+    stays = ranked.groupBy("root").agg(F.min("order").alias("best")).select("root", F.col("best.row").alias("stays"))
+    gone = ranked.join(stays, "root").filter("row <> stays")
+    return only(table, key, gone, how="left_anti").select(*map(quoted, docs.columns))

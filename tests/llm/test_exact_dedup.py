@@ -2,8 +2,6 @@ import hashlib
 import re
 from collections import defaultdict
 
-from pyspark.sql import functions as F
-
 from postrank.llm import exact_dedup
 from postrank.llm.exact_dedup import drop_exact_duplicates, exact_groups
 from postrank.llm.queries import QUERIES
@@ -48,7 +46,7 @@ def test_heavy_and_rare(docs, spark):
     rows = [document(i, "hot text" + " " * (i % 5) if i % 3 == 0 else f"text {i // 4}") for i in range(1500)]
     frame = docs(rows)
     check(frame, [(r[0], r[1]) for r in rows])
-    narrow = exact_dedup.digests(frame, F.monotonically_increasing_id())
+    narrow = exact_dedup.digests(frame)
     heavy = exact_dedup.heavy_winners(narrow).collect()
     assert [(h.group_size, h.best.doc_id) for h in heavy if h.group_size > 100] == [(500, 9)]
 

@@ -173,8 +173,9 @@ def test_near_copies_go_and_others_stay(docs):
 
 def test_pairs_are_similar(docs, spark):
     rows, _ = planted()
-    stored = docs(rows).withColumn("_row", F.col("doc_id"))
-    pairs = simhash.near_pairs(stored, "_row").collect()
+    table = docs(rows).withColumn("_key", F.col("doc_id"))
+    prints = simhash.table_columns(table, "_key").withColumn("row", F.col("name"))
+    pairs = simhash.near_pairs(table, "_key", prints.select("row", "name", "tables")).collect()
     assert pairs and all(similar(rows[p.a][1], rows[p.b][1]) for p in pairs)
 
 
