@@ -121,25 +121,29 @@ def ball_pairs(points: DataFrame, bits: int = BITS, radius: int = RADIUS, star:
     spread = points.repartition(tasks, "part", "value")
     known = F.array(*[F.lit(m).cast("long") for m in masks])
     if bits + PART_BITS + MASK_BITS <= 64 and len(masks) <= 1 << MASK_BITS:
-        shift = bits + MASK_BITS
-        packed = F.shiftleft(F.col("part").cast("long"), shift)
+        place = F.shiftleft(F.col("part").cast("long"), bits).bitwiseOR(F.col("value").bitwiseXOR(F.col("mask")))
         emitted = spread.select("part", "value", F.posexplode(known).alias("i", "mask")).select(
-            packed.bitwiseOR(F.shiftleft(F.col("value").bitwiseXOR(F.col("mask")), MASK_BITS)).bitwiseOR(F.col("i").cast("long")).alias("packed")
+            F.shiftleft(place, MASK_BITS).bitwiseOR(F.col("i").cast("long")).alias("packed")
+        )
+        key, led = F.shiftright("packed", MASK_BITS), F.col("packed").bitwiseAND(F.lit((1 << MASK_BITS) - 1)).cast("int")
+        point = F.col("key").bitwiseAND(F.lit((1 << bits) - 1))
+        met = (
+            emitted.repartition(tasks, key).select(key.alias("key"), led.alias("i"))
+            .groupBy("key").agg(F.collect_list("i").alias("i"))  # at most one ball
+            .filter(F.size("i") > 1)
+            .select(
+                F.shiftright("key", bits).cast("int").alias("part"),
+                F.sort_array(F.transform("i", lambda i: point.bitwiseXOR(F.get(known, i)))).alias("values"),
+            )
         )
-        dealt = emitted.repartition(tasks, F.shiftright("packed", MASK_BITS)).select(
-            F.shiftright("packed", shift).cast("int").alias("part"),
-            F.shiftright("packed", MASK_BITS).bitwiseAND(F.lit((1 << bits) - 1)).alias("point"),
-            F.get(known, F.col("packed").bitwiseAND(F.lit((1 << MASK_BITS) - 1)).cast("int")).alias("mask"),
-        ).select("part", "point", F.col("point").bitwiseXOR(F.col("mask")).alias("value"))
     else:
-        dealt = spread.select("part", "value", F.explode(known).alias("mask")).select(
-            "part", F.col("value").bitwiseXOR(F.col("mask")).alias("point"), "value"
+        met = (
+            spread.select("part", "value", F.explode(known).alias("mask"))
+            .select("part", F.col("value").bitwiseXOR(F.col("mask")).alias("point"), "value")
+            .repartition(tasks, "point")
+            .groupBy("part", "point").agg(F.sort_array(F.collect_list("value")).alias("values"))
+            .filter(F.size("values") > 1)
         )
-    met = (
-        dealt.groupBy("part", "point")
-        .agg(F.sort_array(F.collect_list("value")).alias("values"))  # at most one ball
-        .filter(F.size("values") > 1)
-    )
     if star:
         pairs = met.select(
             "part", F.col("values")[0].alias("a"), F.explode(F.slice("values", 2, F.size("values"))).alias("b")
