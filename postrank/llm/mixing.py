@@ -33,7 +33,7 @@ from postrank.storage import written
 SEED = 42
 BLOCK_TOKENS = 1 << 20
 #: Rows of one hash range.
-RANGE_ROWS = 50_000
+RANGE_ROWS = 4_000
 #: No source is read more often than this, unless a target entropy is asked for.
 REPETITIONS = 2.0
 STEPS = 60
