@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 
 from postrank.storage import written
 
-#: What a range or bucket should hold, in bytes of text.
-TASK_BYTES = 32 << 20
+#: What a range should hold, in bytes of text.
+TASK_BYTES = 128 << 20
 #: White space of the word rule, as a Java pattern.
 SPACE = r"[\x20\x09-\x0D]"
 WORD = r"[^\x20\x09-\x0D]+"

@@ -27,8 +27,8 @@ from postrank.storage import scratch_dir
 
 SEED = 42
 SHARDS = 16
-#: Bytes of text in one bucket.
-BUCKET_BYTES = 16 << 20
+#: Bytes of text in one bucket, at most on average; no fewer buckets than shuffle partitions.
+BUCKET_BYTES = 64 << 20
 #: And rows, where texts are short.
 BUCKET_ROWS = 100_000
 
@@ -59,7 +59,8 @@ def write_shards(docs: DataFrame, folder: str, shards: int = SHARDS, text: str =
     stored, row = keyed(docs, "scatter")
     spark = stored.sparkSession
     rows = stored.count()
-    buckets = max(1, math.ceil(text_bytes(stored, text) / BUCKET_BYTES), math.ceil(rows / BUCKET_ROWS))
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
+    buckets = max(tasks, math.ceil(text_bytes(stored, text) / BUCKET_BYTES), math.ceil(rows / BUCKET_ROWS))
     bucket, shard, slot = fresh(stored, "bucket"), fresh(stored, "shard"), fresh(stored, "slot")
     scattered = stored.withColumn(bucket, F.pmod(F.xxhash64(F.lit(seed), F.col(row)), F.lit(buckets)).cast("int"))
     counts = dict(scattered.groupBy(bucket).count().collect())
@@ -77,9 +78,8 @@ def write_shards(docs: DataFrame, folder: str, shards: int = SHARDS, text: str =
             yield from whole.combine_chunks().to_batches(max_chunksize=10_000)
 
     schema = T.StructType([*docs.schema.fields, T.StructField(slot, T.LongType()), T.StructField(shard, T.IntegerType())])
-    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
     (
-        scattered.repartition(min(buckets, 4 * tasks) if buckets > tasks else tasks, bucket)
+        scattered.repartitionById(buckets, bucket)
         .sortWithinPartitions(bucket, row)  # records arrive in any order; so they are the same each time
         .drop(row)
         .mapInArrow(permute, schema)
