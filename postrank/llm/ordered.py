@@ -9,12 +9,15 @@ from pyspark.sql import functions as F
 
 from postrank.llm.rows import quoted, task_count, text_bytes
 
+#: The ends of ranges are a list on the driver and in every task.
+MOST_RANGES = 8192
+
 
 def range_bounds(table: DataFrame, doc_id: str, ranges: int) -> list:
     """Ids that cut the table into ``ranges`` of about as many rows: fewer numbers than ranges."""
-    shares = F.array(*[F.lit(i / ranges) for i in range(1, ranges)]) if ranges > 1 else None
-    if shares is None:
+    if ranges == 1:
         return []
+    shares = F.array(*[F.lit(i / ranges) for i in range(1, ranges)])
     cuts = table.agg(F.percentile_approx(F.col(quoted(doc_id)), shares, F.lit(max(10_000, 20 * ranges)))).first()[0]
     return sorted(set(cuts or []))
 
@@ -22,21 +25,17 @@ def range_bounds(table: DataFrame, doc_id: str, ranges: int) -> list:
 def range_of(value: Column, bounds: list, descending: bool) -> Column:
     """Range of an id, numbered in the order wanted; null comes last in either."""
     cuts = np.array(bounds)
-    if descending:
-        @F.pandas_udf("int")
-        def down(ids: pd.Series) -> pd.Series:
-            at = len(cuts) - np.searchsorted(cuts, ids.fillna(0).to_numpy(), side="left")
-            return pd.Series(np.where(ids.isna(), len(cuts), at)).astype("int32")
-
-        return down(value)
 
     @F.pandas_udf("int")
-    def up(ids: pd.Series) -> pd.Series:
-        at = np.searchsorted(cuts, ids.fillna(0).to_numpy(), side="left")
-        return pd.Series(np.where(ids.isna(), len(cuts), at)).astype("int32")
+    def place(ids: pd.Series) -> pd.Series:
+        below = np.searchsorted(cuts, ids.to_numpy(), side="left")
+        return pd.Series(len(cuts) - below if descending else below).astype("int32")
 
-    return up(value)
+    # Filled in first: a null would turn the numbers of a batch into floating-point.
+    return F.when(value.isNull(), F.lit(len(cuts))).otherwise(place(F.coalesce(value, F.lit(0).cast("long"))))
 
 
 def ranges_for(table: DataFrame, text: str) -> int:
-    return task_count(table, text_bytes(table, text))
+    """Ranges of about TASK_BYTES, no more than MOST_RANGES: ranges are read through, so
+    a very large table has larger ones rather than more of them."""
+    return min(task_count(table, text_bytes(table, text)), MOST_RANGES)

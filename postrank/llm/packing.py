@@ -109,10 +109,13 @@ def pack(narrow: DataFrame, lengths: tuple[int, ...] = LENGTHS, seed: int = SEED
 
     kind = narrow.schema["doc_id"].dataType.simpleString()
     dealt = cut.withColumn("bin_group", F.pmod(F.xxhash64(F.lit(seed), "row", "piece"), F.lit(groups)))
-    return (
+    # As text: a null id would turn the ids of a frame into floating-point.
+    dealt = dealt.withColumn("doc_id", F.col("doc_id").cast("string"))
+    packed = (
         dealt.repartition("bin_group").sortWithinPartitions("bin_group")
-        .mapInPandas(group, f"bin_group long, bin long, capacity long, position long, doc_id {kind}, piece int, start long, size int")
+        .mapInPandas(group, "bin_group long, bin long, capacity long, position long, doc_id string, piece int, start long, size int")
     )
+    return packed.withColumn("doc_id", F.col("doc_id").cast(kind))
 
 
 def _groups(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -153,6 +153,8 @@ def compare_neighbours(docs: DataFrame, text: str = "text", doc_id: str = "doc_i
                 last = None if h else (d, t, own)
             yield pd.DataFrame(found, columns=names)
 
-    schema = RESULT.format(kind=kind)
+    schema = RESULT.format(kind="string")
     names = [part.split()[0] for part in schema.split(", ")]
-    return ordered.mapInPandas(read_through, schema)
+    # As text: a null id would turn the ids of a frame into floating-point.
+    read = ordered.withColumn("doc_id", F.col("doc_id").cast("string")).mapInPandas(read_through, schema)
+    return read.withColumn("doc_id", F.col("doc_id").cast(kind))

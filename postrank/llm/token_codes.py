@@ -354,8 +354,10 @@ def read_tokens(files: DataFrame) -> DataFrame:
                         (None if d == NO_ID else d, base + first, len(ids), zlib.crc32(ids.astype("<u4").tobytes()))
                         for d, first, ids in TokenFile(file).read_documents()
                     ]
-                out = pd.DataFrame(found, columns=["doc_id", "start", "n_tokens", "ids_crc32"])
-                yield out.astype({"doc_id": "Int64"})
+                names = pd.array([f[0] for f in found], dtype="Int64")
+                yield pd.DataFrame([f[1:] for f in found], columns=["start", "n_tokens", "ids_crc32"]).assign(doc_id=names)[
+                    ["doc_id", "start", "n_tokens", "ids_crc32"]
+                ]
 
     # Each file is a task: the list of files is small, the files are not.
     spread = files.repartitionById(max(1, files.count()), "number")

@@ -132,7 +132,9 @@ def test_stage_keeps_plain_texts(docs):
     rows = corpus() + [document(100, EN * 3, None), document(101, None), document(102, "?!"), document(103, (EN + DE + FR) * 5)]
     out = language.keep_identified(docs(rows))
     same_columns(docs(rows), out)
-    assert {r.doc_id for r in out.collect()} == set(range(36)) | {100}
+    assert {r.doc_id for r in out.collect()} == set(range(36)) | {100, 103}
+    strict = language.keep_identified(docs(rows), least_share=0.5)
+    assert {r.doc_id for r in strict.collect()} == set(range(36)) | {100}
 
 
 def test_learns_from_training_rows_only(docs):

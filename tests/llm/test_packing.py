@@ -94,3 +94,10 @@ def test_edges(docs):
 def test_query_on_given_tables(spark, given):
     tokens = {r.doc_id: [len(r.text.encode().split()) + 1] for r in given("documents").collect()}
     check(QUERIES["op5_best_fit_packing"](spark, SF_DIR).collect(), packing.LENGTHS, tokens)
+
+
+def test_large_ids_beside_null(docs):
+    big = (1 << 62) + 1
+    rows = [document(big, "a b"), document(big + 1, "c d e"), document(None, "f")]
+    out = packing.pack_documents(docs(rows)).collect()
+    assert {(r.doc_id, r.size) for r in out} == {(big, 3), (big + 1, 4), (None, 2)}

@@ -98,3 +98,12 @@ def test_query_on_given_tables(spark, given):
     got = sorted(tuple(r)[:7] for r in QUERIES["op3_scaled_sketch"](spark, SF_DIR).collect())
     want = sorted((w[0], w[1], hashlib.sha256(w[2].encode()).hexdigest(), *w[3:]) for w in slow_neighbours(rows))
     assert got == want
+
+
+def test_large_ids_beside_null(docs):
+    big = (1 << 62) + 1
+    rows = [document(big, "a b"), document(big + 1, "c d e"), document(None, "f")]
+    got = sketch.compare_neighbours(docs(rows)).collect()
+    assert {r.doc_id for r in got} == {big, big + 1, None}
+    assert sorted(map(str, (tuple(r)[:7] for r in got))) == sorted(
+        map(str, slow_neighbours([(big + 1, "c d e"), (big, "a b"), (None, "f")])))

@@ -129,3 +129,10 @@ def test_files_hold_the_corpus(docs, spark):
 def test_query_on_given_tables(spark, given):
     rows = sorted((r.doc_id, r.text) for r in given("documents").collect())
     assert sorted(tuple(r) for r in QUERIES["op4_token_codes"](spark, SF_DIR).collect()) == expected(rows)
+
+
+def test_large_ids_beside_null(docs, spark):
+    big = (1 << 62) + 1
+    rows = [document(big, "a b"), document(big + 1, "c d e"), document(None, "f")]
+    got = token_codes.read_tokens(token_codes.token_files(spark, docs(rows), VOCABULARY)).collect()
+    assert [r.doc_id for r in sorted(got, key=lambda r: r.start)] == [big, big + 1, None]
