@@ -35,7 +35,7 @@ PENALTY = 2.0
 ROUNDS, REFINE = 8, 4
 UNKNOWN = "und"
 #: Documents whose first language has a smaller share are rejected by ``keep_identified``.
-LEAST_SHARE = 0.5
+LEAST_SHARE = 0.3
 #: Characters handled at once inside a task.
 BLOCK_CHARS = 1 << 20
 
@@ -207,15 +207,17 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % 3 == 1, F.lit(False))
 
 
-def keep_identified(docs: DataFrame, text: str = "text", lang: str = "lang", doc_id: str = "doc_id") -> DataFrame:
-    """The documents written mostly in one known language, with their columns.
+def keep_identified(docs: DataFrame, text: str = "text", lang: str = "lang", doc_id: str = "doc_id",
+                    least_share: float = LEAST_SHARE) -> DataFrame:
+    """The documents with one leading language, with their columns.
 
     Rejected are texts without a letter (null included) and mixtures whose first
-    language has less than LEAST_SHARE. Without any labelled document every text
+    language has less than ``least_share`` of the words: a document with a passage
+    or two in other languages stays. Without any labelled document every text
     that has a letter is kept. An empty table gives an empty table.
     """
     model = train(docs.filter(~held_out(F.col(quoted(doc_id)))), text, lang)
     if not model[0]:
         return docs.filter(F.coalesce(F.col(quoted(text)), F.lit("")).rlike(r"\p{L}"))
     told, pred, score = identify(docs, model, text)
-    return told.filter((F.col(pred) != UNKNOWN) & (F.col(score) >= LEAST_SHARE)).select(*map(quoted, docs.columns))
+    return told.filter((F.col(pred) != UNKNOWN) & (F.col(score) >= least_share)).select(*map(quoted, docs.columns))
