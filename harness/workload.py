@@ -24,7 +24,7 @@ TITLES = [
     "Directeur Data", "Stage Data Engineer", "Technicien support", "Data Engineer",
     "Ingénieur DevOps débutant", "Cloud Architect – AWS", "Alternance Data",
 ]
-COMPANIES = ["Test Corp", "Banque du Lac", "SCOP Verte", "Assurance Ouest", "Corp – Inc", None, "Cloud Inc"]
+COMPANIES = ["Atelier Nord", "Banque du Lac", "SCOP Verte", "Assurance Ouest", "Corp – Inc", None, "Cloud Inc"]
 LOCATIONS = ["44 - Nantes", "Nantes (44000)", "Paris 75", "Saint-Herblain", None]
 SALARIES = ["45k", "45 000 - 50 000", "12000", None, '{"libelle":"38000 Euros"}', "100000", "45K"]
 PHRASES = [

@@ -30,7 +30,7 @@ def cfg():
 
 
 DEFAULTS = {
-    "job_id": "1", "title": "Data Engineer", "company_name": "Test Corp", "description": "Un poste.",
+    "job_id": "1", "title": "Data Engineer", "company_name": "Atelier Nord", "description": "Un poste.",
     "location": "Nantes", "salary_info": None, "created_at": "2025-01-01T00:00:00Z",
     "url": "https://ex.com/1", "source_name": "Adzuna",
 }

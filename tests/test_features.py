@@ -44,7 +44,7 @@ def test_salary_pattern_equals_its_spelled_out_form(spark):
 
 
 def flag(values, name, items):
-    return values(lambda x: features.flags(F.lower(x), F.lit("Test Corp"))[name], items)
+    return values(lambda x: features.flags(F.lower(x), F.lit("Atelier Nord"))[name], items)
 
 
 @pytest.mark.parametrize("name, hits, misses", [

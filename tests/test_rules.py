@@ -8,7 +8,7 @@ from postrank.operators import scoring
 
 AS_OF = datetime(2025, 2, 1)
 FIELDS = {
-    "title": ("Poste", "string"), "description": ("rien", "string"), "company_name": ("Test Corp", "string"),
+    "title": ("Poste", "string"), "description": ("rien", "string"), "company_name": ("Atelier Nord", "string"),
     "is_junior": (False, "boolean"), "is_remote": (False, "boolean"), "exp_min_required": (None, "double"),
     "published_at": (AS_OF - timedelta(days=30), "timestamp"), "extracted_skills": ([], "array<string>"),
     "data_quality_score": (1.0, "double"), "raw_nlp_score": (0.0, "double"),
