@@ -184,7 +184,9 @@ def envelopes(spark: SparkSession, sf_dir: str, source: str) -> DataFrame:
             F.col("job_id").alias("id"), F.col("title").alias("intitule"),
             F.struct(F.col("company_name").alias("nom")).alias("entreprise"), "description",
             F.struct(F.col("location").alias("libelle")).alias("lieuTravail"),
-            F.when(F.col("salary_info").isNotNull(), F.struct(F.col("salary_info").alias("libelle"), F.lit(38000).alias("minimum"), F.lit("45k").alias("autre"))).alias("salaire"),
+            F.when(F.col("salary_info").isNotNull(), F.struct(
+                F.col("salary_info").alias("libelle"), F.lit(38000).alias("minimum"), F.lit("45k").alias("autre")
+            )).alias("salaire"),
             created.alias("dateCreation"), F.struct(F.col("url").alias("urlOrigine")).alias("origineOffre"),
         ),
         "JSearch": F.struct(
