@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from postrank.llm.rows import fresh, keyed, quoted, text_bytes
+from postrank.llm.rows import fresh, keyed, text_bytes
 from postrank.storage import scratch_dir
 
 SEED = 42

@@ -189,7 +189,9 @@ def _mixed(hashes: np.ndarray, count: int) -> np.ndarray:
 def table_prints(text: str | None) -> list[int]:
     """The independent short fingerprints of a text, over its set of word pairs."""
     pairs = np.unique(shingle_hashes(text, PAIR))
-    return majority(_mixed(pairs, TABLES // 2)).astype("<u8").view("<u4").astype(np.int64).tolist()
+    words = majority(_mixed(pairs, -(-TABLES * TABLE_BITS // 64))).astype("<u8")
+    bits = np.unpackbits(words.view(np.uint8), bitorder="little")[: TABLES * TABLE_BITS].reshape(TABLES, TABLE_BITS)
+    return (bits.astype(np.int64) << np.arange(TABLE_BITS)).sum(axis=1).tolist()
 
 
 def _tables_column(text: Column) -> Column:

@@ -75,8 +75,14 @@ def judge(pages: DataFrame, rules: DataFrame, url: str = "url", page_id: str = "
         F.monotonically_increasing_id().alias("row"), F.col(quoted(page_id)).alias("page_id"), host.alias("host"), path.alias("path")
     )
     labels = F.split("host", r"\.")
+
+    def suffix(n: Column) -> Column:
+        """The last ``n`` labels of the host; null if it has fewer."""
+        last = F.concat_ws(".", F.slice(labels, F.size(labels) - n + 1, n))
+        return F.when(n < F.size(labels), last).when(n == F.size(labels), F.col("host"))
+
     suffixes = F.filter(
-        F.transform(F.lit(shape["labels"]).cast("array<int>"), lambda n: F.when(n < F.size(labels), F.concat_ws(".", F.slice(labels, F.size(labels) - n + 1, n))).when(n == F.size(labels), F.col("host"))),
+        F.transform(F.lit(shape["labels"]).cast("array<int>"), suffix),
         lambda s: s.isNotNull(),
     )
     prefixes = F.transform(

@@ -188,6 +188,19 @@ def test_texts_on_edges(docs):
     assert simhash.drop_near_duplicates(docs([])).count() == 0
 
 
+@pytest.mark.parametrize("bits, tables", [(32, 8), (40, 12), (24, 3)])
+def test_tables_of_other_sizes(docs, monkeypatch, bits, tables):
+    monkeypatch.setattr(simhash, "TABLE_BITS", bits)
+    monkeypatch.setattr(simhash, "TABLES", tables)
+    base = make(300, 1)
+    one, two = simhash.table_prints(" ".join(base)), simhash.table_prints(" ".join(base[:150] + ["x"] + base[151:]))
+    assert len(one) == tables and all(0 <= v < 1 << bits for v in one + two) and len(set(one)) == tables
+    assert min((a ^ b).bit_count() for a, b in zip(one, two)) <= 2
+    pairs = np.unique(simhash.shingle_hashes(" ".join(base), 2))
+    first = simhash._mixed(pairs, 1)[:, 0]
+    assert one[0] == sum(1 << b for b in range(bits) if 2 * int((first >> np.uint64(b) & np.uint64(1)).sum()) > len(first))
+
+
 def test_tables_of_long_and_empty_texts():
     assert simhash.table_prints("") == simhash.table_prints(None) == [0] * simhash.TABLES
     long = simhash.table_prints(" ".join(make(40_000, 1)))

@@ -55,7 +55,10 @@ def test_access_reads_a_few_bytes():
 
 
 @settings(max_examples=200, deadline=None)
-@over(st.text(max_size=80) | st.lists(st.sampled_from(["'s", "don't", "É\u0301", " ", "\u0301", "\n", "\t", "\x1c", "\u2003", "Σ", "ΑΣ", "12", "x9!", "<|endoftext|>", "ñ"]), max_size=12).map("".join))
+@over(st.text(max_size=80) | st.lists(st.sampled_from([
+    "'s", "don't", "É\u0301", " ", "\u0301", "\n", "\t",
+    "\x1c", "\u2003", "Σ", "ΑΣ", "12", "x9!", "<|endoftext|>", "ñ",
+]), max_size=12).map("".join))
 def test_encoder_equals_the_library(text):
     whole = encoder().tokenizer.encode(text, add_special_tokens=False).ids
     assert encoder().ids(pa.array([text]))[0].tolist() == whole
