@@ -40,6 +40,9 @@ def written(table: DataFrame, label: str, compression: str = "zstd") -> DataFram
     spark = table.sparkSession
     path = scratch_dir(spark, label)
     table.write.option("compression", compression).parquet(path)
+    # The shuffles behind the table are of no use any more, but their files stay
+    # until the driver's JVM collects its garbage, which may be hours.
+    spark.sparkContext._jvm.System.gc()
     return spark.read.schema(table.schema).parquet(path)
 
 
