@@ -14,21 +14,22 @@ and copies cost nothing. With an even radius all that meet at a point are within
 the radius of each other, so a star to the smallest keeps every component.
 
 ``drop_near_duplicates`` finds texts whose sets of five-word shingles have a
-Jaccard similarity of 0.8 or more. At that similarity 64 bits over five-word
-shingles differ in about ten places, beyond any affordable ball. Candidates
-therefore come from ``TABLES`` independent 32-bit fingerprints of word pairs,
-each searched with radius 2: at similarity 0.8 about one bit in ten differs, and
-one table in eight suffices. Every candidate pair is verified on its sets of
-five-word shingles. A pair just above 0.8 can be missed; README.md has the
-recall measured against brute force.
+Jaccard similarity of 0.8 or more, and misses none. Such sets of sizes x and y
+differ in at most (x + y) / 9 shingles. The range of the hashes is cut into more
+parts than that, so some part holds the same in both; what each part holds is
+shuffled as one signature (``signatures``), and sets that meet in one are
+candidates. Sets that meet are linked to one head first; after that only those
+of different components are paired, and every pair is verified.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from itertools import combinations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -39,16 +40,27 @@ from postrank.storage import written
 
 SEED = 42
 SHINGLE, BITS, RADIUS = 3, 64, 2
-#: For texts: features of a fingerprint, its bits, how many of them.
+#: Short fingerprints of texts: features, bits, how many of them.
 PAIR, TABLE_BITS, TABLES = 2, 32, 8
 #: Bits for the table and for the mask in a packed point.
 PART_BITS, MASK_BITS = 8, 6
 #: For texts: what decides.
 VERIFY_SHINGLE, SIMILARITY = 5, 0.8
-#: Fingerprint bits of unrelated texts differ about half the time; candidates
-#: that differ in more than this share are not worth reading the texts. At
-#: similarity 0.8 the share is near 0.1, with a deviation of 0.02.
-FAR_SHARE = 0.25
+#: Upper bounds of the classes of set sizes that are searched together. A set and
+#: one of 5/4 its size are in one class or in neighbours.
+CLASSES = [4]
+while CLASSES[-1] < 1 << 40:
+    CLASSES.append(CLASSES[-1] * 3 // 2)
+#: Parts there are for each shingle that may differ. More leave room for parts that hold nothing.
+SPARE = 1.06
+#: The signatures are shuffled in so many rounds, which bounds the disk.
+SEARCH_ROUNDS = 4
+#: What is known of a set before its signatures: its size, and how many hashes each part
+#: of the range has, as bytes (at most 255) packed into long numbers.
+COUNTED = 128
+HEAD = 1 + COUNTED // 8
+#: Pairs made at once inside a task.
+PAIR_BLOCK = 1 << 16
 
 
 def shingle_hashes(text: str | None, width: int, seed: int = SEED) -> np.ndarray:
@@ -194,12 +206,73 @@ def table_prints(text: str | None) -> list[int]:
     return (bits.astype(np.int64) << np.arange(TABLE_BITS)).sum(axis=1).tolist()
 
 
-def _tables_column(text: Column) -> Column:
-    @F.pandas_udf("array<long>")
-    def prints(texts: pd.Series) -> pd.Series:
-        return texts.map(table_prints, na_action=None)
+def _unlike(x: int, y: int) -> int:
+    """Shingles that sets of x and y differ in at most, if they are similar."""
+    return (x + y) // 9
 
-    return prints(text)
+
+def signatures(hashes: np.ndarray) -> np.ndarray:
+    """What two similar sets have in common at least once; ``hashes`` is sorted, without repeats.
+
+    A set meets its own size class, and the next one if 5/4 of its size reach it. In a
+    class of sets of up to M the hash range has k parts, more than may differ. A part
+    gives a signature of its place and contents. An empty part gives one only
+    in a set so sparse that all it must have in common might be empty parts; then the
+    similar set is as sparse and gives them too.
+    """
+    n = len(hashes)
+    own = int(np.searchsorted(CLASSES, n))
+    reach = n * 5 // 4
+    with np.errstate(over="ignore"):
+        mixed = _mixed(hashes, 1)[:, 0]
+        out = []
+        for c in range(own, own + (2 if reach > CLASSES[own] else 1)):
+            parts = int(SPARE * _unlike(CLASSES[c], CLASSES[c])) + 3
+            part = ((hashes >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)
+            starts = np.flatnonzero(np.diff(part, prepend=np.uint64(parts)))
+            held = np.add.reduceat(mixed, starts) if n else mixed
+            places = part[starts]
+            if parts - len(starts) >= parts - _unlike(n, min(reach, CLASSES[c])):
+                empty = np.setdiff1d(np.arange(parts, dtype=np.uint64), places)
+                held = np.concatenate([held, np.zeros(len(empty), np.uint64)])
+                places = np.concatenate([places, empty])
+            out.append(held + _mixed(places + np.uint64(c << 48), 1)[:, 0])
+        return _mixed(np.concatenate(out), 1)[:, 0]
+
+
+def summary(hashes: np.ndarray) -> np.ndarray:
+    """The HEAD numbers that bound from below how much two sets differ."""
+    part = ((hashes >> np.uint64(32)) * np.uint64(COUNTED)) >> np.uint64(32)
+    counts = np.minimum(np.bincount(part.astype(np.int64), minlength=COUNTED), 255).astype(np.uint8)
+    return np.concatenate([[len(hashes)], counts.view("<i8")])
+
+
+def _possible(a: Column, b: Column) -> Column:
+    """Whether sets of these summaries can be similar: the counts differ by no more than the sets do."""
+
+    @F.pandas_udf("boolean")
+    def possible(left: pd.Series, right: pd.Series) -> pd.Series:
+        if not len(left):
+            return pd.Series([], dtype=bool)
+        x, y = np.stack(left.to_list()).astype("<i8"), np.stack(right.to_list()).astype("<i8")
+        counts = [np.ascontiguousarray(z[:, 1:]).view(np.uint8).astype(np.int16) for z in (x, y)]
+        return pd.Series(np.abs(counts[0] - counts[1]).sum(axis=1, dtype=np.int64) <= (x[:, 0] + y[:, 0]) // 9)
+
+    return possible(a, b)
+
+
+def _search_columns(text: Column) -> Column:
+    """``same``, equal for texts of equal shingle sets only, and ``tables``, a summary and the signatures."""
+
+    @F.pandas_udf("same binary, tables array<long>")
+    def columns(texts: pd.Series) -> pd.DataFrame:
+        sets = [np.unique(shingle_hashes(t, VERIFY_SHINGLE)) for t in texts]
+        return pd.DataFrame({
+            "same": [xxhash.xxh3_128_digest(s.astype("<u8").tobytes()) for s in sets],
+            "tables": [np.concatenate([summary(s), signatures(s).view(np.int64)]) for s in sets],
+        })
+
+    return columns(text)
 
 
 def _shingle_set(text: Column) -> Column:
@@ -225,42 +298,84 @@ def _jaccard(a: Column, b: Column) -> Column:
     return jaccard(a, b)
 
 
-def candidate_pairs(prints: DataFrame) -> DataFrame:
-    """(a, b), distinct row pairs a < b that meet in some table and are not far apart.
+def meetings(prints: DataFrame) -> DataFrame:
+    """(meeting, row): rows that have a signature in common; equal meetings come once."""
+    found = None
+    for i in range(SEARCH_ROUNDS):
+        met = written(
+            prints.select("row", F.explode(F.slice("tables", HEAD + 1, F.size("tables"))).alias("signature"))
+            .filter(F.pmod("signature", F.lit(SEARCH_ROUNDS)) == i)
+            .groupBy("signature").agg(F.collect_set("row").alias("rows"))
+            .filter(F.size("rows") > 1).select(F.sort_array("rows").alias("rows")).distinct(),
+            "met",
+        )
+        found = met if found is None else found.union(met)
+    return written(
+        # numbered before, not after, they are taken apart
+        found.distinct().select(F.monotonically_increasing_id().alias("meeting"), "rows")
+        .select("meeting", F.explode("rows").alias("row")),
+        "meetings",
+    )
+
 
-    ``prints`` has (row, tables), stored. Rows of one short fingerprint are linked
-    to the row of smallest hash there, which differs from table to table; only
-    that row's fingerprint emits its ball.
+def _ordered_pairs(pairs: DataFrame) -> DataFrame:
+    return pairs.filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def star_pairs(met: DataFrame) -> DataFrame:
+    """(a, b): the rows of each meeting with the one that is in most meetings.
+
+    An original meets all its variants, so it is the head of most of their meetings.
     """
-    each = prints.select("row", F.posexplode("tables").alias("part", "value"))
-    first = F.min(F.struct(F.xxhash64("row", "part").alias("order"), F.col("row"))).alias("first")
-    heads = written(
-        each.groupBy("part", "value").agg(first, F.count("*").alias("rows"))
-        .select("part", "value", F.col("first.row").alias("head"), "rows"),
-        "heads",
-    )
-    same = each.join(heads.filter("rows > 1"), ["part", "value"]).select(F.col("head").alias("a"), F.col("row").alias("b"))
-    met = ball_pairs(heads.select("part", "value"), TABLE_BITS, RADIUS, star=False)
-    left = heads.select("part", F.col("value").alias("a"), F.col("head").alias("left"))
-    right = heads.select("part", F.col("value").alias("b"), F.col("head").alias("right"))
-    near = met.join(left, ["part", "a"]).join(right, ["part", "b"]).select(F.col("left").alias("a"), F.col("right").alias("b"))
-    pairs = (
-        same.union(near).filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    )
-    of = lambda end: prints.select(F.col("row").alias(end), F.col("tables").alias(f"{end}_tables"))
-    apart = F.aggregate(
-        F.zip_with("a_tables", "b_tables", lambda x, y: F.bit_count(x.bitwiseXOR(y)).cast("int")), F.lit(0), lambda n, d: n + d
+    often = met.groupBy("row").agg(F.count("*").alias("often"))
+    first = F.max(F.struct("often", F.xxhash64("row").alias("order"), "row")).alias("first")
+    heads = met.join(often, "row").groupBy("meeting").agg(first).select("meeting", F.col("first.row").alias("a"))
+    return _ordered_pairs(met.join(heads, "meeting").select("a", F.col("row").alias("b")))
+
+
+def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        made_a, made_b, size = [], [], 0
+        for members in batch.column(0):
+            root = np.asarray(members.values.field("root"))
+            row = np.asarray(members.values.field("row"))
+            order = np.argsort(root, kind="stable")
+            root, row = root[order], row[order]
+            ends = np.searchsorted(root, root, side="right")
+            for i, end in enumerate(ends):
+                rest = row[end:]
+                if len(rest):
+                    made_a.append(np.full(len(rest), row[i]))
+                    made_b.append(rest)
+                    size += len(rest)
+                if size >= PAIR_BLOCK:
+                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (made_a, made_b)], ["a", "b"])
+                    made_a, made_b, size = [], [], 0
+        if size:
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (made_a, made_b)], ["a", "b"])
+
+
+def cross_pairs(met: DataFrame, linked: DataFrame) -> DataFrame:
+    """(a, b): all rows that meet and that ``linked`` (a, b) leaves in different components."""
+    parts = written(roots(linked).withColumnRenamed("node", "row"), "parts")
+    members = met.join(parts, "row", "left").select("meeting", F.struct(F.coalesce("root", "row").alias("root"), "row").alias("member"))
+    groups = (
+        members.groupBy("meeting").agg(
+            F.collect_list("member").alias("members"), F.min("member.root").alias("low"), F.max("member.root").alias("high")
+        )
+        .filter("low < high").select("members")
     )
-    return pairs.join(of("a"), "a").join(of("b"), "b").filter(apart <= int(FAR_SHARE * TABLES * TABLE_BITS)).select("a", "b")
+    return _ordered_pairs(groups.mapInArrow(_across, "a long, b long"))
 
 
-def near_pairs(table: DataFrame, key: str, prints: DataFrame, text: str = "text") -> DataFrame:
-    """(a, b, similarity): verified pairs of rows.
+def possible_pairs(pairs: DataFrame, summaries: DataFrame) -> DataFrame:
+    """The pairs that may be similar by their summaries, which hold no text."""
+    of = lambda end: summaries.select(F.col("row").alias(end), F.col("summary").alias(f"{end}_summary"))
+    return pairs.join(of("a"), "a").join(of("b"), "b").filter(_possible(F.col("a_summary"), F.col("b_summary"))).select("a", "b")
 
-    ``table`` is keyed by ``key``; ``prints`` has row (a number), name (the key)
-    and tables, stored.
-    """
-    pairs = written(candidate_pairs(prints), "candidates")
+
+def verified(table: DataFrame, key: str, prints: DataFrame, pairs: DataFrame, text: str = "text") -> DataFrame:
+    """(a, b, similarity): the pairs whose texts are similar. ``pairs`` is stored."""
     members = pairs.select(F.col("a").alias("row")).union(pairs.select("b")).distinct()
     bodies = table.select(F.col(key).alias("name"), F.col(quoted(text)).alias("body")).join(
         prints.select("row", "name").join(members, "row"), "name"
@@ -275,13 +390,29 @@ def near_pairs(table: DataFrame, key: str, prints: DataFrame, text: str = "text"
     )
 
 
+def near_pairs(table: DataFrame, key: str, prints: DataFrame, text: str = "text") -> DataFrame:
+    """(a, b, similarity): verified pairs of rows, with the same connected components
+    as all pairs of similar rows.
+
+    ``table`` is keyed by ``key``; ``prints`` has row (a number), name (the key)
+    and tables (a summary and the signatures), stored.
+    """
+    met = meetings(prints)
+    summaries = written(prints.select("row", F.slice("tables", 1, HEAD).alias("summary")), "summaries")
+    stars = written(possible_pairs(star_pairs(met), summaries), "stars")
+    stars = written(verified(table, key, prints, stars, text), "linked")
+    across = written(possible_pairs(cross_pairs(met, stars.select("a", "b")), summaries), "across")
+    return stars.union(verified(table, key, prints, across, text))
+
+
 def table_columns(table: DataFrame, key: str, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """row, name, id, chars, tables: the narrow rows all of the search works on."""
+    """row, name, id, chars, same, tables: the narrow rows all of the search works on."""
     source = F.col(quoted(text))
-    return table.select(
+    found = table.select(
         F.monotonically_increasing_id().alias("row"), F.col(key).alias("name"), F.col(quoted(doc_id)).alias("id"),
-        F.length(F.coalesce(source, F.lit(""))).alias("chars"), _tables_column(source).alias("tables"),
+        F.length(F.coalesce(source, F.lit(""))).alias("chars"), _search_columns(source).alias("found"),
     )
+    return found.select("row", "name", "id", "chars", "found.same", "found.tables")
 
 
 def drop_near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
@@ -293,7 +424,10 @@ def drop_near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc
     """
     table, key = keyed(docs, "near")
     prints = written(table_columns(table, key, text, doc_id), "prints")
-    linked = near_pairs(table, key, prints.select("row", "name", "tables"), text).select("a", "b")
+    heads = prints.groupBy("same").agg(F.min("row").alias("a"), F.count("*").alias("rows")).filter("rows > 1")
+    equal = written(prints.select("same", F.col("row").alias("b")).join(heads, "same").filter("a <> b").select("a", "b"), "equal")
+    searched = prints.join(equal.select(F.col("b").alias("row")), "row", "left_anti").select("row", "name", "tables")
+    linked = near_pairs(table, key, searched, text).select("a", "b").union(equal)
     groups = written(roots(linked).withColumnRenamed("node", "row"), "groups")
     order = F.struct((-F.col("chars")).alias("order"), F.col("id").isNull().alias("no_id"), F.col("id"), F.col("row")).alias("order")
     ranked = written(prints.select("row", "name", order).join(groups, "row"), "ranked")

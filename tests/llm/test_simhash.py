@@ -211,3 +211,84 @@ def test_majority_of_many(monkeypatch):
     hashes = np.random.default_rng(1).integers(0, 1 << 63, 70_001, dtype=np.uint64)
     want = sum(1 << b for b in range(64) if 2 * int(((hashes >> np.uint64(b)) & np.uint64(1)).sum()) > len(hashes))
     assert int(simhash.majority(hashes)[0]) == want
+
+
+# ---- all pairs at 0.8, by brute force ----
+
+def edited(words, share, kind, rng):
+    """A copy with a share of the words changed: scattered, one replaced block, or a tail added."""
+    n = max(1, round(len(words) * share))
+    new = [f"n{rng.randrange(10**9)}" for _ in range(n)]
+    if kind == "appended":
+        return words + new
+    out = list(words)
+    at = rng.randrange(len(words) - n + 1)
+    places = rng.sample(range(len(words)), n) if kind == "scattered" else range(at, at + n)
+    for i, w in zip(places, new):
+        out[i] = w
+    return out
+
+
+def hard():
+    """An original with variants, block edits, tails and scattered edits near 0.8, at many lengths."""
+    rng, texts = random.Random(11), []
+    for n in (3, 5, 8, 12, 20, 33, 60, 100, 180, 400):
+        for kind, low, high in (("scattered", 0.012, 0.03), ("replaced", 0.06, 0.14), ("appended", 0.12, 0.28)):
+            for _ in range(8):
+                base = [f"b{rng.randrange(10**9)}" for _ in range(n)]
+                texts += [base, edited(base, rng.uniform(low, high), kind, rng)]
+    base = [f"b{rng.randrange(10**9)}" for _ in range(400)]
+    texts += [base] + [edited(base, rng.uniform(0.013, 0.02), "scattered", rng) for _ in range(250)]
+    footer = [f"f{i}" for i in range(60)]
+    texts += [[f"u{rng.randrange(10**9)}" for _ in range(60)] + footer for _ in range(60)]
+    pair = ["x", "y"]
+    texts += [pair * 100, pair * 150 + ["x"], ["y"] + pair * 9, pair * 3 + ["z"] + pair * 50]
+    order = list(range(len(texts)))
+    rng.shuffle(order)
+    return [" ".join(texts[i]) for i in order] + ["", None, " "]
+
+
+def similar_pairs(texts):
+    sets = [slow_set(t) for t in texts]
+    where, found = {}, set()
+    for i, s in enumerate(sets):
+        for other in {j for x in s for j in where.get(x, ())} if s else {j for j in range(i) if not sets[j]}:
+            if 5 * len(s & sets[other]) >= 4 * len(s | sets[other]):
+                found.add((other, i))
+        for x in s:
+            where.setdefault(x, []).append(i)
+    return found
+
+
+def test_nothing_similar_is_missed(docs):
+    """The components are those of all pairs at 0.8."""
+    texts = hard()
+    truth = similar_pairs(texts)
+    root = slow_components(list(range(len(texts))), lambda x, y: (y, x) in truth)
+    kept = [root[r.doc_id] for r in simhash.drop_near_duplicates(docs([document(i, t) for i, t in enumerate(texts)])).collect()]
+    assert sorted(kept) == sorted(set(root))
+
+
+def test_similar_sets_have_a_signature_in_common():
+    texts = [t for t in hard() if t]
+    sets = [np.unique(simhash.shingle_hashes(t, 5)) for t in texts]
+    signed_ = [set(simhash.signatures(s).tolist()) for s in sets]
+    pairs = similar_pairs(texts)
+    assert len(pairs) > 300 and all(signed_[a] & signed_[b] for a, b in pairs)
+    rng = np.random.default_rng(5)
+    for n in [*range(1, 60), 200, 999, 5000]:  # as unlike as they may be, by exchange and by growth
+        most = n // 9
+        base = np.unique(rng.integers(0, 1 << 64, n, dtype=np.uint64))
+        swapped = np.unique(np.concatenate([base[: n - most], rng.integers(0, 1 << 64, most, dtype=np.uint64)]))
+        grown = np.unique(np.concatenate([base, rng.integers(0, 1 << 64, n // 4, dtype=np.uint64)]))
+        for other in (swapped, grown):
+            assert set(simhash.signatures(base).tolist()) & set(simhash.signatures(other).tolist())
+
+
+def test_summaries_never_part_similar_sets(spark):
+    texts = [t for t in hard() if t]
+    sets = [simhash.summary(np.unique(simhash.shingle_hashes(t, 5))).tolist() for t in texts]
+    pairs = similar_pairs(texts)
+    frame = spark.createDataFrame([(sets[a], sets[b]) for a, b in pairs], "a array<long>, b array<long>")
+    assert all(r.ok for r in frame.select(simhash._possible(F.col("a"), F.col("b")).alias("ok")).collect())
+    assert len(set(sets[0][1:])) > 1 and sets[0][0] == len(slow_set(texts[0]))
