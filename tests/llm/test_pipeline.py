@@ -3,6 +3,7 @@ import pytest
 import corpus_pipeline
 from postrank.llm import queries
 from tests.llm.conftest import EDGES, SF_DIR, document, needs_tables, same_columns
+from tests.llm.test_simhash import hard, similar_pairs, slow_components
 
 
 def test_stages_in_order():
@@ -42,3 +43,13 @@ def test_query_equals_sql(spark, name):
     columns = [c[0] for c in cursor.description]
     assert sorted(columns) == sorted(ours.columns)
     assert check.rows_of(ours.columns, ours.collect()) == check.rows_of(columns, cursor.fetchall())
+
+
+def test_run_keeps_one_of_each_near_group(spark, docs, tmp_path):
+    """All pairs at 0.8: block edits, tails, scattered edits and an original with many variants."""
+    texts = [t for t in hard() if (t or "").strip()]
+    docs([document(i, t) for i, t in enumerate(texts)]).write.parquet(f"{tmp_path}/documents.parquet")
+    truth = similar_pairs(texts)
+    root = slow_components(list(range(len(texts))), lambda x, y: (y, x) in truth)
+    kept = {r.doc_id for r in corpus_pipeline.run(spark, str(tmp_path)).select("doc_id").distinct().collect()}
+    assert sorted(root[d] for d in kept) == sorted(set(root))
