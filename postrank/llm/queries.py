@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from postrank.llm import (
-    exact_dedup, language, mixing, packing, sharding, simhash, sketch, token_codes, url_rules, warc,
+    bpe, exact_dedup, language, mixing, packing, sharding, simhash, sketch, token_codes, url_rules, warc,
 )
 from postrank.storage import written
 
@@ -98,9 +98,21 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return told.select("doc_id", out.alias("held_out"), F.col(pred).alias("lang_pred"), F.col(score).alias("score"))
 
 
+def op11_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tokenizer = public_tokenizers.path("word_bpe_49k.json")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    coded = docs.select("doc_id", bpe.encode_column(F.col("text"), tokenizer).alias("ids"))
+    told = coded.select("doc_id", "ids", bpe.decode_column(F.col("ids"), tokenizer).alias("decoded"))
+    return told.select(
+        "doc_id", F.call_function("div", F.octet_length("ids"), F.lit(4)).alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
 QUERIES = {f.__name__: f for f in (
     op1_exact_dedup, op2_temperature_mixing, op3_scaled_sketch, op4_token_codes, op5_best_fit_packing,
     op6_url_rules, op7_simhash_dedup, op8_sharding, op9_warc, op10_language_id,
+    op11_bpe,
 )}
 
 ORACLES = {
