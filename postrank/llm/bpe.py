@@ -347,13 +347,14 @@ def _data(array: pa.Array) -> np.ndarray:
     return np.frombuffer(array.buffers()[2], np.uint8)[ends[0] : ends[-1]]
 
 
-def text_blocks(texts: pa.Array) -> Iterator[pa.Array]:
-    """Runs of rows with about BLOCK_BYTES of text each; a longer text is alone."""
+def text_blocks(texts: pa.Array, size: int | None = None) -> Iterator[pa.Array]:
+    """Runs of rows with about ``size`` bytes of text each (BLOCK_BYTES); a longer text is alone."""
+    size = size or BLOCK_BYTES
     ends = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False))
     start = 0
     while start < len(texts):
         base = ends[start - 1] if start else 0
-        stop = max(start + 1, int(np.searchsorted(ends, base + BLOCK_BYTES, side="right")))
+        stop = max(start + 1, int(np.searchsorted(ends, base + size, side="right")))
         yield texts.slice(start, stop - start)
         start = stop
 
