@@ -81,7 +81,8 @@ def longer(prefix: np.ndarray, word: np.ndarray) -> np.ndarray:
         return _mixed((prefix ^ _mixed(word + odd)) * (odd | np.uint64(1)) + word[:, ::-1])
 
 
-def _language(lang: str) -> np.uint64:
+def language(lang: str) -> np.uint64:
+    """What a filter adds to the phrases of a language."""
     return np.uint64(xxhash.xxh64_intdigest(lang.encode("utf-8", "surrogatepass"), 7))
 
 
@@ -137,7 +138,7 @@ class Words:
         number = {n: i for i, n in enumerate(names)}
         self.langs = names
         self.lang = np.array([number[x] for x in langs], np.int64)[text]
-        self.language = np.array([_language(n) for n in names], np.uint64)[self.lang]
+        self.language = np.array([language(n) for n in names], np.uint64)[self.lang]
 
     def digests(self) -> np.ndarray:
         found = b"".join(xxhash.xxh3_128_digest(w) for w in self.dictionary.to_pylist())
@@ -184,11 +185,11 @@ def count_phrases(texts: pa.LargeStringArray, langs: list[str], size: int, frequ
     p, s = digest(at, size - 1), digest(at + 1, size - 1)
     g = longer(p, of[at + size - 1])
     if prefix or suffix or whole:
-        language = words.language[at]
+        spoken = words.language[at]
         wanted = np.zeros(len(at), bool)
         for chosen, what in ((prefix, p), (suffix, s), (whole, g)):
             if chosen:
-                wanted |= chosen.holds(what, language)
+                wanted |= chosen.holds(what, spoken)
         at, p, s, g = at[wanted], p[wanted], s[wanted], g[wanted]
     # Equal phrases of the block by the numbers of their words, one word after another.
     kinds = len(words.dictionary) + 1
@@ -251,8 +252,8 @@ def filter_of(phrases: DataFrame, first: str, second: str) -> Filter:
         for batch in batches:
             digest = np.stack([batch.column(i).to_numpy().view(np.uint64) for i in (1, 2)], axis=1)
             coded = batch.column(0).dictionary_encode()
-            language = np.array([_language(x) for x in coded.dictionary.to_pylist()], np.uint64)[coded.indices.to_numpy()]
-            bit = np.concatenate(list(probes(digest, language, bits)))
+            spoken = np.array([language(x) for x in coded.dictionary.to_pylist()], np.uint64)[coded.indices.to_numpy()]
+            bit = np.concatenate(list(probes(digest, spoken, bits)))
             order = np.argsort(bit)
             word, value = (bit >> np.uint64(6))[order], (np.uint64(1) << (bit & np.uint64(63)))[order]
             starts = np.flatnonzero(np.concatenate([[True], word[1:] != word[:-1]]))
