@@ -248,6 +248,13 @@ CHAIN += [
 ]
 PRELUDE = "WITH " + ",\n".join(part.strip() for part in CHAIN) + "\n"
 
+# All batches together, repeated rows twice.
+BATCHES = """, came AS (
+  SELECT * REPLACE (CASE WHEN doc_id % 17 <> 0 THEN job_id END AS job_id)
+  FROM printed, (VALUES (1), (2)) AS copies(copy)
+  WHERE copy = 1 OR doc_id % 3 < 2 AND doc_id % 5 = 0 AND doc_id % 17 <> 0)
+"""
+
 PAGES = f"""WITH raw AS ({RAW_PAGES_SQL}),
 shaped AS (
   SELECT *, CASE source WHEN 'adzuna' THEN 'results' WHEN 'france_travail' THEN 'resultats'
@@ -429,6 +436,18 @@ SELECT doc_id, source_name, CAST(CASE WHEN source_name IN ('France Travail', 'JS
         FROM by_fingerprint""",
     "dedup_by_url": PRELUDE + """SELECT doc_id, job_id, url, md5(description) AS text FROM normalised
   JOIN cosines USING (vec_id) QUALIFY row_number() OVER (
+    PARTITION BY coalesce(url, job_id)
+    ORDER BY published_at DESC NULLS LAST, source_name NULLS LAST, job_id NULLS LAST, digest, doc_id) = 1""",
+    "merge_by_id": PRELUDE + BATCHES + """SELECT doc_id, job_id, source_name, md5(description) AS text FROM came
+  QUALIFY job_id IS NULL OR row_number() OVER (
+    PARTITION BY job_id, source_name
+    ORDER BY published_at DESC NULLS LAST, url NULLS LAST, digest, doc_id) = 1""",
+    "merge_by_fingerprint": PRELUDE + BATCHES + """SELECT doc_id, title, company_name, md5(description) AS text FROM came
+  QUALIFY row_number() OVER (
+    PARTITION BY fingerprint
+    ORDER BY published_at DESC NULLS LAST, source_name NULLS LAST, job_id NULLS LAST, url NULLS LAST, digest, doc_id) = 1""",
+    "merge_by_url": PRELUDE + BATCHES + """SELECT doc_id, job_id, url, md5(description) AS text FROM came
+  QUALIFY coalesce(url, job_id) IS NULL OR row_number() OVER (
     PARTITION BY coalesce(url, job_id)
     ORDER BY published_at DESC NULLS LAST, source_name NULLS LAST, job_id NULLS LAST, digest, doc_id) = 1""",
     "valid_vectors": """SELECT vec_id FROM (

@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from harness.workload import AS_OF, CONFIG, DIM, div, envelopes, postings, raw_pages, table
 from postrank.functions import features, rules, text
-from postrank.operators import clean, display, quality, ranking, scoring, similarity
-from postrank.operators.dedupe import ROW, dedupe_by_both, dedupe_by_id, dedupe_by_url
+from postrank.operators import clean, display, incremental, quality, ranking, scoring, similarity
+from postrank.operators.dedupe import ROW, dedupe_by_both, dedupe_by_id, dedupe_by_url, digest
 from postrank.plans.runs import ingest, publish_views
 from postrank.sources import bronze, pages, profile, runlog, tables
 from postrank.storage import scratch_dir, written
@@ -68,12 +68,19 @@ def profile_of(spark, sf_dir):
     return similarity.profile_vector(first, "embedding", DIM)
 
 
-STORED_PATHS: dict[tuple[str, str, str], str] = {}
+STORED_PATHS: dict[tuple, str] = {}
+
+
+def given_files(spark, sf_dir):
+    """Names, sizes and times of the files of the given tables: other files, other key."""
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(sf_dir)
+    mark = F.xxhash64("path", "length", F.unix_micros("modificationTime")).cast("decimal(38,0)")
+    return sf_dir, *listed.agg(F.count("*"), F.sum(mark)).first()
 
 
 def stored_path(spark, sf_dir, kind, write):
     """The folder of a table written once per session and table folder, as a run does."""
-    key = (spark.sparkContext.applicationId, sf_dir, kind)
+    key = (spark.sparkContext.applicationId, kind, given_files(spark, sf_dir))
     if key not in STORED_PATHS:
         path = scratch_dir(spark, kind)
         write(path)
@@ -90,9 +97,12 @@ def gold(spark, sf_dir):
     return scoring.build_gold(stored_silver(spark, sf_dir, ROW), CONFIG, profile_of(spark, sf_dir), ROW)
 
 
+def gold_path(spark, sf_dir):
+    return stored_path(spark, sf_dir, "gold", lambda to: tables.write_gold(gold(spark, sf_dir), to))
+
+
 def stored_gold(spark, sf_dir):
-    path = stored_path(spark, sf_dir, "gold", lambda to: tables.write_gold(gold(spark, sf_dir), to))
-    return spark.read.parquet(path)
+    return spark.read.parquet(gold_path(spark, sf_dir))
 
 
 def ranked(spark, sf_dir):
@@ -407,6 +417,39 @@ def dedup_by_url(spark, sf_dir):
     return dedupe_by_url(usable, "doc_id").select("doc_id", "job_id", "url", F.md5("description").alias("text"))
 
 
+def batches(spark, sf_dir):
+    """The postings in three batches: late ones, repeated ones, some without an id or URL."""
+    d = F.col("doc_id")
+    rows = normalised(spark, sf_dir).withColumns({
+        "job_id": F.when(d % 17 != 0, F.col("job_id")), "ingestion_date": text.moment(AS_OF).cast("date"),
+    })
+    again = (d % 5 == 0) & (d % 17 != 0)
+    return [rows.filter(d % 3 == 1), rows.filter((d % 3 == 0) | (d % 3 == 1) & again), rows.filter((d % 3 == 2) | (d % 3 == 0) & again)]
+
+
+def merged(spark, sf_dir, rule):
+    path = scratch_dir(spark, "winners")
+    for batch in batches(spark, sf_dir):
+        incremental.merge_batch(batch, path, rule._replace(ties=(*rule.ties, digest(batch), F.col("doc_id"))), 16)
+    return incremental.read_winners(spark, path)
+
+
+@query
+def merge_by_id(spark, sf_dir):
+    """Batch after batch into the stored winners."""
+    return merged(spark, sf_dir, incremental.by_id()).select("doc_id", "job_id", "source_name", F.md5("description").alias("text"))
+
+
+@query
+def merge_by_fingerprint(spark, sf_dir):
+    return merged(spark, sf_dir, incremental.by_fingerprint()).select("doc_id", "title", "company_name", F.md5("description").alias("text"))
+
+
+@query
+def merge_by_url(spark, sf_dir):
+    return merged(spark, sf_dir, incremental.by_url()).select("doc_id", "job_id", "url", F.md5("description").alias("text"))
+
+
 # ---- similarity ----
 
 def mixed_vectors(spark, sf_dir):
@@ -487,7 +530,9 @@ def ranking_view(spark, sf_dir):
 
 @query
 def top_n(spark, sf_dir):
-    return shown(ranking.top_n(ranked(spark, sf_dir)))
+    """Of the stored Gold only what can be among the best is read."""
+    stored = stored_gold(spark, sf_dir)
+    return shown(ranking.stored_top_n(stored, tables.read_scores(spark, gold_path(spark, sf_dir)), CONFIG))
 
 
 @query

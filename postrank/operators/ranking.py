@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -63,6 +63,27 @@ def top_n(ranked: DataFrame, limit: int = DEFAULT_ROWS) -> DataFrame:
     return ranked.orderBy(*_order("matching_score", "published_at")).limit(limit)
 
 
+def least_score(scores: DataFrame, limit: int) -> float | None:
+    """The highest score that ``limit`` rows or more reach; None if there are not so many.
+
+    ``scores`` has (matching_score, count): scores are whole numbers from 0 to 100, so
+    this is a question to a hundred rows.
+    """
+    best_first = Window.orderBy(F.desc("matching_score")).rowsBetween(Window.unboundedPreceding, 0)
+    reached = scores.dropna().withColumn("reached", F.sum("count").over(best_first))
+    return reached.filter(F.col("reached") >= limit).agg(F.max("matching_score")).first()[0]
+
+
+def stored_top_n(gold: DataFrame, scores: DataFrame, cfg: RankingConfig, limit: int = DEFAULT_ROWS) -> DataFrame:
+    """``top_n`` of a stored Gold: only rows of the scores that can be among the best are read.
+
+    ``scores`` as ``read_scores`` gives it. The least score is pushed down to a table that
+    lies in order of the score, so its other files and row groups are not read.
+    """
+    least = least_score(scores, limit)
+    return top_n(ranking(gold if least is None else gold.filter(F.col("matching_score") >= least), cfg), limit)
+
+
 def with_min_score(ranked: DataFrame, minimum: float = DEFAULT_MIN_SCORE) -> DataFrame:
     return ranked.filter(F.col("matching_score") >= minimum)
 

@@ -43,7 +43,21 @@ def written(table: DataFrame, label: str, compression: str = "zstd") -> DataFram
     # The shuffles behind the table are of no use any more, but their files stay
     # until the driver's JVM collects its garbage, which may be hours.
     spark.sparkContext._jvm.System.gc()
-    return spark.read.schema(table.schema).parquet(path)
+    stored = spark.read.schema(table.schema).parquet(path)
+    stored.stored_at = path
+    return stored
+
+
+def free(*tables: DataFrame) -> None:
+    """Delete tables that ``written`` stored, once everything made of them is stored.
+
+    Other tables are left alone.
+    """
+    for table in tables:
+        at = table.__dict__.pop("stored_at", None)
+        if at:
+            path = table.sparkSession.sparkContext._jvm.org.apache.hadoop.fs.Path(at)
+            path.getFileSystem(table.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def publish(spark: SparkSession, made: str, path: str) -> None:
