@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from postrank.storage import written
+from postrank.storage import free, written
 
 
 def _mark(edges: DataFrame) -> tuple:
@@ -41,7 +41,8 @@ def roots(edges: DataFrame) -> DataFrame:
     )
     mark = _mark(now)
     while mark[0]:
-        now = written(_small_star(_large_star(now)), "edges")
+        old, now = now, written(_small_star(_large_star(now)), "edges")
+        free(old)
         before, mark = mark, _mark(now)
         if mark == before:
             break

@@ -18,7 +18,8 @@ often than those in between), everything at or above the threshold is settled, t
 included. A language with fewer survivors than wanted goes on at a greater depth, down to
 threshold 0, where nothing is left out.
 
-Counting is one pass over the texts: each task names words by 128-bit hashes and phrases
+Pairs are counted by a 64-bit key first, so that only those which may be frequent are
+counted by their full names. Counting is one pass over the texts: each task names words by 128-bit hashes and phrases
 by mixing these, counts its blocks, and one group-by with map-side combining adds up.
 Which phrases to count is told to the tasks by Bloom filters of at most MOST_BITS bits.
 A filter that errs counts a phrase too many, and counts it right, so nothing depends
@@ -41,7 +42,7 @@ from pyspark.sql import functions as F
 
 from postrank.llm.bpe import text_blocks
 from postrank.llm.rows import quoted
-from postrank.storage import written
+from postrank.storage import free, written
 
 LEAST, LONGEST, WANTED = 30, 4, 2000
 SCALE = 2_000_000
@@ -86,23 +87,28 @@ def language(lang: str) -> np.uint64:
     return np.uint64(xxhash.xxh64_intdigest(lang.encode("utf-8", "surrogatepass"), 7))
 
 
-def probes(digest: np.ndarray, language: np.ndarray, bits: int) -> Iterator[np.ndarray]:
-    """Bits of a filter that stand for each phrase of a language."""
+def filter_key(digest: np.ndarray, language: np.ndarray) -> np.ndarray:
+    """The number that stands for each phrase of a language in filters."""
+    return _mixed(digest[:, 0] ^ language)
+
+
+def probes(key: np.ndarray, bits: int) -> Iterator[np.ndarray]:
+    """Bits of a filter that stand for each key."""
     with np.errstate(over="ignore"):
-        first = _mixed(digest[:, 0] ^ language)
+        step = _mixed(key + np.uint64(1)) | np.uint64(1)
         for i in range(PROBES):
-            yield (first + np.uint64(i) * (digest[:, 1] | np.uint64(1))) & np.uint64(bits - 1)
+            yield (key + np.uint64(i) * step) & np.uint64(bits - 1)
 
 
 class Filter:
-    """A Bloom filter of phrases."""
+    """A Bloom filter of keys."""
 
     def __init__(self, words: np.ndarray) -> None:
         self.words = words
 
-    def holds(self, digest: np.ndarray, language: np.ndarray) -> np.ndarray:
-        held = np.ones(len(digest), bool)
-        for bit in probes(digest, language, 64 * len(self.words)):
+    def holds(self, key: np.ndarray) -> np.ndarray:
+        held = np.ones(len(key), bool)
+        for bit in probes(key, 64 * len(self.words)):
             held &= (self.words[bit >> np.uint64(6)] >> (bit & np.uint64(63)) & np.uint64(1)).astype(bool)
         return held
 
@@ -160,49 +166,69 @@ def count_words(texts: pa.LargeStringArray, langs: list[str]) -> pa.RecordBatch:
     ], ["lang", "word", "a"])
 
 
-def count_phrases(texts: pa.LargeStringArray, langs: list[str], size: int, frequent: Filter,
-                  prefix: Filter | None, suffix: Filter | None, whole: Filter | None) -> pa.RecordBatch:
-    """Rows (lang, digest g, that of its prefix p and suffix s of one word less, a) of phrases
-    of ``size`` words that are all frequent. Without filters all count, else those whose
-    prefix, suffix or whole is in the filter for it."""
-    words = Words(texts, langs)
-    of = words.digests()
-    known = frequent.holds(of, words.language)
+def frequent_places(words: Words, of: np.ndarray, size: int, frequent: Filter) -> np.ndarray:
+    """Where phrases of ``size`` words that are all frequent begin."""
+    known = frequent.holds(filter_key(of, words.language))
     n = max(0, len(words.word) - size + 1)
     good = np.ones(n, bool)
     for i in range(size):
         good &= known[i : i + n]
     for i in range(size - 1):
         good &= words.joined[i : i + n]
-    at = np.flatnonzero(good)
+    return np.flatnonzero(good)
 
-    def digest(at: np.ndarray, length: int) -> np.ndarray:
-        made = of[at]
-        for i in range(1, length):
-            made = longer(made, of[at + i])
-        return made
 
-    p, s = digest(at, size - 1), digest(at + 1, size - 1)
-    g = longer(p, of[at + size - 1])
-    if prefix or suffix or whole:
-        spoken = words.language[at]
-        wanted = np.zeros(len(at), bool)
-        for chosen, what in ((prefix, p), (suffix, s), (whole, g)):
-            if chosen:
-                wanted |= chosen.holds(what, spoken)
-        at, p, s, g = at[wanted], p[wanted], s[wanted], g[wanted]
-    # Equal phrases of the block by the numbers of their words, one word after another.
+def _digests(of: np.ndarray, at: np.ndarray, length: int) -> np.ndarray:
+    made = of[at]
+    for i in range(1, length):
+        made = longer(made, of[at + i])
+    return made
+
+
+def _kinds(words: Words, at: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """(where each different phrase of a block is found, how often), by the numbers of its words."""
     kinds = len(words.dictionary) + 1
     key = words.lang[at]
     for i in range(size):
         key = key * kinds + words.word[at + i]
-        if i:
+        if 0 < i < size - 1:
             key = np.unique(key, return_inverse=True)[1]
     _, first, count = np.unique(key, return_index=True, return_counts=True)
+    return at[first], count.astype(np.int64)
+
+
+def count_pair_keys(texts: pa.LargeStringArray, langs: list[str], frequent: Filter) -> pa.RecordBatch:
+    """Rows (key, a) of pairs: all there is to say which may be frequent."""
+    words = Words(texts, langs)
+    of = words.digests()
+    at, count = _kinds(words, frequent_places(words, of, 2, frequent), 2)
+    key = filter_key(_digests(of, at, 2), words.language[at])
+    return pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(count)], ["key", "a"])
+
+
+def count_phrases(texts: pa.LargeStringArray, langs: list[str], size: int, frequent: Filter,
+                  prefix: Filter | None, suffix: Filter | None, whole: Filter | None) -> pa.RecordBatch:
+    """Rows (lang, digest g, that of its prefix p and suffix s of one word less, a) of phrases
+    of ``size`` frequent words whose prefix, suffix or whole is in the filter for it."""
+    words = Words(texts, langs)
+    of = words.digests()
+    at = frequent_places(words, of, size, frequent)
+    p = _digests(of, at, size - 1)
+    wanted = np.zeros(len(at), bool)
+    spoken = words.language[at]
+    if prefix:
+        wanted |= prefix.holds(filter_key(p, spoken))
+    if suffix:
+        wanted |= suffix.holds(filter_key(_digests(of, at + 1, size - 1), spoken))
+    if whole:
+        wanted |= whole.holds(filter_key(longer(p, of[at + size - 1]), spoken))
+    at, count = _kinds(words, at[wanted], size)
+    p, s = _digests(of, at, size - 1), _digests(of, at + 1, size - 1)
+    g = longer(p, of[at + size - 1])
     names = pa.array(words.langs, pa.string())
-    lang = names.take(pa.array(words.lang[at[first]])) if len(first) else pa.array([], pa.string())
-    columns = [x[first, i].view(np.int64) for x in (g, p, s) for i in (0, 1)]
-    return pa.RecordBatch.from_arrays([lang, *map(pa.array, columns), pa.array(count.astype(np.int64))], ["lang", *DIGESTS, "a"])
+    lang = names.take(pa.array(words.lang[at])) if len(at) else pa.array([], pa.string())
+    columns = [x[:, i].copy().view(np.int64) for x in (g, p, s) for i in (0, 1)]
+    return pa.RecordBatch.from_arrays([lang, *map(pa.array, columns), pa.array(count)], ["lang", *DIGESTS, "a"])
 
 
 # ---- on Spark ----
@@ -241,19 +267,24 @@ def word_counts(docs: DataFrame) -> DataFrame:
     ).select("lang", "word", "a", "d.w1", "d.w2")
 
 
-def filter_of(phrases: DataFrame, first: str, second: str) -> Filter:
-    """A filter of the phrases of languages. What the driver gets is its words that are not zero."""
-    count = phrases.count()
+def filter_of(found: DataFrame) -> Filter:
+    """A filter of rows (lang, digest, digest), or of keys. What the driver gets is the
+    filter's words that are not zero."""
+    count = found.count()
     bits = LEAST_BITS
     while bits < min(MOST_BITS, ENTRY_BITS * count):
         bits *= 2
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            digest = np.stack([batch.column(i).to_numpy().view(np.uint64) for i in (1, 2)], axis=1)
-            coded = batch.column(0).dictionary_encode()
-            spoken = np.array([language(x) for x in coded.dictionary.to_pylist()], np.uint64)[coded.indices.to_numpy()]
-            bit = np.concatenate(list(probes(digest, spoken, bits)))
+            if batch.num_columns == 1:
+                key = batch.column(0).to_numpy().view(np.uint64)
+            else:
+                digest = np.stack([batch.column(i).to_numpy().view(np.uint64) for i in (1, 2)], axis=1)
+                coded = batch.column(0).dictionary_encode()
+                spoken = np.array([language(x) for x in coded.dictionary.to_pylist()], np.uint64)
+                key = filter_key(digest, spoken[coded.indices.to_numpy()])
+            bit = np.concatenate(list(probes(key, bits)))
             order = np.argsort(bit)
             word, value = (bit >> np.uint64(6))[order], (np.uint64(1) << (bit & np.uint64(63)))[order]
             starts = np.flatnonzero(np.concatenate([[True], word[1:] != word[:-1]]))
@@ -263,12 +294,25 @@ def filter_of(phrases: DataFrame, first: str, second: str) -> Filter:
 
     words = np.zeros(bits // 64, np.uint64)
     if count:
-        placed = phrases.select("lang", first, second).mapInArrow(place, "word long, bits long")
-        found = placed.groupBy("word").agg(F.bit_or("bits").alias("bits")).toArrow()
-        words[found.column("word").to_numpy()] = found.column("bits").to_numpy().view(np.uint64)
+        placed = found.mapInArrow(place, "word long, bits long")
+        bits_ = placed.groupBy("word").agg(F.bit_or("bits").alias("bits")).toArrow()
+        words[bits_.column("word").to_numpy()] = bits_.column("bits").to_numpy().view(np.uint64)
     return Filter(words)
 
 
+def pair_filter(docs: DataFrame, frequent: Filter) -> Filter:
+    """The pairs that may occur LEAST times or more, by counts of their keys alone.
+
+    Most different pairs of a corpus are rare; here they cost one number each.
+    """
+    told = docs.sparkSession.sparkContext.broadcast(frequent)
+    keys = _counted(docs, lambda texts, langs: count_pair_keys(texts, langs, told.value), "key long, a long")
+    found = written(keys.groupBy("key").agg(F.sum("a").alias("a")).filter(F.col("a") >= LEAST).select("key"), "keys")
+    chosen = filter_of(found)
+    free(found)
+    return chosen
+
+
 def phrase_counts(docs: DataFrame, size: int, frequent: Filter, prefix: Filter | None = None,
                   suffix: Filter | None = None, whole: Filter | None = None) -> DataFrame:
     """Phrases of ``size`` words that occur LEAST times or more, out of those asked for."""
@@ -379,8 +423,10 @@ def mine_phrases(docs: DataFrame, text: str = "text", lang: str = "lang", limit:
     counts = written(word_counts(rows), "words")
     totals = counts.filter("word is null").select("lang", F.col("a").alias("n"))
     words = counts.filter("word is not null")
-    frequent = filter_of(words, "w1", "w2")
-    pairs = written(scored_pairs(phrase_counts(rows, 2, frequent), words), "pairs")
+    frequent = filter_of(words.select("lang", "w1", "w2"))
+    counted = phrase_counts(rows, 2, frequent, whole=pair_filter(rows, frequent))
+    pairs = written(scored_pairs(counted, words), "pairs")
+    chosen = lambda table: filter_of(table.select("lang", "g1", "g2"))
     open_, depth, found = pairs.select("lang").distinct(), max(limit, 1) * FIRST_DEPTH // WANTED, None
     while True:
         wanted = pairs.join(open_, "lang", "left_semi")
@@ -388,11 +434,11 @@ def mine_phrases(docs: DataFrame, text: str = "text", lang: str = "lang", limit:
         reach = lambda table: table.join(least, "lang").filter("best.score >= least").drop("least")
         grow = lambda table: table.join(least, "lang").filter("bound >= least")
         around = written(
-            phrase_counts(rows, 3, frequent, filter_of(grow(wanted), "g1", "g2"), filter_of(reach(wanted), "g1", "g2")), "triples"
+            phrase_counts(rows, 3, frequent, chosen(grow(wanted)), chosen(reach(wanted))), "triples"
         )
         triples = written(scored_triples(around, pairs), "scored")
         beyond = written(
-            phrase_counts(rows, 4, frequent, filter_of(grow(triples), "g1", "g2"), filter_of(reach(triples), "g1", "g2")), "fours"
+            phrase_counts(rows, 4, frequent, chosen(grow(triples)), chosen(reach(triples))), "fours"
         )
         # The last three words of a phrase of four may not have been asked for.
         grown = grow(triples).select("lang", F.col("g1").alias("p1"), F.col("g2").alias("p2"))
@@ -402,7 +448,7 @@ def mine_phrases(docs: DataFrame, text: str = "text", lang: str = "lang", limit:
             .join(triples, ["lang", "g1", "g2"], "left_anti"), "missing",
         )
         if not missing.isEmpty():
-            more = phrase_counts(rows, 3, frequent, whole=filter_of(missing, "g1", "g2")).join(missing, ["lang", "g1", "g2"], "left_semi")
+            more = phrase_counts(rows, 3, frequent, whole=chosen(missing)).join(missing, ["lang", "g1", "g2"], "left_semi")
             triples = triples.unionByName(written(scored_triples(more, pairs), "scored"))
         fours = scored_fours(beyond, triples)
         columns = ["lang", "g1", "g2", "phrase", "a", "best"]

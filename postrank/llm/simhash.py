@@ -14,53 +14,44 @@ and copies cost nothing. With an even radius all that meet at a point are within
 the radius of each other, so a star to the smallest keeps every component.
 
 ``drop_near_duplicates`` finds texts whose sets of five-word shingles have a
-Jaccard similarity of 0.8 or more, and misses none. Such sets of sizes x and y
-differ in at most (x + y) / 9 shingles. The range of the hashes is cut into more
-parts than that, so some part holds the same in both; what each part holds is
-shuffled as one signature (``signatures``), and sets that meet in one are
-candidates. Sets that meet are linked to one head first; after that only those
-of different components are paired, and every pair is verified.
+Jaccard similarity of 0.8 or more. At 0.8 the fingerprints of two sets differ in 15 % of
+their bits, whatever was edited: scattered words, one block, or a tail. So each set
+gets TABLES independent fingerprints of TABLE_BITS bits, of which some are within
+RADIUS bits with probability 0.95 at 0.8, 0.99 at 0.85 and more above. What meets at a
+point of a table's ball is linked to one head, the row that meets most others, after a
+test on all bits and a comparison of the shingle sets themselves; rows that are not
+linked to it go round again with another head, until none is left. No meeting is
+capped, and none is paired out: each round makes as many pairs as it has rows.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from functools import reduce
 from itertools import combinations
 
 import numpy as np
 import pandas as pd
-import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from postrank.llm.components import roots
+from postrank.llm.phrases import filter_of
 from postrank.llm.rows import keyed, only, quoted
-from postrank.storage import written
+from postrank.storage import free, written
 
 SEED = 42
 SHINGLE, BITS, RADIUS = 3, 64, 2
-#: Short fingerprints of texts: features, bits, how many of them.
-PAIR, TABLE_BITS, TABLES = 2, 32, 8
+#: Fingerprints of a set of shingles: bits, how many, and how many are searched at once,
+#: which bounds the disk.
+TABLE_BITS, TABLES, TABLES_AT_ONCE = 32, 24, 6
 #: Bits for the table and for the mask in a packed point.
 PART_BITS, MASK_BITS = 8, 6
 #: For texts: what decides.
 VERIFY_SHINGLE, SIMILARITY = 5, 0.8
-#: Upper bounds of the classes of set sizes that are searched together. A set and
-#: one of 5/4 its size are in one class or in neighbours.
-CLASSES = [4]
-while CLASSES[-1] < 1 << 40:
-    CLASSES.append(CLASSES[-1] * 3 // 2)
-#: Parts there are for each shingle that may differ. More leave room for parts that hold nothing.
-SPARE = 1.06
-#: The signatures are shuffled in so many rounds, which bounds the disk.
-SEARCH_ROUNDS = 4
-#: What is known of a set before its signatures: its size, and how many hashes each part
-#: of the range has, as bytes (at most 255) packed into long numbers.
-COUNTED = 128
-HEAD = 1 + COUNTED // 8
-#: Pairs made at once inside a task.
-PAIR_BLOCK = 1 << 16
+#: Of all bits, pairs that differ in more are not compared: at similarity 0.8 some 116 of 768
+#: differ, and 168 are five standard deviations more.
+FAR = 168
 
 
 def shingle_hashes(text: str | None, width: int, seed: int = SEED) -> np.ndarray:
@@ -114,18 +105,13 @@ def ball_masks(bits: int, half: int) -> list[int]:
     return [m - (1 << 64) if m >= 1 << 63 else m for m in masks]
 
 
-def ball_pairs(points: DataFrame, bits: int = BITS, radius: int = RADIUS, star: bool | None = None) -> DataFrame:
-    """(a, b), a < b as signed numbers: distinct ``value`` of ``points`` in one ``part``
-    that differ in 1 to ``radius`` bits.
+def ball_groups(points: DataFrame, bits: int = BITS, radius: int = RADIUS) -> DataFrame:
+    """(part, values): what meets at a point, two values or more, in ascending order.
 
-    ``points`` has (part, value), without repeats; part is from 0 to 255. ``star`` (default: if the
-    radius is even) gives only the pairs with the smallest value at each point,
-    which have the same connected components.
+    ``points`` has (part, value), without repeats; part is from 0 to 255. At most a ball
+    of half the radius meets at a point.
     """
     half = (radius + 1) // 2
-    star = radius % 2 == 0 if star is None else star
-    if star and radius % 2:
-        raise ValueError("a star keeps all components for an even radius only")
     # Many rows come of each point, so the points are spread by number, not by size.
     # What is shuffled is the point and which mask led to it, packed when they fit.
     masks = ball_masks(bits, half)
@@ -139,7 +125,7 @@ def ball_pairs(points: DataFrame, bits: int = BITS, radius: int = RADIUS, star:
         )
         key, led = F.shiftright("packed", MASK_BITS), F.col("packed").bitwiseAND(F.lit((1 << MASK_BITS) - 1)).cast("int")
         point = F.col("key").bitwiseAND(F.lit((1 << bits) - 1))
-        met = (
+        return (
             emitted.repartition(tasks, key).select(key.alias("key"), led.alias("i"))
             .groupBy("key").agg(F.collect_list("i").alias("i"))  # at most one ball
             .filter(F.size("i") > 1)
@@ -148,14 +134,28 @@ def ball_pairs(points: DataFrame, bits: int = BITS, radius: int = RADIUS, star:
                 F.sort_array(F.transform("i", lambda i: point.bitwiseXOR(F.get(known, i)))).alias("values"),
             )
         )
-    else:
-        met = (
-            spread.select("part", "value", F.explode(known).alias("mask"))
-            .select("part", F.col("value").bitwiseXOR(F.col("mask")).alias("point"), "value")
-            .repartition(tasks, "point")
-            .groupBy("part", "point").agg(F.sort_array(F.collect_list("value")).alias("values"))
-            .filter(F.size("values") > 1)
-        )
+    return (
+        spread.select("part", "value", F.explode(known).alias("mask"))
+        .select("part", F.col("value").bitwiseXOR(F.col("mask")).alias("point"), "value")
+        .repartition(tasks, "point")
+        .groupBy("part", "point").agg(F.sort_array(F.collect_list("value")).alias("values"))
+        .filter(F.size("values") > 1)
+        .select("part", "values")
+    )
+
+
+def ball_pairs(points: DataFrame, bits: int = BITS, radius: int = RADIUS, star: bool | None = None) -> DataFrame:
+    """(a, b), a < b as signed numbers: distinct ``value`` of ``points`` in one ``part``
+    that differ in 1 to ``radius`` bits.
+
+    ``points`` as for ``ball_groups``. ``star`` (default: if the
+    radius is even) gives only the pairs with the smallest value at each point,
+    which have the same connected components.
+    """
+    star = radius % 2 == 0 if star is None else star
+    if star and radius % 2:
+        raise ValueError("a star keeps all components for an even radius only")
+    met = ball_groups(points, bits, radius)
     if star:
         pairs = met.select(
             "part", F.col("values")[0].alias("a"), F.explode(F.slice("values", 2, F.size("values"))).alias("b")
@@ -198,79 +198,33 @@ def _mixed(hashes: np.ndarray, count: int) -> np.ndarray:
         return x ^ (x >> np.uint64(31))
 
 
-def table_prints(text: str | None) -> list[int]:
-    """The independent short fingerprints of a text, over its set of word pairs."""
-    pairs = np.unique(shingle_hashes(text, PAIR))
-    words = majority(_mixed(pairs, -(-TABLES * TABLE_BITS // 64))).astype("<u8")
-    bits = np.unpackbits(words.view(np.uint8), bitorder="little")[: TABLES * TABLE_BITS].reshape(TABLES, TABLE_BITS)
-    return (bits.astype(np.int64) << np.arange(TABLE_BITS)).sum(axis=1).tolist()
-
+def table_prints(hashes: np.ndarray) -> np.ndarray:
+    """The TABLES fingerprints of a set of shingle hashes, as numbers.
 
-def _unlike(x: int, y: int) -> int:
-    """Shingles that sets of x and y differ in at most, if they are similar."""
-    return (x + y) // 9
-
-
-def signatures(hashes: np.ndarray) -> np.ndarray:
-    """What two similar sets have in common at least once; ``hashes`` is sorted, without repeats.
-
-    A set meets its own size class, and the next one if 5/4 of its size reach it. In a
-    class of sets of up to M the hash range has k parts, more than may differ. A part
-    gives a signature of its place and contents. An empty part gives one only
-    in a set so sparse that all it must have in common might be empty parts; then the
-    similar set is as sparse and gives them too.
+    Ones are counted eight bits a word, for at most 255 rows before they are spread out.
     """
-    n = len(hashes)
-    own = int(np.searchsorted(CLASSES, n))
-    reach = n * 5 // 4
-    with np.errstate(over="ignore"):
-        mixed = _mixed(hashes, 1)[:, 0]
-        out = []
-        for c in range(own, own + (2 if reach > CLASSES[own] else 1)):
-            parts = int(SPARE * _unlike(CLASSES[c], CLASSES[c])) + 3
-            part = ((hashes >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)
-            starts = np.flatnonzero(np.diff(part, prepend=np.uint64(parts)))
-            held = np.add.reduceat(mixed, starts) if n else mixed
-            places = part[starts]
-            if parts - len(starts) >= parts - _unlike(n, min(reach, CLASSES[c])):
-                empty = np.setdiff1d(np.arange(parts, dtype=np.uint64), places)
-                held = np.concatenate([held, np.zeros(len(empty), np.uint64)])
-                places = np.concatenate([places, empty])
-            out.append(held + _mixed(places + np.uint64(c << 48), 1)[:, 0])
-        return _mixed(np.concatenate(out), 1)[:, 0]
-
-
-def summary(hashes: np.ndarray) -> np.ndarray:
-    """The HEAD numbers that bound from below how much two sets differ."""
-    part = ((hashes >> np.uint64(32)) * np.uint64(COUNTED)) >> np.uint64(32)
-    counts = np.minimum(np.bincount(part.astype(np.int64), minlength=COUNTED), 255).astype(np.uint8)
-    return np.concatenate([[len(hashes)], counts.view("<i8")])
-
-
-def _possible(a: Column, b: Column) -> Column:
-    """Whether sets of these summaries can be similar: the counts differ by no more than the sets do."""
-
-    @F.pandas_udf("boolean")
-    def possible(left: pd.Series, right: pd.Series) -> pd.Series:
-        if not len(left):
-            return pd.Series([], dtype=bool)
-        x, y = np.stack(left.to_list()).astype("<i8"), np.stack(right.to_list()).astype("<i8")
-        counts = [np.ascontiguousarray(z[:, 1:]).view(np.uint8).astype(np.int16) for z in (x, y)]
-        return pd.Series(np.abs(counts[0] - counts[1]).sum(axis=1, dtype=np.int64) <= (x[:, 0] + y[:, 0]) // 9)
-
-    return possible(a, b)
+    lanes = -(-TABLES * TABLE_BITS // 64)
+    ones = np.zeros(lanes * 64, np.int64)
+    for at in range(0, len(hashes), 255 * 16):  # bounds the unpacked bits of a very long text
+        block = _mixed(hashes[at : at + 255 * 16], lanes).astype("<u8")
+        bits = np.unpackbits(block.view(np.uint8), axis=1, bitorder="little").view(np.uint64)
+        for i in range(0, len(bits), 255):
+            ones += np.add.reduce(bits[i : i + 255], axis=0).view(np.uint8)
+    majority_ = (ones * 2 > len(hashes))[: TABLES * TABLE_BITS].reshape(TABLES, TABLE_BITS)
+    return (majority_.astype(np.int64) << np.arange(TABLE_BITS)).sum(axis=1)
 
 
 def _search_columns(text: Column) -> Column:
-    """``same``, equal for texts of equal shingle sets only, and ``tables``, a summary and the signatures."""
+    """``same``, equal for texts of equal shingle sets only, and ``values``, the fingerprints."""
 
-    @F.pandas_udf("same binary, tables array<long>")
+    @F.pandas_udf("same binary, values array<long>")
     def columns(texts: pd.Series) -> pd.DataFrame:
-        sets = [np.unique(shingle_hashes(t, VERIFY_SHINGLE)) for t in texts]
-        return pd.DataFrame({
-            "same": [xxhash.xxh3_128_digest(s.astype("<u8").tobytes()) for s in sets],
-            "tables": [np.concatenate([summary(s), signatures(s).view(np.int64)]) for s in sets],
-        })
+        same, values = [], []
+        for text in texts:
+            found = np.unique(shingle_hashes(text, VERIFY_SHINGLE))
+            same.append(xxhash.xxh3_128_digest(found.astype("<u8").tobytes()))
+            values.append(table_prints(found))
+        return pd.DataFrame({"same": same, "values": values})
 
     return columns(text)
 
@@ -298,89 +252,93 @@ def _jaccard(a: Column, b: Column) -> Column:
     return jaccard(a, b)
 
 
+def _distance(a: Column, b: Column) -> Column:
+    """Bits in which two lists of fingerprints differ."""
+    apart = F.zip_with(a, b, lambda x, y: F.bit_count(x.bitwiseXOR(y)))
+    return F.aggregate(apart, F.lit(0), lambda n, x: n + x)
+
+
+def _place(part: Column | str, value: Column | str) -> Column:
+    """A table and a value in it, as one number."""
+    return F.shiftleft(F.col(part).cast("long") if isinstance(part, str) else part, TABLE_BITS).bitwiseOR(F.col(value))
+
+
+def places(prints: DataFrame, first: int = 0, count: int | None = None) -> DataFrame:
+    """(place, row) of the fingerprints of some tables."""
+    values = F.slice("values", first + 1, TABLES if count is None else count)
+    return prints.select("row", F.posexplode(values).alias("i", "value")).select(
+        _place(F.col("i").cast("long") + first, "value").alias("place"), "row"
+    )
+
+
 def meetings(prints: DataFrame) -> DataFrame:
-    """(meeting, row): rows that have a signature in common; equal meetings come once."""
-    found = None
-    for i in range(SEARCH_ROUNDS):
-        met = written(
-            prints.select("row", F.explode(F.slice("tables", HEAD + 1, F.size("tables"))).alias("signature"))
-            .filter(F.pmod("signature", F.lit(SEARCH_ROUNDS)) == i)
-            .groupBy("signature").agg(F.collect_set("row").alias("rows"))
-            .filter(F.size("rows") > 1).select(F.sort_array("rows").alias("rows")).distinct(),
-            "met",
+    """(meeting, row): rows whose fingerprints in a table are equal or meet at a point.
+
+    Fingerprints meet as different values, of which a point has at most one ball,
+    whatever the data; how many rows have a value plays no part until here.
+    """
+    parts = []
+    for first in range(0, TABLES, TABLES_AT_ONCE):
+        part = F.shiftright("place", TABLE_BITS).cast("int").alias("part")
+        value = F.col("place").bitwiseAND(F.lit((1 << TABLE_BITS) - 1)).alias("value")
+        held = places(prints, first, min(TABLES_AT_ONCE, TABLES - first))
+        values = written(held.groupBy("place").agg(F.count("*").alias("rows")).select(part, value, "rows"), "values")
+        alone = values.filter("rows > 1").select(F.array(_place("part", "value")).alias("places"))
+        met = ball_groups(values.select("part", "value"), TABLE_BITS, RADIUS).select(
+            F.transform("values", lambda v: F.shiftleft(F.col("part").cast("long"), TABLE_BITS).bitwiseOR(v)).alias("places")
         )
-        found = met if found is None else found.union(met)
-    return written(
-        # numbered before, not after, they are taken apart
-        found.distinct().select(F.monotonically_increasing_id().alias("meeting"), "rows")
-        .select("meeting", F.explode("rows").alias("row")),
-        "meetings",
-    )
+        parts.append(written(met.union(alone).distinct(), "met"))
+        free(values)
+    found = reduce(DataFrame.union, parts)
+    numbered = written(found.select(F.monotonically_increasing_id().alias("meeting"), "places"), "numbered")
+    free(*parts)
+    members = numbered.select("meeting", F.explode("places").alias("place"))
+    rows = places(prints).join(members.select("place").distinct(), "place", "left_semi")
+    met = written(members.join(rows, "place").select("meeting", "row"), "meetings")
+    free(numbered)
+    return met
+
+
+def in_order(met: DataFrame) -> DataFrame:
+    """(meeting, row, order): the row that meets most has the highest order.
+
+    An original meets all its variants, so it is the head wherever it is.
+    """
+    sizes = met.groupBy("meeting").agg(F.count("*").alias("size"))
+    often = met.join(sizes, "meeting").groupBy("row").agg(F.sum("size").alias("often"))
+    order = F.shiftleft(F.least("often", F.lit((1 << 42) - 1)), 20).bitwiseOR(F.pmod(F.xxhash64("row"), F.lit(1 << 20)))
+    return met.join(often.select("row", order.alias("order")), "row")
 
 
 def _ordered_pairs(pairs: DataFrame) -> DataFrame:
     return pairs.filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
-def star_pairs(met: DataFrame) -> DataFrame:
-    """(a, b): the rows of each meeting with the one that is in most meetings.
+def likely_pairs(pairs: DataFrame, prints: DataFrame) -> DataFrame:
+    """The pairs whose fingerprints leave open that they are similar."""
+    of = lambda end: prints.select(F.col("row").alias(end), F.col("values").alias(f"{end}_values"))
+    return pairs.join(of("a"), "a").join(of("b"), "b").filter(_distance(F.col("a_values"), F.col("b_values")) <= FAR).select("a", "b")
 
-    An original meets all its variants, so it is the head of most of their meetings.
+
+def shingle_sets(table: DataFrame, key: str, prints: DataFrame, members: DataFrame, text: str = "text") -> DataFrame:
+    """(row, body): the sets of the rows of ``members``.
+
+    A Bloom filter of bounded size keeps most other texts from being shuffled at all.
     """
-    often = met.groupBy("row").agg(F.count("*").alias("often"))
-    first = F.max(F.struct("often", F.xxhash64("row").alias("order"), "row")).alias("first")
-    heads = met.join(often, "row").groupBy("meeting").agg(first).select("meeting", F.col("first.row").alias("a"))
-    return _ordered_pairs(met.join(heads, "meeting").select("a", F.col("row").alias("b")))
-
-
-def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        made_a, made_b, size = [], [], 0
-        for members in batch.column(0):
-            root = np.asarray(members.values.field("root"))
-            row = np.asarray(members.values.field("row"))
-            order = np.argsort(root, kind="stable")
-            root, row = root[order], row[order]
-            ends = np.searchsorted(root, root, side="right")
-            for i, end in enumerate(ends):
-                rest = row[end:]
-                if len(rest):
-                    made_a.append(np.full(len(rest), row[i]))
-                    made_b.append(rest)
-                    size += len(rest)
-                if size >= PAIR_BLOCK:
-                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (made_a, made_b)], ["a", "b"])
-                    made_a, made_b, size = [], [], 0
-        if size:
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (made_a, made_b)], ["a", "b"])
-
-
-def cross_pairs(met: DataFrame, linked: DataFrame) -> DataFrame:
-    """(a, b): all rows that meet and that ``linked`` (a, b) leaves in different components."""
-    parts = written(roots(linked).withColumnRenamed("node", "row"), "parts")
-    members = met.join(parts, "row", "left").select("meeting", F.struct(F.coalesce("root", "row").alias("root"), "row").alias("member"))
-    groups = (
-        members.groupBy("meeting").agg(
-            F.collect_list("member").alias("members"), F.min("member.root").alias("low"), F.max("member.root").alias("high")
-        )
-        .filter("low < high").select("members")
-    )
-    return _ordered_pairs(groups.mapInArrow(_across, "a long, b long"))
+    names = written(prints.select("row", "name").join(members, "row"), "names")
+    told = table.sparkSession.sparkContext.broadcast(filter_of(names.select(F.xxhash64("name"))))
 
+    @F.pandas_udf("boolean")
+    def wanted(keys: pd.Series) -> pd.Series:
+        return pd.Series(told.value.holds(keys.to_numpy().view(np.uint64)))
 
-def possible_pairs(pairs: DataFrame, summaries: DataFrame) -> DataFrame:
-    """The pairs that may be similar by their summaries, which hold no text."""
-    of = lambda end: summaries.select(F.col("row").alias(end), F.col("summary").alias(f"{end}_summary"))
-    return pairs.join(of("a"), "a").join(of("b"), "b").filter(_possible(F.col("a_summary"), F.col("b_summary"))).select("a", "b")
+    near = table.select(F.col(quoted(key)).alias("name"), F.col(quoted(text)).alias("body"))
+    near = near.filter(wanted(F.xxhash64("name")))
+    return written(near.join(names, "name").select("row", _shingle_set(F.col("body")).alias("body")), "sets")
 
 
-def verified(table: DataFrame, key: str, prints: DataFrame, pairs: DataFrame, text: str = "text") -> DataFrame:
-    """(a, b, similarity): the pairs whose texts are similar. ``pairs`` is stored."""
-    members = pairs.select(F.col("a").alias("row")).union(pairs.select("b")).distinct()
-    bodies = table.select(F.col(key).alias("name"), F.col(quoted(text)).alias("body")).join(
-        prints.select("row", "name").join(members, "row"), "name"
-    )
-    sets = written(bodies.select("row", _shingle_set(F.col("body")).alias("body")), "sets")
+def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """(a, b, similarity): the pairs whose sets are similar."""
     left = sets.select(F.col("row").alias("a"), F.col("body").alias("a_set"))
     right = sets.select(F.col("row").alias("b"), F.col("body").alias("b_set"))
     return (
@@ -391,28 +349,60 @@ def verified(table: DataFrame, key: str, prints: DataFrame, pairs: DataFrame, te
 
 
 def near_pairs(table: DataFrame, key: str, prints: DataFrame, text: str = "text") -> DataFrame:
-    """(a, b, similarity): verified pairs of rows, with the same connected components
-    as all pairs of similar rows.
+    """(a, b, similarity): verified pairs of rows that join all similar rows which meet.
 
     ``table`` is keyed by ``key``; ``prints`` has row (a number), name (the key)
-    and tables (a summary and the signatures), stored.
+    and values (the fingerprints), stored.
     """
     met = meetings(prints)
-    summaries = written(prints.select("row", F.slice("tables", 1, HEAD).alias("summary")), "summaries")
-    stars = written(possible_pairs(star_pairs(met), summaries), "stars")
-    stars = written(verified(table, key, prints, stars, text), "linked")
-    across = written(possible_pairs(cross_pairs(met, stars.select("a", "b")), summaries), "across")
-    return stars.union(verified(table, key, prints, across, text))
+    active = written(in_order(met), "active")
+    free(met)
+    found = sets = parts = None
+    while True:
+        heads = active.groupBy("meeting").agg(F.max_by("row", "order").alias("head"), F.count("*").alias("size")).filter("size > 1")
+        headed = written(active.join(heads.select("meeting", "head"), "meeting"), "headed")
+        free(active)
+        pairs = _ordered_pairs(headed.select(F.col("head").alias("a"), F.col("row").alias("b")))
+        if parts is not None:
+            pairs = apart(pairs, parts)
+        likely = written(likely_pairs(pairs, prints), "likely")
+        if not likely.isEmpty():
+            members = likely.select(F.col("a").alias("row")).union(likely.select("b")).distinct()
+            if sets is not None:
+                members = members.join(sets, "row", "left_anti")
+            more = shingle_sets(table, key, prints, members, text)
+            sets = more if sets is None else sets.union(more)
+            linked = written(verified(likely, sets), "linked")
+            found = linked if found is None else found.union(linked)
+            parts = written(roots(found.select("a", "b")).withColumnRenamed("node", "row"), "parts")
+        elif found is None:
+            found = table.sparkSession.createDataFrame([], "a long, b long, similarity double")
+        rest = headed.filter("row <> head").select("meeting", "row", "order", "head")
+        if parts is not None:
+            rest = apart(rest.select("meeting", "order", F.col("row").alias("a"), F.col("head").alias("b")), parts)
+            rest = rest.withColumnRenamed("a", "row")
+        active = written(rest.select("meeting", "row", "order"), "active")
+        free(headed, likely)
+        if active.isEmpty():
+            free(active)
+            return found
+
+
+def apart(pairs: DataFrame, parts: DataFrame) -> DataFrame:
+    """The pairs (a, b, ...) that ``parts`` (row, root) leaves in different components."""
+    of = lambda end: parts.select(F.col("row").alias(end), F.col("root").alias(f"{end}_root"))
+    joined = pairs.join(of("a"), "a", "left").join(of("b"), "b", "left")
+    return joined.filter(F.coalesce("a_root", "a") != F.coalesce("b_root", "b")).select(*pairs.columns)
 
 
 def table_columns(table: DataFrame, key: str, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """row, name, id, chars, same, tables: the narrow rows all of the search works on."""
+    """row, name, id, chars, same, values: the narrow rows all of the search works on."""
     source = F.col(quoted(text))
     found = table.select(
         F.monotonically_increasing_id().alias("row"), F.col(key).alias("name"), F.col(quoted(doc_id)).alias("id"),
         F.length(F.coalesce(source, F.lit(""))).alias("chars"), _search_columns(source).alias("found"),
     )
-    return found.select("row", "name", "id", "chars", "found.same", "found.tables")
+    return found.select("row", "name", "id", "chars", "found.same", "found.values")
 
 
 def drop_near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
@@ -420,13 +410,15 @@ def drop_near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc
 
     Of a group the longest text stays, then the smallest doc_id (null last), then
     the row stored first. Null counts as empty; documents without a word are near
-    copies of each other. An empty table gives an empty table.
+    copies of each other. An empty table gives an empty table. Repeated rows are
+    copies like any other; texts of any length are compared whole; columns of any
+    name stay as they are.
     """
     table, key = keyed(docs, "near")
     prints = written(table_columns(table, key, text, doc_id), "prints")
     heads = prints.groupBy("same").agg(F.min("row").alias("a"), F.count("*").alias("rows")).filter("rows > 1")
     equal = written(prints.select("same", F.col("row").alias("b")).join(heads, "same").filter("a <> b").select("a", "b"), "equal")
-    searched = prints.join(equal.select(F.col("b").alias("row")), "row", "left_anti").select("row", "name", "tables")
+    searched = prints.join(equal.select(F.col("b").alias("row")), "row", "left_anti").select("row", "name", "values")
     linked = near_pairs(table, key, searched, text).select("a", "b").union(equal)
     groups = written(roots(linked).withColumnRenamed("node", "row"), "groups")
     order = F.struct((-F.col("chars")).alias("order"), F.col("id").isNull().alias("no_id"), F.col("id"), F.col("row")).alias("order")

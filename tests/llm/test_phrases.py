@@ -90,21 +90,19 @@ def test_filters_that_err_change_nothing(spark, monkeypatch):
     assert mined(spark, rows, 30) == brute(rows, 30)
 
 
-def test_growth_leaves_phrases_out(spark, monkeypatch):
-    """Phrases that cannot reach the threshold are not counted."""
-    counted = Counter()
-    real = count_phrases
-
-    def spy(*args):
-        batch = real(*args)
-        counted[args[2]] += batch.num_rows
-        return batch
-
-    rows = pa.array([t or "" for t, _ in corpus(6)], pa.large_string()), ["en"] * len(corpus(6))
-    frame = spark.createDataFrame([("en", 1, 2)], "lang string, g1 long, g2 long")
-    everything = phrases.Filter(np.full(1024, 2**64 - 1, np.uint64))
-    whole = spy(*rows, 3, everything, None, None, None).num_rows
-    assert whole > 0 and spy(*rows, 3, everything, filter_of(frame, "g1", "g2"), None, None).num_rows == 0
+def test_only_what_is_asked_for_is_counted(spark):
+    """Phrases of which neither part nor whole is in a filter cost nothing."""
+    texts = pa.array([t or "" for t, _ in corpus(6)], pa.large_string())
+    langs = ["en"] * len(texts)
+    all_ = phrases.Filter(np.full(1024, 2**64 - 1, np.uint64))
+    none = filter_of(spark.createDataFrame([], "lang string, g1 long, g2 long"))
+    whole = count_phrases(texts, langs, 3, all_, None, None, all_)
+    assert whole.num_rows > 0 and count_phrases(texts, langs, 3, all_, none, none, none).num_rows == 0
+    one = spark.createDataFrame(whole.slice(0, 1).to_pandas())
+    for own, given in (("g", (None, None)), ("p", ()), ("s", (None,))):
+        chosen = filter_of(one.select("lang", f"{own}1", f"{own}2"))
+        rows = count_phrases(texts, langs, 3, all_, *[*given, chosen, None, None][:3])
+        assert 0 < rows.num_rows < whole.num_rows / 4
 
 
 def test_exact_beyond_64_bits(spark):
