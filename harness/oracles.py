@@ -455,6 +455,16 @@ SELECT doc_id, source_name, CAST(CASE WHEN source_name IN ('France Travail', 'JS
                        ELSE embedding END AS e FROM embeddings) WHERE e IS NOT NULL AND len(e) = 64""",
     "cosine_similarity": PRELUDE + "SELECT vec_id, round(cosine, 6) AS cosine FROM cosines",
     "cosine_explode": PRELUDE + "SELECT vec_id, round(cosine, 6) AS cosine FROM cosines",
+    "profile_matches": """WITH unit AS (
+  SELECT vec_id, embedding::DOUBLE[] AS v, sqrt(list_dot_product(embedding::DOUBLE[], embedding::DOUBLE[])) AS size
+  FROM embeddings WHERE len(embedding) = 64
+), pairs AS (
+  SELECT p.vec_id AS profile_id, q.vec_id AS posting_id, round(list_dot_product(p.v, q.v) / (p.size * q.size), 9) AS cosine
+  FROM unit p, unit q WHERE p.vec_id % 100 = 0 AND p.size > 0 AND q.size > 0
+)
+SELECT profile_id, rank, posting_id, round(cosine, 6) AS cosine FROM (
+  SELECT *, CAST(row_number() OVER (PARTITION BY profile_id ORDER BY cosine DESC, posting_id) AS INTEGER) AS rank FROM pairs
+) WHERE rank <= 10""",
     "rule_experience": rule_select("score_junior", "score_seniority", "score_veto_intern", "score_years"),
     "rule_ethics": rule_select("score_ethics", "score_impact"),
     "rule_culture": rule_select("score_training", "score_os", "score_status", "score_remote"),
@@ -525,6 +535,22 @@ SELECT avg_salary, {euros('avg_salary')} AS avg_salary_text FROM mean""",
     )),
     "dq_blank": PRELUDE + check(
         "not_blank", "url", "warn", "url IS NULL OR (doc_id // 4) % 9 = 2", "postings"),
+    "dq_failing_rows": f"""WITH rows AS (
+  SELECT doc_id, company_name, vec_id, CASE WHEN doc_id % 23 = 4 THEN 'Elsewhere' ELSE source_name END AS source_name,
+         CASE WHEN doc_id % 19 <> 3 THEN job_id END AS job_id, CASE WHEN (doc_id // 4) % 9 = 2 THEN '  ' ELSE url END AS url
+  FROM ({POSTINGS_SQL})
+), marked AS (
+  SELECT doc_id,
+         CASE WHEN job_id IS NULL THEN 'not_null(job_id)' END AS e1,
+         CASE WHEN company_name IS NULL THEN 'not_null(company_name)' END AS w1,
+         CASE WHEN source_name NOT IN {SOURCE_LIST} THEN 'accepted_values(source_name)' END AS e2,
+         CASE WHEN url IS NULL OR trim(url) = '' THEN 'not_blank(url)' END AS w2,
+         CASE WHEN vec_id NOT BETWEEN 0 AND 400 THEN 'range(vec_id)' END AS w3,
+         CASE WHEN job_id IS NOT NULL AND count(*) OVER (PARTITION BY job_id) > 1 THEN 'unique(job_id)' END AS e3
+  FROM rows
+)
+SELECT doc_id, concat_ws(',', e1, w1, e2, w2, w3, e3) AS failed, concat_ws(',', e1, e2, e3) AS errors
+FROM marked WHERE concat_ws(',', e1, w1, e2, w2, w3, e3) <> ''""",
     "dq_silver": PRELUDE + " UNION ALL ".join([
         *[check("not_null", c, s, f"{c} IS NULL", "silver") for c, s in (
             ("job_id", "error"), ("published_at", "error"), ("title", "warn"), ("company_name", "warn"), ("url", "warn"))],

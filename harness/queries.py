@@ -478,6 +478,15 @@ def cosine_explode(spark, sf_dir):
     return scored.select("vec_id", F.round("cosine", 6).alias("cosine"))
 
 
+@query
+def profile_matches(spark, sf_dir):
+    """The ten most similar vectors of every vector whose id is divisible by 100."""
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    asked = vectors.filter(F.col("vec_id") % 100 == 0)
+    best = similarity.best_for_profiles(vectors, asked, 10, DIM, "vec_id", "embedding", "vec_id", "embedding")
+    return best.select("profile_id", F.col("rank").cast("int").alias("rank"), "posting_id", F.round("cosine", 6).alias("cosine"))
+
+
 # ---- rules and scores ----
 
 def rule_query(name, group):
@@ -637,6 +646,21 @@ def dq_blank(spark, sf_dir):
     return quality.run_checks(df, quality.not_blank("url"))
 
 
+@query
+def dq_failing_rows(spark, sf_dir):
+    """Every posting that fails a check, and which."""
+    d = F.col("doc_id")
+    rows = postings(spark, sf_dir).withColumns({
+        "source_name": F.when(d % 23 == 4, F.lit("Elsewhere")).otherwise(F.col("source_name")),
+        "job_id": F.when(d % 19 != 3, F.col("job_id")),
+        "url": F.when(div(d, 4) % 9 == 2, F.lit("  ")).otherwise(F.col("url")),
+    })
+    checks = quality.not_null({"job_id": "error", "company_name": "warn"}) + quality.accepted_values("source_name")
+    checks += quality.not_blank("url") + quality.ranges({"vec_id": (0, 400)}, "warn")
+    failing = quality.failing_rows(rows, checks, {"job_id": "error"})
+    return failing.select("doc_id", joined("failed"), joined("errors"))
+
+
 @query
 def dq_silver(spark, sf_dir):
     return quality.silver_report(stored_silver(spark, sf_dir))

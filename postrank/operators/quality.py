@@ -88,17 +88,21 @@ def unique(df: DataFrame, key: str, severity: str = ERROR) -> DataFrame:
     return run_checks(duplicates(df, key), [Check("unique", key, severity, F.col("rows") > 1)])
 
 
+def gold_checks() -> list[Check]:
+    return not_null(GOLD_NOT_NULL) + accepted_values("source_name") + ranges(SCORE_RANGES) + not_blank("url")
+
+
+def silver_checks() -> list[Check]:
+    return not_null(SILVER_NOT_NULL) + accepted_values("source_name")
+
+
 def gold_report(gold: DataFrame) -> DataFrame:
     """All checks of the scored table."""
-    checks = (
-        not_null(GOLD_NOT_NULL) + accepted_values("source_name") + ranges(SCORE_RANGES) + not_blank("url")
-    )
-    return run_checks(gold, checks).unionByName(unique(gold, "job_id"))
+    return run_checks(gold, gold_checks()).unionByName(unique(gold, "job_id"))
 
 
 def silver_report(silver: DataFrame) -> DataFrame:
-    checks = not_null(SILVER_NOT_NULL) + accepted_values("source_name")
-    return run_checks(silver, checks).unionByName(unique(silver, "job_id"))
+    return run_checks(silver, silver_checks()).unionByName(unique(silver, "job_id"))
 
 
 def staging_report(staging: DataFrame) -> DataFrame:
@@ -122,3 +126,40 @@ def enforce(report: DataFrame) -> list[str]:
     if messages[ERROR]:
         raise ValueError("data checks failed: " + "; ".join(messages[ERROR]))
     return messages[WARN]
+
+
+def with_failures(df: DataFrame, checks: list[Check], unique_keys: dict[str, str] | None = None,
+                  failed: str = "failed", errors: str = "errors") -> DataFrame:
+    """Every row with the checks it fails, as ``check(column)``, and those of error level.
+
+    One pass over the rows. A key held by several rows fails in all of them: such keys
+    come from an aggregate of the key column alone and are joined on, so whole rows are
+    shuffled only where that table is too large to be sent to them. NULL keys pass.
+    ``unique_keys`` maps columns to severities.
+    """
+    marks = [(f"{c.check}({c.column})", c.severity, c.failing) for c in checks]
+    for i, (key, severity) in enumerate((unique_keys or {}).items()):
+        mark = f"_repeated{i}"
+        held = duplicates(df.select(key), key).select(F.col(key), F.lit(True).alias(mark))
+        df = df.join(held, key, "left").select(*df.columns, mark)
+        marks.append((f"unique({key})", severity, F.col(mark)))
+
+    def names(level: str | None) -> Column:
+        hit = [F.when(failing, F.lit(name)) for name, severity, failing in marks if level in (None, severity)]
+        return F.array_compact(F.array(*hit)) if hit else F.array().cast("array<string>")
+
+    found = df.withColumns({failed: names(None), errors: names(ERROR)})
+    return found.drop(*[f"_repeated{i}" for i in range(len(unique_keys or {}))])
+
+
+def failing_rows(df: DataFrame, checks: list[Check], unique_keys: dict[str, str] | None = None) -> DataFrame:
+    """The rows that fail some check, with ``failed`` and ``errors``."""
+    return with_failures(df, checks, unique_keys).filter(F.size("failed") > 0)
+
+
+def split_rows(marked: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows without an error (as they were), and the others with what they fail.
+
+    ``marked`` as ``with_failures`` gives it, stored: it is read twice.
+    """
+    return marked.filter(F.size("errors") == 0).drop("failed", "errors"), marked.filter(F.size("errors") > 0)

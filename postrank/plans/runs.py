@@ -12,7 +12,9 @@ from pyspark.sql import functions as F
 from postrank.config import RankingConfig
 from postrank.operators.clean import build_silver
 from postrank.operators.dedupe import ROW
-from postrank.operators.quality import enforce, gold_report, ranking_report, silver_report, staging_report
+from postrank.operators.quality import (
+    ERROR, enforce, gold_report, ranking_report, silver_checks, silver_report, split_rows, staging_report, with_failures,
+)
 from postrank.operators.ranking import ranking, ranking_view
 from postrank.operators.scoring import build_gold, staging_view
 from postrank.operators.similarity import profile_vector
@@ -20,7 +22,7 @@ from postrank.sources.bronze import rejected_of_all, stage_all, write_envelopes
 from postrank.sources.pages import assemble_pages, normalize_envelopes, quarantine
 from postrank.sources.runlog import log_run
 from postrank.sources.tables import read_silver, write_gold, write_silver
-from postrank.storage import publish, written
+from postrank.storage import publish, remove, written
 
 
 class Paths(NamedTuple):
@@ -51,12 +53,23 @@ def ingest(raw: DataFrame, root: str, keys: list[str]) -> DataFrame:
     return bad
 
 
+def quarantine_path(paths: Paths) -> str:
+    """Where rows are that failed an error-level check of the last run."""
+    return f"{paths.silver}.quarantine"
+
+
 def run_silver(
     spark: SparkSession, cfg: RankingConfig, paths: Paths,
     embed: Callable[[Column], Column] | None = None, multi_line: bool = True, layout: str = "{folder}",
+    set_aside: bool = False,
 ) -> tuple[int, dict[str, int], list[tuple[str, str, int]], list[str]]:
     """Stage, clean, check and publish; log the outcome.
 
+    Rows that fail an error-level check are kept, with what they fail, in
+    ``quarantine_path`` beside the table, whether the run goes on or not; a run
+    without such rows leaves an empty one. With ``set_aside`` the run goes on with the
+    other rows.
+
     Returns rows written, rows staged per source, payloads rejected (source,
     problem, number) and warnings. Staged postings are stored once: they are
     counted there, and a task run again counts nothing twice. A failing
@@ -71,6 +84,13 @@ def run_silver(
         rejected = sorted(tuple(r) for r in broken.groupBy("source_name", "problem").count().collect())
         write_silver(build_silver(staged, cfg, embed, ROW), made)
         silver = read_silver(spark, made)
+        kept, bad = split_rows(with_failures(silver, silver_checks(), {"job_id": ERROR}))
+        bad.write.mode("overwrite").parquet(quarantine_path(paths))
+        if set_aside:
+            whole, made = made, f"{paths.silver}.new-{uuid.uuid4().hex}"
+            write_silver(kept, made)
+            remove(spark, whole)
+            silver = read_silver(spark, made)
         warnings = enforce(silver_report(silver).unionByName(staging_report(staging_view(silver))).distinct())
         rows = silver.count()
         publish(spark, made, paths.silver)

@@ -48,6 +48,12 @@ def written(table: DataFrame, label: str, compression: str = "zstd") -> DataFram
     return stored
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder, on any store."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def free(*tables: DataFrame) -> None:
     """Delete tables that ``written`` stored, once everything made of them is stored.
 
@@ -56,8 +62,7 @@ def free(*tables: DataFrame) -> None:
     for table in tables:
         at = table.__dict__.pop("stored_at", None)
         if at:
-            path = table.sparkSession.sparkContext._jvm.org.apache.hadoop.fs.Path(at)
-            path.getFileSystem(table.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+            remove(table.sparkSession, at)
 
 
 def publish(spark: SparkSession, made: str, path: str) -> None:
@@ -83,5 +88,4 @@ def publish(spark: SparkSession, made: str, path: str) -> None:
 
 def clear(spark: SparkSession) -> None:
     """Delete every scratch folder of this application, once results are stored."""
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(shared_folder(spark))
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    remove(spark, shared_folder(spark))
