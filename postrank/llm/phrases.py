@@ -82,6 +82,25 @@ def longer(prefix: np.ndarray, word: np.ndarray) -> np.ndarray:
         return _mixed((prefix ^ _mixed(word + odd)) * (odd | np.uint64(1)) + word[:, ::-1])
 
 
+def word_digests(words: pa.LargeBinaryArray) -> np.ndarray:
+    """128 bits of each word, as rows of two numbers: sums of a mixed number for every
+    byte at its place, mixed again with the length."""
+    ends = np.frombuffer(words.buffers()[1], np.int64, len(words) + 1, words.offset * 8)
+    sizes = np.diff(ends)
+    data = np.frombuffer(words.buffers()[2] or b"", np.uint8)[ends[0] : ends[-1]].astype(np.uint64)
+    ends = ends - ends[0]
+    place = (np.arange(len(data)) - np.repeat(ends[:-1], sizes)).astype(np.uint64)
+    some = np.flatnonzero(sizes)
+    made = np.zeros((len(words), 2), np.uint64)
+    with np.errstate(over="ignore"):
+        for lane, odd in enumerate((0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)):
+            mixed = _mixed((place << np.uint64(8) | data) * np.uint64(odd) + np.uint64(odd))
+            if len(some):
+                made[some, lane] = np.add.reduceat(mixed, ends[:-1][some])
+            made[:, lane] = _mixed(made[:, lane] + sizes.astype(np.uint64) * np.uint64(odd))
+    return made
+
+
 def language(lang: str) -> np.uint64:
     """What a filter adds to the phrases of a language."""
     return np.uint64(xxhash.xxh64_intdigest(lang.encode("utf-8", "surrogatepass"), 7))
@@ -128,27 +147,37 @@ class Words:
         heads = ends[:-1][ends[:-1] < len(data)]
         start[heads] = inside[heads]
         at = np.flatnonzero(start)
-        before = np.zeros(len(data) + 1, np.int64)
-        np.cumsum(inside, out=before[1:])
-        bounds = np.concatenate([before[at], [before[-1]]])
+        before = np.cumsum(inside, dtype=np.int32)  # a block has less than 2^31 bytes, or is one text
+        bounds = np.concatenate([before[at] - 1, before[-1:]]).astype(np.int64) if len(at) else np.zeros(1, np.int64)
         letters = LOWER[data[inside]]
         coded = pa.LargeBinaryArray.from_buffers(
             pa.large_binary(), len(at), [None, pa.py_buffer(bounds), pa.py_buffer(letters)]
         ).dictionary_encode()
         self.word, self.dictionary = coded.indices.to_numpy().astype(np.int64), coded.dictionary
         text = np.searchsorted(ends, at, side="right") - 1
-        breaks = np.cumsum(kind == 2)[at] if len(data) else np.empty(0, np.int64)
+        breaks = np.cumsum(kind == 2, dtype=np.int32)[at] if len(data) else np.empty(0, np.int32)
         #: Whether a word and the next one are in one piece.
         self.joined = (text[1:] == text[:-1]) & (breaks[1:] == breaks[:-1])
         names = sorted(set(langs))
         number = {n: i for i, n in enumerate(names)}
         self.langs = names
         self.lang = np.array([number[x] for x in langs], np.int64)[text]
-        self.language = np.array([language(n) for n in names], np.uint64)[self.lang]
+        self.languages = np.array([language(n) for n in names], np.uint64)
+        self.language = self.languages[self.lang]
+        self._digest: np.ndarray | None = None
+
+    def digest(self) -> np.ndarray:
+        """The digest of each different word."""
+        if self._digest is None:
+            self._digest = word_digests(self.dictionary)
+        return self._digest
 
-    def digests(self) -> np.ndarray:
-        found = b"".join(xxhash.xxh3_128_digest(w) for w in self.dictionary.to_pylist())
-        return np.frombuffer(found, "<u8").astype(np.uint64).reshape(-1, 2)[self.word]
+    def in_filter(self, chosen: Filter) -> np.ndarray:
+        """Which words are in a filter: each different word is looked up once a language."""
+        if len(self.languages) * len(self.dictionary) > len(self.word):
+            return chosen.holds(filter_key(self.digest()[self.word], self.language))
+        held = np.stack([chosen.holds(filter_key(self.digest(), x)) for x in self.languages]) if len(self.languages) else np.empty((0, 0), bool)
+        return held[self.lang, self.word]
 
 
 def count_words(texts: pa.LargeStringArray, langs: list[str]) -> pa.RecordBatch:
@@ -166,9 +195,9 @@ def count_words(texts: pa.LargeStringArray, langs: list[str]) -> pa.RecordBatch:
     ], ["lang", "word", "a"])
 
 
-def frequent_places(words: Words, of: np.ndarray, size: int, frequent: Filter) -> np.ndarray:
+def frequent_places(words: Words, size: int, frequent: Filter) -> np.ndarray:
     """Where phrases of ``size`` words that are all frequent begin."""
-    known = frequent.holds(filter_key(of, words.language))
+    known = words.in_filter(frequent)
     n = max(0, len(words.word) - size + 1)
     good = np.ones(n, bool)
     for i in range(size):
@@ -178,13 +207,23 @@ def frequent_places(words: Words, of: np.ndarray, size: int, frequent: Filter) -
     return np.flatnonzero(good)
 
 
-def _digests(of: np.ndarray, at: np.ndarray, length: int) -> np.ndarray:
-    made = of[at]
+def _digests(words: Words, at: np.ndarray, length: int) -> np.ndarray:
+    of = words.digest()
+    made = of[words.word[at]]
     for i in range(1, length):
-        made = longer(made, of[at + i])
+        made = longer(made, of[words.word[at + i]])
     return made
 
 
+def _ends(words: Words, at: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Digests of the prefix and suffix of one word less; where phrases overlap, made once."""
+    needed = np.zeros(len(words.word) + 1, bool)
+    needed[at] = needed[at + 1] = True
+    made = _digests(words, np.flatnonzero(needed), size - 1)
+    place = np.cumsum(needed, dtype=np.int32) - 1
+    return made[place[at]], made[place[at + 1]]
+
+
 def _kinds(words: Words, at: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
     """(where each different phrase of a block is found, how often), by the numbers of its words."""
     kinds = len(words.dictionary) + 1
@@ -200,9 +239,8 @@ def _kinds(words: Words, at: np.ndarray, size: int) -> tuple[np.ndarray, np.ndar
 def count_pair_keys(texts: pa.LargeStringArray, langs: list[str], frequent: Filter) -> pa.RecordBatch:
     """Rows (key, a) of pairs: all there is to say which may be frequent."""
     words = Words(texts, langs)
-    of = words.digests()
-    at, count = _kinds(words, frequent_places(words, of, 2, frequent), 2)
-    key = filter_key(_digests(of, at, 2), words.language[at])
+    at, count = _kinds(words, frequent_places(words, 2, frequent), 2)
+    key = filter_key(_digests(words, at, 2), words.language[at])
     return pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(count)], ["key", "a"])
 
 
@@ -211,20 +249,20 @@ def count_phrases(texts: pa.LargeStringArray, langs: list[str], size: int, frequ
     """Rows (lang, digest g, that of its prefix p and suffix s of one word less, a) of phrases
     of ``size`` frequent words whose prefix, suffix or whole is in the filter for it."""
     words = Words(texts, langs)
-    of = words.digests()
-    at = frequent_places(words, of, size, frequent)
-    p = _digests(of, at, size - 1)
-    wanted = np.zeros(len(at), bool)
+    at = frequent_places(words, size, frequent)
     spoken = words.language[at]
-    if prefix:
-        wanted |= prefix.holds(filter_key(p, spoken))
-    if suffix:
-        wanted |= suffix.holds(filter_key(_digests(of, at + 1, size - 1), spoken))
+    wanted = np.zeros(len(at), bool)
+    if prefix or suffix:
+        p, s = _ends(words, at, size)
+        if prefix:
+            wanted |= prefix.holds(filter_key(p, spoken))
+        if suffix:
+            wanted |= suffix.holds(filter_key(s, spoken))
     if whole:
-        wanted |= whole.holds(filter_key(longer(p, of[at + size - 1]), spoken))
+        wanted |= whole.holds(filter_key(_digests(words, at, size), spoken))
     at, count = _kinds(words, at[wanted], size)
-    p, s = _digests(of, at, size - 1), _digests(of, at + 1, size - 1)
-    g = longer(p, of[at + size - 1])
+    p, s = _ends(words, at, size)
+    g = longer(p, words.digest()[words.word[at + size - 1]])
     names = pa.array(words.langs, pa.string())
     lang = names.take(pa.array(words.lang[at])) if len(at) else pa.array([], pa.string())
     columns = [x[:, i].copy().view(np.int64) for x in (g, p, s) for i in (0, 1)]
@@ -258,8 +296,8 @@ def word_counts(docs: DataFrame) -> DataFrame:
     def digest(words):
         import pandas as pd
 
-        found = b"".join(xxhash.xxh3_128_digest((w or "").encode("utf-8", "surrogatepass")) for w in words)
-        return pd.DataFrame(np.frombuffer(found, "<i8").reshape(-1, 2), columns=["w1", "w2"])
+        found = word_digests(pa.array(words.fillna(""), pa.large_string()).cast(pa.large_binary()))
+        return pd.DataFrame(found.view(np.int64), columns=["w1", "w2"])
 
     counts = _counted(docs, count_words, "lang string, word string, a long").groupBy("lang", "word").agg(F.sum("a").alias("a"))
     return counts.filter(F.col("word").isNull() | (F.col("a") >= LEAST)).select(
