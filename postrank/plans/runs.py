@@ -124,9 +124,11 @@ def publish_views(silver: DataFrame, gold: DataFrame, cfg: RankingConfig) -> Non
 def run(
     spark: SparkSession, cfg: RankingConfig, paths: Paths, profiles: DataFrame,
     embed: Callable[[Column], Column] | None = None, multi_line: bool = True, layout: str = "{folder}",
+    set_aside: bool = False,
 ) -> RunResult:
-    """The whole job, with its views. Failing error-level checks raise before anything is replaced."""
-    rows, per_source, rejected, warnings = run_silver(spark, cfg, paths, embed, multi_line, layout)
+    """The whole job, with its views. Failing error-level checks raise before anything is
+    replaced; with ``set_aside`` rows of Silver that fail one are only set aside."""
+    rows, per_source, rejected, warnings = run_silver(spark, cfg, paths, embed, multi_line, layout, set_aside)
     gold, more = run_gold(spark, cfg, paths, profiles)
     publish_views(read_silver(spark, paths.silver), gold, cfg)
     return RunResult(rows, per_source, rejected, warnings + more, ranking_view(gold, cfg))
