@@ -359,12 +359,21 @@ def near_pairs(table: DataFrame, key: str, prints: DataFrame, text: str = "text"
     free(met)
     found = sets = parts = None
     while True:
-        heads = active.groupBy("meeting").agg(F.max_by("row", "order").alias("head"), F.count("*").alias("size")).filter("size > 1")
-        headed = written(active.join(heads.select("meeting", "head"), "meeting"), "headed")
-        free(active)
-        pairs = _ordered_pairs(headed.select(F.col("head").alias("a"), F.col("row").alias("b")))
+        # Rows joined to a head stay, so that the rest still meet them; a meeting ends when one
+        # part is left in it, and the head comes from its smallest part.
+        rooted = active.withColumn("root", F.col("row"))
         if parts is not None:
-            pairs = apart(pairs, parts)
+            rooted = active.join(parts, "row", "left").withColumn("root", F.coalesce("root", "row"))
+        shares = rooted.groupBy("meeting", "root").agg(F.count("*").alias("share"))
+        live = shares.groupBy("meeting").agg(F.count("*").alias("roots")).filter("roots > 1").select("meeting")
+        ranked = rooted.join(live, "meeting").join(shares, ["meeting", "root"])
+        rank = F.struct((-F.col("share")).alias("share"), F.col("order"))
+        heads = ranked.groupBy("meeting").agg(F.max_by(F.struct("row", "root"), rank).alias("head")).select(
+            "meeting", F.col("head.row").alias("head"), F.col("head.root").alias("head_root")
+        )
+        headed = written(ranked.join(heads, "meeting"), "headed")
+        free(active)
+        pairs = _ordered_pairs(headed.filter("root <> head_root").select(F.col("head").alias("a"), F.col("row").alias("b")))
         likely = written(likely_pairs(pairs, prints), "likely")
         if not likely.isEmpty():
             members = likely.select(F.col("a").alias("row")).union(likely.select("b")).distinct()
@@ -377,11 +386,7 @@ def near_pairs(table: DataFrame, key: str, prints: DataFrame, text: str = "text"
             parts = written(roots(found.select("a", "b")).withColumnRenamed("node", "row"), "parts")
         elif found is None:
             found = table.sparkSession.createDataFrame([], "a long, b long, similarity double")
-        rest = headed.filter("row <> head").select("meeting", "row", "order", "head")
-        if parts is not None:
-            rest = apart(rest.select("meeting", "order", F.col("row").alias("a"), F.col("head").alias("b")), parts)
-            rest = rest.withColumnRenamed("a", "row")
-        active = written(rest.select("meeting", "row", "order"), "active")
+        active = written(headed.filter("row <> head").select("meeting", "row", "order"), "active")
         free(headed, likely)
         if active.isEmpty():
             free(active)

@@ -343,3 +343,23 @@ def test_scratch_of_the_search_is_freed(docs, spark, tmp_path):
     labels = {name.split("-")[0] for name in os.listdir(folder) if name not in old}
     assert out.count() and "groups" in labels
     assert not labels & {"values", "met", "active", "headed", "likely", "numbered", "meetings"}
+
+
+def test_links_through_a_row_joined_to_its_head(spark, docs):
+    """Chains a~b~c in one meeting, a and c unlike: rows joined to a head still link the others."""
+    texts = []
+    for seed in (3, 4, 5, 6):
+        base = make(120, seed)
+        near = [f"n{i}" if i in (10, 50) else w for i, w in enumerate(base)]
+        far = [f"f{i}" if i in (80, 105) else w for i, w in enumerate(near)]
+        texts += [" ".join(far), " ".join(near), " ".join(base)]
+    for i in range(0, len(texts), 3):
+        a, b, c = texts[i : i + 3]
+        assert similar(a, b) and similar(b, c) and not similar(a, c)
+    table = docs([document(i, t) for i, t in enumerate(texts)]).withColumn("_key", F.col("doc_id"))
+    prints = simhash.written(simhash.table_columns(table, "_key").withColumn("row", F.col("name")), "prints")
+    prints = prints.withColumn("values", F.array_repeat(F.lit(7).cast("long"), simhash.TABLES))  # all meet everywhere
+    pairs = [(r.a, r.b) for r in simhash.near_pairs(table, "_key", prints.select("row", "name", "values")).collect()]
+    root = slow_components(list(range(len(texts))), lambda x, y: (x, y) in pairs or (y, x) in pairs)
+    assert all(len({root[i], root[i + 1], root[i + 2]}) == 1 for i in range(0, len(texts), 3))
+    assert len({root[i] for i in range(0, len(texts), 3)}) == len(texts) // 3
