@@ -33,7 +33,8 @@ def roots(edges: DataFrame) -> DataFrame:
     """(node, root) for every node of ``edges`` (two columns of one ordered type).
 
     The root is the smallest node of the component. Loops and repeated edges are
-    allowed; nodes without an edge to another do not appear.
+    allowed; nodes without an edge to another do not appear. The result reads a
+    stored table; ``free`` it once what is made of it is stored.
     """
     a, b = edges.columns
     now = written(
@@ -46,6 +47,6 @@ def roots(edges: DataFrame) -> DataFrame:
         before, mark = mark, _mark(now)
         if mark == before:
             break
-    return now.select(F.col("u").alias("node"), F.col("v").alias("root")).union(
-        now.select("v", "v").distinct()
-    )
+    found = now.select(F.col("u").alias("node"), F.col("v").alias("root")).union(now.select("v", "v").distinct())
+    found.stored_at = now.stored_at
+    return found

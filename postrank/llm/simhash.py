@@ -383,13 +383,20 @@ def near_pairs(table: DataFrame, key: str, prints: DataFrame, text: str = "text"
             sets = more if sets is None else sets.union(more)
             linked = written(verified(likely, sets), "linked")
             found = linked if found is None else found.union(linked)
-            parts = written(roots(found.select("a", "b")).withColumnRenamed("node", "row"), "parts")
+            # The parts so far and this round's links have the components of all links, in
+            # rows as many as the linked rows and new links, not as all links found.
+            edges = linked.select("a", "b")
+            if parts is not None:
+                edges = parts.select("row", "root").union(edges)
+            linkage = roots(edges)
+            old, parts = parts, written(linkage.withColumnRenamed("node", "row"), "parts")
+            free(linkage, *([] if old is None else [old]))
         elif found is None:
             found = table.sparkSession.createDataFrame([], "a long, b long, similarity double")
         active = written(headed.filter("row <> head").select("meeting", "row", "order"), "active")
         free(headed, likely)
         if active.isEmpty():
-            free(active)
+            free(active, *([] if parts is None else [parts]))
             return found
 
 
@@ -425,7 +432,9 @@ def drop_near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc
     equal = written(prints.select("same", F.col("row").alias("b")).join(heads, "same").filter("a <> b").select("a", "b"), "equal")
     searched = prints.join(equal.select(F.col("b").alias("row")), "row", "left_anti").select("row", "name", "values")
     linked = near_pairs(table, key, searched, text).select("a", "b").union(equal)
-    groups = written(roots(linked).withColumnRenamed("node", "row"), "groups")
+    linkage = roots(linked)
+    groups = written(linkage.withColumnRenamed("node", "row"), "groups")
+    free(linkage)
     order = F.struct((-F.col("chars")).alias("order"), F.col("id").isNull().alias("no_id"), F.col("id"), F.col("row")).alias("order")
     ranked = written(prints.select("row", "name", order).join(groups, "row"), "ranked")
     stays = ranked.groupBy("root").agg(F.min("order").alias("best")).select("root", F.col("best.row").alias("stays"))
