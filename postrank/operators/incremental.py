@@ -109,10 +109,10 @@ def merge_batch(batch: DataFrame, path: str, rule: Rule, buckets: int = BUCKETS)
     if there:
         stored = spark.read.parquet(path).filter(F.col(BUCKET).isin(touched)).select(*came.columns)
         rows = together = written(stored.unionByName(came), "together")
-    chosen = written(_winners(rows, rule), "chosen")
-    writer = chosen.repartition(BUCKET).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    # The rows are a scratch copy, never the table itself: the winners go straight into it.
+    writer = _winners(rows, rule).repartition(BUCKET).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     writer.partitionBy(BUCKET).parquet(path)
     if not there:
         spark.createDataFrame([(buckets,)], "buckets int").coalesce(1).write.mode("overwrite").parquet(f"{path}/{LAYOUT}")
-    free(came, chosen, *([together] if together else []))
+    free(came, *([together] if together else []))
     return touched

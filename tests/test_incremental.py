@@ -121,3 +121,17 @@ def test_a_hot_key_is_one_row_a_task_before_the_shuffle(spark, frame, tmp_path):
     _keyed(frame(postings(10, 50)), by_id(), 8).write.parquet(path)
     plan = _winners(spark.read.parquet(path), by_id())._jdf.queryExecution().executedPlan().toString()
     assert plan.count("WindowGroupLimit") == 2
+
+
+def test_winners_are_written_once(spark, frame, tmp_path, monkeypatch):
+    """Only the batch and the rows it is merged with are copied to scratch; the winners go to the table."""
+    from postrank.operators import incremental
+
+    labels, store = [], incremental.written
+    monkeypatch.setattr(incremental, "written", lambda table, label: labels.append(label) or store(table, label))
+    path, rows = f"{tmp_path}/w", postings(10, 80)
+    merge_batch(frame(rows[:40]), path, by_id(), 8)
+    merge_batch(frame(rows[40:]), path, by_id(), 8)
+    assert labels == ["batch", "batch", "together"]
+    out, groups = whole(rows, "id")
+    assert read_winners(spark, path).count() == len(out) + len(groups)
