@@ -27,21 +27,37 @@ def embed_hashed(text: Column, dim: int) -> Column:
     """
 
     def scatter(hashes: pa.Array) -> pa.Array:
-        lengths = hashes.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
-        values = hashes.flatten().to_numpy(zero_copy_only=False).astype("int64")
-        row = np.repeat(np.arange(len(hashes)), lengths)
-        cell = row * dim + (values >> 1) % dim
-        counts = np.bincount(cell, weights=1.0 - 2.0 * (values & 1), minlength=len(hashes) * dim)
-        counts = counts.reshape(len(hashes), dim)
-        norm = np.sqrt((counts * counts).sum(axis=1, keepdims=True))
-        unit = np.divide(counts, norm, out=np.zeros_like(counts), where=norm > 0)
-        offsets = np.arange(0, (len(hashes) + 1) * dim, dim, dtype="int32")
-        flat = pa.array(unit.astype("float32").ravel())
-        return pa.ListArray.from_arrays(pa.array(offsets), flat)
+        return _scatter(hashes, dim)
 
     return F.arrow_udf(scatter, "array<float>")(word_hashes(text))
 
 
+CHUNK = 1 << 20
+
+
+def _scatter(hashes: pa.Array, dim: int, chunk: int = CHUNK) -> pa.Array:
+    """Unit vectors of signed word counts of a batch of hash lists.
+
+    The words are counted ``chunk`` at a time, so Python holds a few numbers a
+    word of one chunk, not of the whole batch, however long its texts are.
+    """
+    lengths = hashes.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+    ends = np.cumsum(lengths)
+    values = hashes.flatten()
+    counts = np.zeros(len(hashes) * dim)
+    for start in range(0, len(values), chunk):
+        part = values.slice(start, chunk).to_numpy(zero_copy_only=False).astype("int64")
+        row = np.searchsorted(ends, np.arange(start, start + len(part)), side="right")
+        cell = row * dim + (part >> 1) % dim
+        counts += np.bincount(cell, weights=1.0 - 2.0 * (part & 1), minlength=len(counts))
+    counts = counts.reshape(len(hashes), dim)
+    norm = np.sqrt((counts * counts).sum(axis=1, keepdims=True))
+    unit = np.divide(counts, norm, out=np.zeros_like(counts), where=norm > 0)
+    offsets = np.arange(0, (len(hashes) + 1) * dim, dim, dtype="int32")
+    flat = pa.array(unit.astype("float32").ravel())
+    return pa.ListArray.from_arrays(pa.array(offsets), flat)
+
+
 def embed_with(load_model: Callable[[], Callable[[list[str]], object]]) -> Callable[[Column], Column]:
     """Embed by a model: ``load_model()`` returns ``texts -> rows of numbers``.
 

@@ -122,3 +122,27 @@ def test_embedding_text(spark):
     cut = df.select(features.embedding_text(F.col("t"), F.col("d"), 1000)).first()[0]  # only if asked for
     whole = df.select(features.embedding_text(F.col("t"), F.col("d"), None)).first()[0]
     assert len(cut) == 1000 and cut.startswith("é" * 10 + " b") and len(whole) == 2011
+
+
+def test_hashed_embedding_holds_one_chunk_of_words_at_a_time():
+    """Long texts in a batch cost Python a few numbers a word of one chunk, with the same vectors."""
+    import tracemalloc
+
+    import numpy as np
+    import pyarrow as pa
+
+    from postrank.functions.embedding import _scatter
+
+    rng = np.random.default_rng(0)
+    lists = [rng.integers(0, 2**32, size=n).tolist() for n in (0, 3, 200_000, 50_000, 7)] + [None]
+    hashes = pa.array(lists, pa.list_(pa.int64()))
+    tracemalloc.start()
+    got = _scatter(hashes, 32, chunk=4096).to_pylist()
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 1_000_000
+    for words, vector in zip(lists, got):
+        a = np.array(words or [], dtype="int64")
+        counts = np.bincount((a >> 1) % 32, weights=1.0 - 2.0 * (a & 1), minlength=32)
+        norm = np.sqrt((counts * counts).sum())
+        assert vector == (counts / norm if norm else counts).astype("float32").tolist()
