@@ -64,9 +64,14 @@ def _keyed(rows: DataFrame, rule: Rule, buckets: int) -> DataFrame:
     return named.withColumn(BUCKET, F.pmod(F.xxhash64(F.coalesce(KEY, WHOLE)), F.lit(buckets)).cast("int"))
 
 
+def _named(rows: DataFrame, columns: list[str], name: str = "_row") -> DataFrame:
+    """The columns of stored rows and a name no other stored row has."""
+    return rows.select(*columns, F.struct("_metadata.file_path", "_metadata.row_index").alias(name))
+
+
 def _winners(rows: DataFrame, rule: Rule, name: str = "_row") -> DataFrame:
-    """The rows that stay of a stored table, chosen on narrow rows."""
-    table = rows.select("*", F.struct("_metadata.file_path", "_metadata.row_index").alias(name))
+    """The rows that stay of a stored table, chosen on narrow rows; ``rows`` may bring their ``name``."""
+    table = rows if name in rows.columns else _named(rows, rows.columns, name)
     ties = [F.col(t).alias(f"_t{i}") if isinstance(t, str) else t.alias(f"_t{i}") for i, t in enumerate((*rule.ties, digest(rows)))]
     newest = [F.col(c).alias(f"_n{i}") for i, c in enumerate(rule.newest)]
     narrow = table.select(name, KEY, WHOLE, *newest, *ties)
@@ -105,14 +110,15 @@ def merge_batch(batch: DataFrame, path: str, rule: Rule, buckets: int = BUCKETS)
     if not touched:
         free(came)
         return []
-    rows, together = came, None
+    rows = came
     if there:
-        stored = spark.read.parquet(path).filter(F.col(BUCKET).isin(touched)).select(*came.columns)
-        rows = together = written(stored.unionByName(came), "together")
-    # The rows are a scratch copy, never the table itself: the winners go straight into it.
+        # The touched buckets are read in the tasks of the write and replaced only when
+        # it commits, so they need no copy of their own.
+        stored = spark.read.parquet(path).filter(F.col(BUCKET).isin(touched))
+        rows = _named(stored, came.columns).unionByName(_named(came, came.columns))
     writer = _winners(rows, rule).repartition(BUCKET).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     writer.partitionBy(BUCKET).parquet(path)
     if not there:
         spark.createDataFrame([(buckets,)], "buckets int").coalesce(1).write.mode("overwrite").parquet(f"{path}/{LAYOUT}")
-    free(came, *([together] if together else []))
+    free(came)
     return touched
