@@ -20,8 +20,10 @@ gets TABLES independent fingerprints of TABLE_BITS bits, of which some are withi
 RADIUS bits with probability 0.95 at 0.8, 0.99 at 0.85 and more above. What meets at a
 point of a table's ball is linked to one head, the row that meets most others, after a
 test on all bits and a comparison of the shingle sets themselves; rows that are not
-linked to it go round again with another head, until none is left. No meeting is
-capped, and none is paired out: each round makes as many pairs as it has rows.
+linked to it go round again with more heads, twice as many each round, until none is
+left. No meeting is capped, and none is paired out: a meeting of M rows ends within about
+log2(M) rounds, and only a meeting of many unlike rows makes pairs of the order of M**2,
+which are all compared; the search then takes as many rounds as before.
 """
 
 from __future__ import annotations
@@ -358,22 +360,27 @@ def near_pairs(table: DataFrame, key: str, prints: DataFrame, text: str = "text"
     active = written(in_order(met), "active")
     free(met)
     found = sets = parts = None
+    spread = 0
     while True:
         # Rows joined to a head stay, so that the rest still meet them; a meeting ends when one
-        # part is left in it, and the head comes from its smallest part.
+        # part is left in it. The best head comes from its smallest part; beyond it a meeting
+        # takes about 2**spread - 1 more, drawn by hash, so that a meeting of many unlike rows
+        # ends in rounds as many as the logarithm of its size, every pair in it still compared.
         rooted = active.withColumn("root", F.col("row"))
         if parts is not None:
             rooted = active.join(parts, "row", "left").withColumn("root", F.coalesce("root", "row"))
         shares = rooted.groupBy("meeting", "root").agg(F.count("*").alias("share"))
-        live = shares.groupBy("meeting").agg(F.count("*").alias("roots")).filter("roots > 1").select("meeting")
-        ranked = rooted.join(live, "meeting").join(shares, ["meeting", "root"])
+        live = shares.groupBy("meeting").agg(F.count("*").alias("roots"), F.sum("share").alias("size"))
+        ranked = rooted.join(live.filter("roots > 1").select("meeting", "size"), "meeting").join(shares, ["meeting", "root"])
         rank = F.struct((-F.col("share")).alias("share"), F.col("order"))
-        heads = ranked.groupBy("meeting").agg(F.max_by(F.struct("row", "root"), rank).alias("head")).select(
-            "meeting", F.col("head.row").alias("head"), F.col("head.root").alias("head_root")
-        )
-        headed = written(ranked.join(heads, "meeting"), "headed")
+        best = ranked.groupBy("meeting").agg(F.max_by("row", rank).alias("best"))
+        drawn = F.pmod(F.xxhash64("row", F.lit(spread)), F.col("size")) < F.lit((1 << spread) - 1)
+        head = ((F.col("row") == F.col("best")) | drawn).alias("head")
+        headed = written(ranked.join(best, "meeting").select("meeting", "row", "root", "order", head), "headed")
         free(active)
-        pairs = _ordered_pairs(headed.filter("root <> head_root").select(F.col("head").alias("a"), F.col("row").alias("b")))
+        heads = headed.filter("head").select("meeting", F.col("row").alias("a"), F.col("root").alias("a_root"))
+        others = headed.select("meeting", F.col("row").alias("b"), F.col("root").alias("b_root"))
+        pairs = _ordered_pairs(heads.join(others, "meeting").filter("a_root <> b_root").select("a", "b"))
         likely = written(likely_pairs(pairs, prints), "likely")
         if not likely.isEmpty():
             members = likely.select(F.col("a").alias("row")).union(likely.select("b")).distinct()
@@ -393,8 +400,9 @@ def near_pairs(table: DataFrame, key: str, prints: DataFrame, text: str = "text"
             free(linkage, *([] if old is None else [old]))
         elif found is None:
             found = table.sparkSession.createDataFrame([], "a long, b long, similarity double")
-        active = written(headed.filter("row <> head").select("meeting", "row", "order"), "active")
+        active = written(headed.filter(~F.col("head")).select("meeting", "row", "order"), "active")
         free(headed, likely)
+        spread = min(spread + 1, 62)
         if active.isEmpty():
             free(active, *([] if parts is None else [parts]))
             return found

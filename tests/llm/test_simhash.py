@@ -377,3 +377,15 @@ def test_parts_and_edges_of_every_round_are_freed(docs, spark):
     labels = [name.split("-")[0] for name in os.listdir(folder) if name not in old]
     assert out.count() and "linked" in labels
     assert not {"parts", "edges"} & set(labels)
+
+
+def test_a_meeting_of_unlike_rows_ends_in_few_rounds(spark, docs, monkeypatch):
+    """60 unlike rows meet everywhere: the rounds grow with the logarithm of the meeting, not its size."""
+    texts = [" ".join(make(120, 100 + i)) for i in range(60)]
+    table = docs([document(i, t) for i, t in enumerate(texts)]).withColumn("_key", F.col("doc_id"))
+    prints = simhash.written(simhash.table_columns(table, "_key").withColumn("row", F.col("name")), "prints")
+    prints = prints.withColumn("values", F.array_repeat(F.lit(7).cast("long"), simhash.TABLES))  # all meet everywhere
+    labels, store = [], simhash.written
+    monkeypatch.setattr(simhash, "written", lambda t, label, *a: labels.append(label) or store(t, label, *a))
+    pairs = simhash.near_pairs(table, "_key", prints.select("row", "name", "values")).collect()
+    assert pairs == [] and labels.count("headed") <= 8
